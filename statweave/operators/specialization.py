@@ -25,8 +25,11 @@ def location_quotient(
         .withColumn("_total", F.sum("vinculos_setor").over(Window.partitionBy("ano_base", "recorte")))
     )
     joined = described(cuts.join(wide, ["ano_base", "cnae_secao"]), codes, "secao", "cnae_secao", "cnae_secao_descricao")
-    here = F.try_divide(F.col("vinculos_setor"), F.col("_total"))
-    there = F.try_divide(F.col("setor_estado"), F.col("total_estado"))
+    # (sector / cut) / (sector / wider region), as one division of whole numbers.
+    quotient = F.try_divide(
+        F.col("vinculos_setor").cast("double") * F.col("total_estado"),
+        F.col("_total").cast("double") * F.col("setor_estado"),
+    )
     return joined.select(
         "ano_base",
         "recorte",
@@ -35,5 +38,5 @@ def location_quotient(
         "vinculos_setor",
         stable_round(percentage(F.col("vinculos_setor"), F.col("_total")), 2).alias("participacao_recorte_pct"),
         stable_round(percentage(F.col("setor_estado"), F.col("total_estado")), 2).alias("participacao_ceara_pct"),
-        stable_round(F.try_divide(here, there), 2).alias("quociente_locacional"),
+        stable_round(quotient, 2).alias("quociente_locacional"),
     )

@@ -578,7 +578,7 @@ def location_quotient(lake: Lake) -> DataFrame:
 def _settled(df: DataFrame) -> DataFrame:
     """Weighted sums without the last-bit noise of summation order."""
     doubles = [f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)]
-    return df.withColumns({name: F.round(name, 3) for name in doubles})
+    return df.withColumns({name: F.round(name, 4) for name in doubles})
 
 
 @register
