@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import rulebook as R
 from ..functions import month_index, period_year, ratio_band, year_lookup
-from .quantiles import quantiles_of_counts, value_counts
+from .quantiles import cube_quantiles, value_counts
 
 FLOW_KEYS = [
     "competencia_mov", "preliminar", "municipio_codigo", "municipio_nome", "faixa_etaria", "sexo",
@@ -159,18 +159,7 @@ def median_cube(
     of the two middle values is taken when the count is even.
     """
     totals = totals or {k: R.ALL_MONTHS if k == "periodo" else R.ALL for k in keys}
-    sets = [[k for i, k in enumerate(keys) if mask >> i & 1] + [value] for mask in range(1 << len(keys))]
-    cells = counts.groupingSets(sets, *keys, value).agg(
-        F.sum("n").alias("n"),
-        *[F.grouping(k).alias(f"_g_{k}") for k in keys],
-    )
-    labelled = cells.select(
-        *[F.when(F.col(f"_g_{k}") == 1, F.lit(totals[k])).otherwise(F.col(k)).alias(k) for k in keys],
-        F.concat(*[F.col(f"_g_{k}") for k in keys]).alias("_celula"),
-        value,
-        "n",
-    )
-    return quantiles_of_counts(labelled, [*keys, "_celula"], value, [0.5]).select(
+    return cube_quantiles(counts, keys, value, totals, [0.5]).select(
         *keys,
         F.round(value, 2).alias("salario_mediano"),
         F.col("total").alias("admissoes_com_salario"),

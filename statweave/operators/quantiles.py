@@ -8,7 +8,7 @@ the values: one step works across the bins of a group, another inside a single b
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
@@ -38,39 +38,92 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
     return left.join(renamed, condition).drop(*[f"_r_{k}" for k in keys])
 
 
-def quantiles_of_counts(
-    counts: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], n: str = "n"
+def _locate(
+    bins: DataFrame, keys: Sequence[str], probabilities: Sequence[float], size: str = "_size"
 ) -> DataFrame:
-    """(keys.., p, total, value): the smallest value whose cumulative count reaches ``ceil(p * total)``.
-
-    ``counts`` holds one row per (keys, value) with its frequency. First the bin that
-    holds the wanted rank is found from bin totals, then only that bin is ranked.
-    """
-    binned = counts.withColumn("_bin", ordered_bin(F.col(value)))
+    """(keys.., _bin, p, total, _rest): the bin holding each wanted rank, and the rank inside it."""
     group = Window.partitionBy(*keys)
-    upto = F.sum("_size").over(group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0))
+    upto = F.sum(size).over(group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0))
     wanted = F.array(*[F.lit(Decimal(str(p))) for p in probabilities])
-    located = (
-        binned.groupBy(*keys, "_bin")
-        .agg(F.sum(n).alias("_size"))
-        .withColumns({"_upto": upto, "total": F.sum("_size").over(group)})
+    return (
+        bins.withColumns({"_upto": upto, "total": F.sum(size).over(group)})
         .withColumn("p", F.explode(wanted))
         .withColumn("_rank", F.greatest(F.ceil(F.col("p") * F.col("total")).cast("long"), F.lit(1)))
-        .where((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_size")))
+        .where((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col(size)))
         .select(
             *keys, "_bin", F.col("p").cast("double").alias("p"), "total",
-            (F.col("_rank") - F.col("_upto") + F.col("_size")).alias("_rest"),
+            (F.col("_rank") - F.col("_upto") + F.col(size)).alias("_rest"),
         )
     )
-    inside = Window.partitionBy(*keys, "p").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+
+
+def _pick(inside: DataFrame, keys: Sequence[str], value: str, n: str) -> DataFrame:
+    """The value at rank ``_rest`` among the counted values of one bin."""
+    ordered = Window.partitionBy(*keys, "p").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        null_safe_join(binned, located, [*keys, "_bin"])
-        .withColumn("_cum", F.sum(n).over(inside))
+        inside.withColumn("_cum", F.sum(n).over(ordered))
         .where((F.col("_rest") <= F.col("_cum")) & (F.col("_rest") > F.col("_cum") - F.col(n)))
         .select(*keys, "p", "total", value)
     )
 
 
+def quantiles_of_counts(
+    counts: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], n: str = "n"
+) -> DataFrame:
+    """(keys.., p, total, value): the smallest value whose cumulative count reaches ``ceil(p * total)``.
+
+    ``counts`` holds one row per (keys, value) with its frequency. First the bin that
+    holds the wanted rank is found from bin totals, then only that bin is ranked.
+    """
+    binned = counts.withColumn("_bin", ordered_bin(F.col(value)))
+    bins = binned.groupBy(*keys, "_bin").agg(F.sum(n).alias("_size"))
+    inside = null_safe_join(binned, _locate(bins, keys, probabilities), [*keys, "_bin"])
+    return _pick(inside, keys, value, n)
+
+
+def cube_cells(df: DataFrame, keys: Sequence[str], totals: Mapping[str, str]) -> DataFrame:
+    """Every row once in each cell of the cube over ``keys``: 2 ** len(keys) copies.
+
+    Adds ``_c_<key>`` (the member, or the total's label) and ``_t_<key>`` (whether it is
+    the total) so that a member spelled like the total stays a cell of its own.
+    """
+    for key in keys:
+        member = F.struct(F.col(key).alias(f"_c_{key}"), F.lit(False).alias(f"_t_{key}"))
+        total = F.struct(F.lit(totals[key]).alias(f"_c_{key}"), F.lit(True).alias(f"_t_{key}"))
+        df = df.select("*", F.inline(F.array(member, total)))
+    return df
+
+
+def cube_quantiles(
+    counts: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    totals: Mapping[str, str],
+    probabilities: Sequence[float],
+    n: str = "n",
+) -> DataFrame:
+    """(keys.., p, total, value) for every cell of the cube over ``keys``, exactly.
+
+    Copying every counted value into all its cells would multiply the largest data of
+    the job. Only bin totals are copied: they tell which bin each cell needs, and each
+    counted value then meets just the cells that asked for its bin.
+    """
+    cell = [f"{prefix}{key}" for key in keys for prefix in ("_c_", "_t_")]
+    binned = counts.withColumn("_bin", ordered_bin(F.col(value)))
+    bins = binned.groupBy(*keys, "_bin").agg(F.sum(n).alias("_size"))
+    cells = cube_cells(bins, keys, totals).groupBy(*cell, "_bin").agg(F.sum("_size").alias("_size"))
+    members = cube_cells(bins.select(*keys).distinct(), keys, totals)
+    wanted = null_safe_join(members, _locate(cells, cell, probabilities), cell)
+    inside = (
+        null_safe_join(binned, wanted, [*keys, "_bin"])
+        .groupBy(*cell, "p", "total", "_rest", value)
+        .agg(F.sum(n).alias(n))
+    )
+    return _pick(inside, cell, value, n).select(
+        *[F.col(f"_c_{key}").alias(key) for key in keys], "p", "total", value
+    )
+
+
 def group_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float]
 ) -> DataFrame:
