@@ -29,14 +29,16 @@ def age_band(age: Column, bands: Sequence[tuple[int, int, str]] = R.AGE_BANDS) -
 
 
 def ratio_band(
-    value: Column,
-    reference: Column,
+    ratio: Column,
     missing: str = R.NO_MONTHLY_WAGE,
     edges: Sequence[tuple[float, str]] = R.RATIO_BANDS,
     above: str = R.RATIO_ABOVE,
 ) -> Column:
-    """Band of value/reference with inclusive upper edges; an unknown reference is missing."""
-    ratio = F.try_divide(value, reference)
+    """Band of a value given in references, with inclusive upper edges.
+
+    A missing value and a missing reference both leave the ratio NULL, which has its
+    own label instead of falling into the last band.
+    """
     return _case([(ratio.isNull(), F.lit(missing)), *_upper_edges(ratio, edges, above)])
 
 

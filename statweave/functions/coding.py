@@ -11,10 +11,13 @@ from .. import rulebook as R
 
 
 def _lookup(key: Column, table: Mapping) -> Column:
-    expr = None
-    for code, result in table.items():
-        expr = F.when(key == F.lit(code), F.lit(result)) if expr is None else expr.when(key == F.lit(code), F.lit(result))
-    return expr
+    """Value of a key in a literal map, NULL for an unknown key.
+
+    A map is looked up once per row however many entries it has; a CASE chain would
+    repeat the key expression in every branch and bloat the generated code.
+    """
+    entries = [F.lit(item) for pair in table.items() for item in pair]
+    return F.try_element_at(F.create_map(*entries), key)
 
 
 def conform_label(code: Column | str, labels: Mapping[str, str]) -> Column:

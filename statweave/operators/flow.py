@@ -74,17 +74,17 @@ def flow_by(
 ) -> DataFrame:
     """Additive flow fact at the grain of ``keys``: any filter is a plain sum over it."""
     wage = year_lookup(period_year(F.col("competencia_mov")), wages)
+    rated = in_window(silver).withColumn("_razao", F.try_divide(F.col("salario_mensal"), wage))
     known = {
         "faixa_etaria": F.coalesce("faixa_etaria", F.lit(R.UNKNOWN_F)),
         "sexo": F.coalesce("sexo", F.lit(R.UNKNOWN_M)),
         "raca_cor": F.coalesce("raca_cor", F.lit(R.UNKNOWN_F)),
         "aprendiz": F.col("categoria_codigo") == R.APPRENTICE,
-        "faixa_salarial_sm": ratio_band(F.col("salario_mensal"), wage),
+        "faixa_salarial_sm": ratio_band(F.col("_razao")),
     }
     columns = list(dict.fromkeys([_CODE_OF.get(k, k) for k in keys] + ["municipio_codigo"]))
     grouped = (
-        in_window(silver)
-        .select(*[known.get(c, F.col(c)).alias(c) for c in columns], "efeito", "saldo_movimentacao")
+        rated.select(*[known.get(c, F.col(c)).alias(c) for c in columns], "efeito", "saldo_movimentacao")
         .groupBy(*columns)
         .agg(*flow_measures())
         .join(areas, "municipio_codigo")

@@ -54,9 +54,7 @@ def stock_by(
         "sexo": F.coalesce("sexo", F.lit(R.UNKNOWN_M)),
         "raca_cor": F.coalesce("raca_cor", F.lit(R.UNKNOWN_F)),
         "faixa_horas": hour_band(hours),
-        "faixa_renda_sm": F.when(pay.isNull(), F.lit(R.NO_PAY)).otherwise(
-            ratio_band(pay, year_lookup(F.col("ano_base"), wages), missing=R.NO_PAY)
-        ),
+        "faixa_renda_sm": ratio_band(F.col("_razao"), missing=R.NO_PAY),
     }
     formulas = {
         "vinculos": F.count(F.lit(1)),
@@ -73,6 +71,7 @@ def stock_by(
     values = ["remuneracao_dezembro_nominal", "remuneracao_media_nominal", "tempo_emprego_meses", "horas_contratuais"]
     grouped = (
         active_only(silver)
+        .withColumn("_razao", F.try_divide(pay, year_lookup(F.col("ano_base"), wages)))
         .select(*[known.get(c, F.col(c)).alias(c) for c in columns], *values)
         .groupBy(*columns)
         .agg(*[formulas[m].alias(m) for m in measures])

@@ -12,6 +12,7 @@ from .. import functions as fn
 from .. import rulebook as R
 from ..operators import cuts, flow, inequality, profile, quality, specialization, stock, survey
 from ..operators.cleanse import cleanse
+from ..session import tuned
 from ..sources import feeds, files, landing
 from ..sources.scratch import scratch_path
 from ..streaming import ingest
@@ -25,7 +26,7 @@ c = F.col
 
 
 def register(build: Callable[[Lake], DataFrame]) -> Callable[[Lake], DataFrame]:
-    QUERIES[build.__name__] = lambda spark, sf_dir: build(Lake(spark, sf_dir))
+    QUERIES[build.__name__] = lambda spark, sf_dir: build(Lake(tuned(spark), sf_dir))
     return build
 
 
@@ -328,7 +329,7 @@ def signed_effect(lake: Lake) -> DataFrame:
 
 @register
 def plausible_value(lake: Lake) -> DataFrame:
-    typed = cleanse(lake.flow_raw, silver.flow_spec(lake.rules))
+    typed = cleanse(lake.flow_raw, *silver.flow_rules(lake.rules))
     year = fn.period_year(c("competencia_mov")).alias("ano")
     return typed.groupBy(year, "unidade_salario_codigo").agg(
         F.count(F.lit(1)).alias("linhas"), F.count("salario_informado").alias("informados"),
@@ -339,10 +340,10 @@ def plausible_value(lake: Lake) -> DataFrame:
 
 @register
 def ratio_bands(lake: Lake) -> DataFrame:
-    typed = cleanse(lake.flow_raw, silver.flow_spec(lake.rules))
-    year = fn.period_year(c("competencia_mov"))
-    band = fn.ratio_band(c("salario_informado"), fn.year_lookup(year, lake.rules.wages))
-    return _counts(typed.select(year.alias("ano"), band.alias("faixa_salarial_sm")), "ano", "faixa_salarial_sm")
+    typed = cleanse(lake.flow_raw, *silver.flow_rules(lake.rules))
+    rated = typed.select(fn.period_year(c("competencia_mov")).alias("ano"),
+                         F.try_divide("salario_informado", "salario_minimo").alias("razao"))
+    return _counts(rated.withColumn("faixa_salarial_sm", fn.ratio_band(c("razao"))), "ano", "faixa_salarial_sm")
 
 
 @register
@@ -375,7 +376,7 @@ def rule_set_membership(lake: Lake) -> DataFrame:
 
 @register
 def turnover_flags(lake: Lake) -> DataFrame:
-    typed = cleanse(lake.stock_raw, silver.stock_spec(lake.rules))
+    typed = cleanse(lake.stock_raw, *silver.stock_rules(lake.rules))
     return _counts(typed, "mes_admissao", "mes_desligamento", "tipo_vinculo_codigo", "motivo_desligamento_codigo",
                    "admissao_rotatividade", "desligamento_rotatividade")
 
@@ -431,7 +432,7 @@ def region_filter(lake: Lake) -> DataFrame:
 
 @register
 def active_only(lake: Lake) -> DataFrame:
-    typed = cleanse(lake.stock_raw, silver.stock_spec(lake.rules))
+    typed = cleanse(lake.stock_raw, *silver.stock_rules(lake.rules))
     return _counts(stock.active_only(typed), "ano_base", "municipio_codigo")
 
 
@@ -752,7 +753,7 @@ def late_revisions(lake: Lake) -> DataFrame:
 
 @register
 def expect_or_drop(lake: Lake) -> DataFrame:
-    typed = cleanse(lake.flow_raw, silver.flow_spec(lake.rules))
+    typed = cleanse(lake.flow_raw, *silver.flow_rules(lake.rules))
     kept = quality.expect_or_drop(typed, silver.flow_checks(lake.rules)[0])
     return kept.groupBy("municipio_codigo").agg(F.count(F.lit(1)).alias("linhas"), F.sum("efeito").alias("efeito"))
 
@@ -760,7 +761,7 @@ def expect_or_drop(lake: Lake) -> DataFrame:
 @register
 def expect_report(lake: Lake) -> DataFrame:
     dropping, measured = silver.flow_checks(lake.rules)
-    return quality.expect_report(cleanse(lake.flow_raw, silver.flow_spec(lake.rules)), {**dropping, **measured})
+    return quality.expect_report(cleanse(lake.flow_raw, *silver.flow_rules(lake.rules)), {**dropping, **measured})
 
 
 @register

@@ -13,23 +13,20 @@ from ..operators.quality import expect_or_drop, observe_checks
 AUDIT = ["_rescued_data", "_arquivo_origem"]
 
 
-def flow_spec(rules: R.Rules) -> dict[str, Column]:
+def flow_rules(rules: R.Rules) -> list[dict[str, Column]]:
+    """Typing, then the rules over typed columns."""
     c = F.col
-    balance, age, pay = fn.integer("saldomovimentacao"), fn.integer("idade"), fn.decimal_comma("salario")
-    month = fn.integer("competenciamov")
-    wage = fn.year_lookup(fn.period_year(month), rules.wages)
-    return {
+    typed = {
         "origem_arquivo": c("tipo"),
         "competencia_divulgacao": c("competencia"),
-        "competencia_mov": month,
+        "competencia_mov": fn.integer("competenciamov"),
         "competencia_dec": fn.integer("competenciadec"),
         "competencia_exc": fn.integer("competenciaexc"),
         "municipio_codigo": fn.integer("municipio"),
         "cnae_secao": c("secao"),
         "cnae_subclasse": c("subclasse"),
         "cbo_codigo": c("cbo2002ocupacao"),
-        "saldo_movimentacao": balance,
-        "efeito": fn.signed_effect(balance, c("tipo")),
+        "saldo_movimentacao": fn.integer("saldomovimentacao"),
         "tipo_movimentacao": fn.integer("tipomovimentacao"),
         "categoria_codigo": c("categoria"),
         "sexo_codigo": c("sexo"),
@@ -37,15 +34,20 @@ def flow_spec(rules: R.Rules) -> dict[str, Column]:
         "raca_cor_codigo": c("racacor"),
         "raca_cor": fn.conform_label("racacor", rules.flow_race),
         "grau_instrucao_codigo": fn.integer("graudeinstrucao"),
-        "idade": age,
-        "faixa_etaria": fn.age_band(age),
+        "idade": fn.integer("idade"),
         "horas_contratuais": fn.decimal_comma("horascontratuais"),
         "tempo_parcial": fn.code_flag(c("indtrabparcial"), "1"),
         "intermitente": fn.code_flag(c("indtrabintermitente"), "1"),
-        "salario_informado": pay,
+        "salario_informado": fn.decimal_comma("salario"),
         "unidade_salario_codigo": c("unidadesalariocodigo"),
-        "salario_mensal": fn.plausible_value(pay, c("unidadesalariocodigo"), wage),
     }
+    by_code = {
+        "efeito": fn.signed_effect(c("saldo_movimentacao"), c("origem_arquivo")),
+        "faixa_etaria": fn.age_band(c("idade")),
+        "salario_minimo": fn.year_lookup(fn.period_year(c("competencia_mov")), rules.wages),
+    }
+    pay = fn.plausible_value(c("salario_informado"), c("unidade_salario_codigo"), c("salario_minimo"))
+    return [typed, by_code, {"salario_mensal": pay}]
 
 
 def flow_checks(rules: R.Rules) -> tuple[dict[str, Column], dict[str, Column]]:
@@ -59,24 +61,23 @@ def flow_checks(rules: R.Rules) -> tuple[dict[str, Column], dict[str, Column]]:
         "salario_convertido": c("salario_informado").isNotNull(),
         "idade_plausivel": c("idade").between(14, 100),
         "tem_salario_mensal_plausivel": c("salario_mensal").isNotNull(),
-        "ano_com_salario_minimo": fn.period_year(c("competencia_mov")).isin(list(rules.wages)),
+        "ano_com_salario_minimo": c("salario_minimo").isNotNull(),
     }
     return dropping, measured
 
 
-def stock_spec(rules: R.Rules) -> dict[str, Column]:
+def stock_rules(rules: R.Rules) -> list[dict[str, Column]]:
+    """Typing, then the rules over typed columns."""
     c, i = F.col, fn.integer
-    age, contract, reason = i("idade"), i("tipo_vinculo_codigo"), i("motivo_desligamento_codigo")
-    entry, exit_ = fn.turnover_flags(i("mes_admissao_codigo"), i("mes_desligamento_codigo"), contract, reason)
-    return {
+    typed = {
         "ano_base": c("ano_base"),
         "municipio_codigo": i("municipio_codigo"),
         "ativo_31_12": fn.code_flag(i("ind_vinculo_ativo_31_12_codigo"), 1),
-        "tipo_vinculo_codigo": contract,
+        "tipo_vinculo_codigo": i("tipo_vinculo_codigo"),
         "tipo_admissao_codigo": i("tipo_admissao_trabalhador_codigo"),
         "mes_admissao": i("mes_admissao_codigo"),
         "mes_desligamento": i("mes_desligamento_codigo"),
-        "motivo_desligamento_codigo": reason,
+        "motivo_desligamento_codigo": i("motivo_desligamento_codigo"),
         "categoria_trabalhador_codigo": i("categoria_trabalhador_codigo"),
         "cnae_classe": i("cnae_2_0_classe_codigo"),
         "cnae_subclasse": i("cnae_2_0_subclasse_codigo"),
@@ -84,24 +85,30 @@ def stock_spec(rules: R.Rules) -> dict[str, Column]:
         "ibge_subsetor_codigo": i("ibge_subsetor_codigo"),
         "tamanho_estabelecimento_codigo": i("tamanho_estabelecimento_codigo"),
         "optante_simples": fn.code_flag(i("ind_estabelecimento_participante_simples_codigo"), 1),
-        "elegivel_porte": fn.in_set(i("natureza_juridica_codigo"), R.SIZE_ELIGIBLE_NATURES),
-        "estatutario": fn.in_set(contract, R.STATUTORY_TYPES),
-        "admissao_rotatividade": entry,
-        "desligamento_rotatividade": exit_,
         "cbo_codigo": F.trim("cbo_2002_ocupacao_codigo"),
         "sexo_codigo": c("sexo_codigo"),
         "sexo": fn.conform_label("sexo_codigo", rules.stock_sex),
         "raca_cor_codigo": c("raca_cor_codigo"),
         "raca_cor": fn.conform_label("raca_cor_codigo", rules.stock_race),
         "grau_instrucao_codigo": i("escolaridade_apos_2005_codigo"),
-        "idade": age,
-        "faixa_etaria": fn.age_band(age),
+        "idade": i("idade"),
         "pcd": fn.code_flag(i("ind_portador_defic_codigo"), 1),
         "horas_contratuais": i("qtd_hora_contr"),
         "tempo_emprego_meses": fn.decimal_point("tempo_emprego"),
         "remuneracao_media_nominal": fn.positive_or_null("vl_rem_media_nom"),
         "remuneracao_dezembro_nominal": fn.positive_or_null("vl_rem_dezembro_nom"),
     }
+    entry, exit_ = fn.turnover_flags(
+        c("mes_admissao"), c("mes_desligamento"), c("tipo_vinculo_codigo"), c("motivo_desligamento_codigo")
+    )
+    derived = {
+        "elegivel_porte": fn.in_set(c("natureza_juridica_codigo"), R.SIZE_ELIGIBLE_NATURES),
+        "estatutario": fn.in_set(c("tipo_vinculo_codigo"), R.STATUTORY_TYPES),
+        "admissao_rotatividade": entry,
+        "desligamento_rotatividade": exit_,
+        "faixa_etaria": fn.age_band(c("idade")),
+    }
+    return [typed, derived]
 
 
 def stock_checks(rules: R.Rules) -> tuple[dict[str, Column], dict[str, Column]]:
@@ -115,10 +122,10 @@ def stock_checks(rules: R.Rules) -> tuple[dict[str, Column], dict[str, Column]]:
     return dropping, measured
 
 
-def survey_spec(rules: R.Rules) -> dict[str, Column]:
+def survey_rules(rules: R.Rules) -> list[dict[str, Column]]:
+    """Typing, then the rules over typed columns. NULL means "does not apply" and stays NULL."""
     c, i = F.col, fn.integer
-    age, position, registry = i("idade"), i("posicao_categoria"), i("negocio_cnpj")
-    return {
+    typed = {
         "ano": i("ano"),
         "trimestre": i("trimestre"),
         "mora_em_fortaleza": fn.code_flag(c("capital"), R.METRO_CODE),
@@ -127,23 +134,26 @@ def survey_spec(rules: R.Rules) -> dict[str, Column]:
         "sexo": fn.conform_label("sexo", rules.survey_sex),
         "raca_cor_codigo": c("cor_raca"),
         "raca_cor": fn.conform_label("cor_raca", rules.survey_race),
-        "idade": age,
-        "faixa_etaria": fn.age_band(age),
+        "idade": i("idade"),
         "nivel_instrucao_codigo": i("nivel_instrucao"),
         "condicao_forca_trabalho": i("condicao_forca_trabalho"),
         "condicao_ocupacao": i("condicao_ocupacao"),
         "forca_trabalho_potencial": i("forca_trabalho_potencial"),
         "subocupado": fn.code_flag(i("subocupacao"), 1),
         "desalentado": fn.code_flag(i("desalento"), 1),
-        "posicao_ocupacao_codigo": position,
+        "posicao_ocupacao_codigo": i("posicao_categoria"),
         "grupamento_atividade_codigo": i("grupamento_atividade"),
         "grupamento_ocupacional_codigo": i("grupamento_ocupacional"),
         "contribui_previdencia": fn.code_flag(i("contribuicao_previdenciaria"), 1),
-        "negocio_cnpj_codigo": registry,
-        "informal": fn.informality(position, registry),
+        "negocio_cnpj_codigo": i("negocio_cnpj"),
         "rendimento_habitual": fn.decimal_point("rendimento_habitual"),
         "rendimento_efetivo": fn.decimal_point("rendimento_efetivo"),
     }
+    derived = {
+        "faixa_etaria": fn.age_band(c("idade")),
+        "informal": fn.informality(c("posicao_ocupacao_codigo"), c("negocio_cnpj_codigo")),
+    }
+    return [typed, derived]
 
 
 def survey_checks() -> tuple[dict[str, Column], dict[str, Column]]:
@@ -162,7 +172,7 @@ def _checked(
 
 
 def flow_silver(raw: DataFrame, rules: R.Rules, observation: Observation | None = None) -> DataFrame:
-    return _checked(cleanse(raw, flow_spec(rules), keep=AUDIT), flow_checks(rules), observation)
+    return _checked(cleanse(raw, *flow_rules(rules), keep=AUDIT), flow_checks(rules), observation)
 
 
 def with_section_and_size(typed: DataFrame, classes: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -179,7 +189,7 @@ def stock_silver(
     sizes: DataFrame,
     observation: Observation | None = None,
 ) -> DataFrame:
-    typed = with_section_and_size(cleanse(raw, stock_spec(rules), keep=AUDIT), classes, sizes)
+    typed = with_section_and_size(cleanse(raw, *stock_rules(rules), keep=AUDIT), classes, sizes)
     return _checked(typed, stock_checks(rules), observation)
 
 
@@ -197,4 +207,4 @@ def wide_region(raw: DataFrame) -> DataFrame:
 
 
 def survey_silver(raw: DataFrame, rules: R.Rules, observation: Observation | None = None) -> DataFrame:
-    return _checked(cleanse(raw, survey_spec(rules), keep=AUDIT), survey_checks(), observation)
+    return _checked(cleanse(raw, *survey_rules(rules), keep=AUDIT), survey_checks(), observation)
