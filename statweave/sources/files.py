@@ -56,11 +56,12 @@ def with_audit(df: DataFrame) -> DataFrame:
     return df.withColumns({"_arquivo_origem": F.col("_metadata.file_path"), "_ingerido_em": F.current_timestamp()})
 
 
-def rescue(wide: DataFrame, schema: T.StructType) -> DataFrame:
+def rescue(wide: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
     """Fit rows to a declared schema; whatever does not fit goes to ``_rescued_data`` as JSON.
 
     Rescued are undeclared columns and texts that do not convert to the declared type.
-    Rows that fit entirely have NULL there, so a count of it is an alarm.
+    Rows that fit entirely have NULL there, so a count of it is an alarm. ``keep`` names
+    columns added on the way, which are neither declared nor rescued.
     """
     declared = {f.name: f.dataType for f in schema}
     fitted, spilled = [], []
@@ -72,7 +73,8 @@ def rescue(wide: DataFrame, schema: T.StructType) -> DataFrame:
         fitted.append(value.alias(name))
         if wide.schema[name].dataType != kind:
             spilled.append(F.when(value.isNull(), F.col(name)).alias(name))
-    spilled += [F.col(name) for name in wide.columns if name not in declared]
+    spilled += [F.col(name) for name in wide.columns if name not in declared and name not in keep]
+    fitted += [F.col(name) for name in keep]
     if not spilled:
         return wide.select(*fitted, F.lit(None).cast("string").alias("_rescued_data"))
     something = F.coalesce(*[c.cast("string") for c in spilled]).isNotNull()
