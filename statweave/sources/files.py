@@ -27,13 +27,13 @@ def text_schema(columns: Iterable[str], **typed: str) -> T.StructType:
     return T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in kinds.items()))
 
 
-def scan_partitioned(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def scan_partitioned(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Parquet in ``key=value`` folders: the folder columns become columns of the table."""
     reader = spark.read.option("basePath", path)
     return (reader if schema is None else reader.schema(schema)).parquet(path)
 
 
-def scan_ignoring_folders(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def scan_ignoring_folders(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Parquet whose folder names repeat columns of the files: the file values win."""
     reader = spark.read.option("recursiveFileLookup", "true")
     return (reader if schema is None else reader.schema(schema)).parquet(path)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .files import scan_partitioned, write_partitioned
 
 RELEASE = ["tipo", "competencia"]
+RELEASE_SCHEMA = "tipo string, competencia int"
 # The on-time file goes last: its folder marks the release as complete.
 COMMIT_ORDER = ("FOR", "EXC", "MOV")
 
@@ -56,7 +57,7 @@ def new_periods(summary: DataFrame) -> DataFrame:
 def landed_releases(spark: SparkSession, path: str) -> DataFrame | None:
     """Releases found in the landing folder; None while the folder does not exist."""
     try:
-        return releases(scan_partitioned(spark, path))
+        return releases(scan_partitioned(spark, path, RELEASE_SCHEMA))
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
