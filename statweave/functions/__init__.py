@@ -15,12 +15,12 @@ from .coding import (
     year_lookup,
 )
 from .parsing import decimal_comma, decimal_point, integer, positive_or_null
-from .periods import month_index, period_year
+from .periods import is_month, month_index, period_year, shift_months
 
 __all__ = [
     "age_band", "code_flag", "conform_label", "decimal_comma", "decimal_point",
     "default_label", "eligible_size", "group_members", "hour_band", "in_set",
-    "informality", "integer", "major_group", "month_index", "period_year",
+    "informality", "integer", "is_month", "major_group", "month_index", "period_year",
     "plausible_value", "positive_or_null", "ratio_band", "signed_effect",
-    "simple_case", "turnover_flags", "year_lookup",
+    "shift_months", "simple_case", "turnover_flags", "year_lookup",
 ]

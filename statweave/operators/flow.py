@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rulebook as R
-from ..functions import month_index, period_year, ratio_band, year_lookup
+from ..functions import is_month, period_year, ratio_band, shift_months, year_lookup
 from .quantiles import cube_quantiles, value_counts
 
 FLOW_KEYS = [
@@ -32,19 +32,25 @@ _CODE_OF = {
 }
 
 
-def last_month(silver: DataFrame, kind: str = "MOV") -> Column:
-    """Month index of the newest on-time release, as a scalar subquery."""
-    newest = silver.where(F.col("origem_arquivo") == kind).agg(F.max(month_index(F.col("competencia_mov"))))
-    return newest.scalar()
+def last_month(silver: DataFrame, shift: int = 0, kind: str = "MOV") -> Column:
+    """Newest on-time month (``yyyymm``) moved by some months, as a scalar subquery."""
+    month = F.col("competencia_mov")
+    newest = silver.where((F.col("origem_arquivo") == kind) & is_month(month)).agg(F.max(month).alias("_m"))
+    return newest.select(shift_months(F.col("_m"), shift)).scalar()
 
 
 def in_window(silver: DataFrame, months: int = R.WINDOW_MONTHS) -> DataFrame:
-    """Events of the last ``months`` months up to the newest on-time month; no upper bound."""
-    return silver.where(month_index(F.col("competencia_mov")) > last_month(silver) - months)
+    """Events of the last ``months`` months up to the newest on-time month; no upper bound.
+
+    The column is compared as it is with a bound worked out once, so the filter can also
+    skip row groups of a stored silver table.
+    """
+    month = F.col("competencia_mov")
+    return silver.where((month > last_month(silver, -months)) & is_month(month))
 
 
 def preliminary(silver: DataFrame, months: int = R.PRELIMINARY_MONTHS) -> Column:
-    return month_index(F.col("competencia_mov")) > last_month(silver) - months
+    return F.col("competencia_mov") > last_month(silver, -months)
 
 
 def flow_measures() -> list[Column]:

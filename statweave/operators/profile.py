@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import decimal_comma
 from .cuts import stable_round
-from .quantiles import group_quantiles
+from .quantiles import quantiles_of_counts
 
 
 def revision_reach(df: DataFrame, kind: str, month: str, before: str) -> DataFrame:
@@ -31,18 +31,24 @@ def conditional_counts(df: DataFrame, keys: Sequence[str], conditions: Mapping[s
 def percentile_profile(
     df: DataFrame, keys: Sequence[str], value: Column, probabilities: Mapping[str, float]
 ) -> DataFrame:
-    """(keys.., n, one column per percentile, media): exact percentiles of each group."""
-    valued = df.select(*keys, value.alias("_v"))
-    ranked = group_quantiles(valued, keys, "_v", list(probabilities.values()))
-    wide = ranked.groupBy(*keys).agg(
+    """(keys.., n, one column per percentile, media): exact percentiles of each group.
+
+    Everything is computed from one table of value counts. Rows without a value are
+    counted in ``n`` but weigh nothing in the percentiles.
+    """
+    counts = df.select(*keys, value.alias("_v")).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    weighed = counts.withColumn("_k", F.when(F.col("_v").isNull(), 0).otherwise(F.col("_n")))
+    ranked = quantiles_of_counts(weighed, keys, "_v", list(probabilities.values()), n="_k")
+    wide = ranked.groupBy(*[F.col(k).alias(f"_r_{k}") for k in keys]).agg(
         *[F.max(F.when(F.col("p") == p, F.col("_v"))).alias(name) for name, p in probabilities.items()]
     )
-    base = valued.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), stable_round(F.try_divide(F.sum("_v"), F.count("_v")), 0).alias("media")
-    )
-    renamed = wide.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    base = weighed.groupBy(*keys).agg(F.sum("_n").alias("n"), _mean_of_counts().alias("media"))
     same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    return base.join(renamed, same, "left").select(*keys, "n", *probabilities, "media")
+    return base.join(wide, same, "left").select(*keys, "n", *probabilities, "media")
+
+
+def _mean_of_counts() -> Column:
+    return stable_round(F.try_divide(F.sum(F.col("_v") * F.col("_k")), F.sum("_k")), 0)
 
 
 def cast_success(df: DataFrame, text: str) -> DataFrame:
@@ -79,11 +85,12 @@ def band_profile(df: DataFrame, band: Column, hours: Column, flag: Column) -> Da
 def rule_impact(df: DataFrame, value: Column, rules: Mapping[str, Column]) -> DataFrame:
     """(regra, n, mediana, media): how a rule changes the result, one row per rule."""
     tagged = F.array(*[F.struct(F.lit(name).alias("regra"), cond.alias("_ok")) for name, cond in rules.items()])
-    kept = (
-        df.select(value.alias("_v"), F.inline(tagged)).where(F.col("_ok") & F.col("_v").isNotNull())
+    kept = df.select(value.alias("_v"), F.inline(tagged)).where(F.col("_ok") & F.col("_v").isNotNull())
+    counts = kept.groupBy("regra", "_v").agg(F.count(F.lit(1)).alias("_k"))
+    summary = counts.groupBy("regra").agg(F.sum("_k").alias("n"), _mean_of_counts().alias("media"))
+    medians = quantiles_of_counts(counts, ["regra"], "_v", [0.5], n="_k").select(
+        "regra", F.round("_v", 0).alias("mediana")
     )
-    summary = kept.groupBy("regra").agg(F.count(F.lit(1)).alias("n"), stable_round(F.avg("_v"), 0).alias("media"))
-    medians = group_quantiles(kept, ["regra"], "_v", [0.5]).select("regra", F.round("_v", 0).alias("mediana"))
     return summary.join(medians, "regra").select("regra", "n", "mediana", "media")
 
 

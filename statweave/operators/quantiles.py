@@ -84,13 +84,15 @@ def quantiles_of_counts(
 def cube_cells(df: DataFrame, keys: Sequence[str], totals: Mapping[str, str]) -> DataFrame:
     """Every row once in each cell of the cube over ``keys``: 2 ** len(keys) copies.
 
-    Adds ``_c_<key>`` (the member, or the total's label) and ``_t_<key>`` (whether it is
-    the total) so that a member spelled like the total stays a cell of its own.
+    Adds ``_c_<key>`` (the member, or the total's label) and ``_totals``, a bit mask of
+    the keys that are totals, so that a member spelled like the total stays apart.
     """
-    for key in keys:
-        member = F.struct(F.col(key).alias(f"_c_{key}"), F.lit(False).alias(f"_t_{key}"))
-        total = F.struct(F.lit(totals[key]).alias(f"_c_{key}"), F.lit(True).alias(f"_t_{key}"))
-        df = df.select("*", F.inline(F.array(member, total)))
+    df = df.withColumn("_totals", F.lit(0))
+    for position, key in enumerate(keys):
+        mask = F.col("_totals")
+        member = F.struct(F.col(key).alias(f"_c_{key}"), mask.alias("_mask"))
+        total = F.struct(F.lit(totals[key]).alias(f"_c_{key}"), (mask + F.lit(1 << position)).alias("_mask"))
+        df = df.select("*", F.inline(F.array(member, total))).drop("_totals").withColumnRenamed("_mask", "_totals")
     return df
 
 
@@ -108,7 +110,7 @@ def cube_quantiles(
     the job. Only bin totals are copied: they tell which bin each cell needs, and each
     counted value then meets just the cells that asked for its bin.
     """
-    cell = [f"{prefix}{key}" for key in keys for prefix in ("_c_", "_t_")]
+    cell = [*(f"_c_{key}" for key in keys), "_totals"]
     binned = counts.withColumn("_bin", ordered_bin(F.col(value)))
     bins = binned.groupBy(*keys, "_bin").agg(F.sum(n).alias("_size"))
     cells = cube_cells(bins, keys, totals).groupBy(*cell, "_bin").agg(F.sum("_size").alias("_size"))

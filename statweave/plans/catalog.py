@@ -501,9 +501,9 @@ def join_left_composite(lake: Lake) -> DataFrame:
 @register
 def join_cross_scalar(lake: Lake) -> DataFrame:
     """Every month beside the newest on-time month, without a cross join."""
-    month = fn.month_index(c("competencia_mov"))
+    newest = fn.month_index(flow.last_month(lake.flow_silver))
     return _counts(lake.flow_silver, "competencia_mov").withColumn(
-        "meses_ate_a_ultima", (flow.last_month(lake.flow_silver) - month).cast("int"))
+        "meses_ate_a_ultima", (newest - fn.month_index(c("competencia_mov"))).cast("int"))
 
 
 @register
@@ -552,13 +552,13 @@ def stock_by_occupation(lake: Lake) -> DataFrame:
 
 @register
 def gini(lake: Lake) -> DataFrame:
-    index = inequality.gini(lake.stock_silver, lake.areas, region=lake.rules.region)
+    index = inequality.gini(lake.stock_plain, lake.areas, region=lake.rules.region)
     return index.withColumn("gini", cuts.stable_round(c("gini"), 5))
 
 
 @register
 def turnover_rate(lake: Lake) -> DataFrame:
-    return inequality.turnover_rate(lake.stock_silver, lake.areas, lake.rules.region)
+    return inequality.turnover_rate(lake.stock_plain, lake.areas, lake.rules.region)
 
 
 @register

@@ -62,6 +62,11 @@ class Lake:
     def stock_silver(self) -> DataFrame:
         return silver.stock_silver(self.stock_raw, self.rules, self.classes, self.sizes)
 
+    @cached_property
+    def stock_plain(self) -> DataFrame:
+        """The same contracts without the section and size lookups, which add no rows and drop none."""
+        return silver.stock_without_lookups(self.stock_raw, self.rules)
+
     @cached_property
     def survey_silver(self) -> DataFrame:
         return silver.survey_silver(self.survey_raw, self.rules)
@@ -79,17 +84,18 @@ class Lake:
         return flow.median_cube(self.median_values())
 
     def stock(self, *keys: str) -> DataFrame:
-        return stock.stock_by(
-            self.stock_silver, self.areas, self.codes, keys or stock.STOCK_KEYS, wages=self.rules.wages
-        )
+        keys = keys or stock.STOCK_KEYS
+        looked_up = {"cnae_secao", "cnae_secao_descricao", "porte_oficial"} & set(keys)
+        source = self.stock_silver if looked_up else self.stock_plain
+        return stock.stock_by(source, self.areas, self.codes, keys, wages=self.rules.wages)
 
     def stock_occupations(self, *keys: str) -> DataFrame:
         return stock.stock_by(
-            self.stock_silver, self.areas, self.codes, keys or stock.OCCUPATION_KEYS, stock.OCCUPATION_MEASURES
+            self.stock_plain, self.areas, self.codes, keys or stock.OCCUPATION_KEYS, stock.OCCUPATION_MEASURES
         )
 
     def inequality(self) -> DataFrame:
-        return inequality.inequality_turnover(self.stock_silver, self.areas, self.rules.region)
+        return inequality.inequality_turnover(self.stock_plain, self.areas, self.rules.region)
 
     def regional_stock(self) -> DataFrame:
         return stock.regional_stock(silver.wide_region(self.stock_raw), self.classes)

@@ -193,6 +193,11 @@ def stock_silver(
     return _checked(typed, stock_checks(rules), observation)
 
 
+def stock_without_lookups(raw: DataFrame, rules: R.Rules) -> DataFrame:
+    """Contracts of the region, typed, for tables that need neither section nor firm size."""
+    return expect_or_drop(cleanse(raw, *stock_rules(rules), keep=AUDIT), stock_checks(rules)[0])
+
+
 def wide_region(raw: DataFrame) -> DataFrame:
     """The three columns of the wider region that the location quotient needs, typed."""
     return cleanse(
