@@ -41,11 +41,11 @@ DEFLATORS = [(2024, 1, 1.5, 1.25), (2024, 3, 1.25, 1.125), (2024, 4, 1.0, 1.0)]
 
 FLOW_SQL = """
 SELECT tipo,
-       CAST(floor((mes + defasagem) / 12.0) * 100 + (mes + defasagem) % 12 + 1 AS INT) AS competencia,
+       CAST(floor((mes + defasagem) / CAST(12 AS DOUBLE)) * 100 + (mes + defasagem) % 12 + 1 AS INT) AS competencia,
        CAST(ano * 100 + mes % 12 + 1 AS STRING) AS competenciamov,
        CAST(ano * 100 + mes % 12 + 1 AS STRING) AS competenciadec,
        CASE WHEN tipo = 'EXC'
-            THEN CAST(CAST(floor((mes + defasagem) / 12.0) * 100 + (mes + defasagem) % 12 + 1 AS INT) AS STRING)
+            THEN CAST(CAST(floor((mes + defasagem) / CAST(12 AS DOUBLE)) * 100 + (mes + defasagem) % 12 + 1 AS INT) AS STRING)
        END AS competenciaexc,
        CASE WHEN tipo = 'EXC' THEN '1' END AS indicadordeexclusao,
        ' ' || CAST(l_suppkey % 25 AS STRING) AS municipio,
