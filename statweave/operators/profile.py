@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import decimal_comma
+from ..functions import decimal_comma, decimal_point
 from .cuts import stable_round
 from .quantiles import quantiles_of_counts
 
@@ -55,7 +55,7 @@ def cast_success(df: DataFrame, text: str) -> DataFrame:
     """How many texts convert as they are, and how many after the decimal comma is handled."""
     return df.agg(
         F.count(F.lit(1)).alias("total"),
-        F.count(F.col(text).try_cast("double")).alias("convertidos_sem_tratar"),
+        F.count(decimal_point(text)).alias("convertidos_sem_tratar"),
         F.count(decimal_comma(text)).alias("convertidos_trocando_virgula"),
     )
 

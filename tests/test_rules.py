@@ -20,15 +20,15 @@ def one_column(spark, items, kind, column):
 
 
 def test_integer_trims_and_never_fails(spark):
-    texts = [" 84116", "12", "abc", None, "", "7,5"]
-    assert one_column(spark, texts, "string", fn.integer("v")) == [84116, 12, None, None, None, None]
+    texts = [" 84116", "12", "-3", "+4", "\t5\n", "abc", None, "", " ", "7,5", "7.0", "-", "5-", "1e3", "99999999999"]
+    assert one_column(spark, texts, "string", fn.integer("v")) == [84116, 12, -3, 4, 5] + [None] * 10
 
 
 def test_decimals(spark):
     assert one_column(spark, ["1628,51", " 0,00", "x", "NaN", "Infinity"], "string", fn.decimal_comma("v")) == [
         1628.51, 0.0, None, None, None]
-    assert one_column(spark, ["000411.81", "1518.00", ".00", "-Infinity"], "string", fn.decimal_point("v")) == [
-        411.81, 1518.0, 0.0, None]
+    assert one_column(spark, ["000411.81", "1518.00", ".00", "-1e3", "", "-Infinity"], "string", fn.decimal_point("v")) == [
+        411.81, 1518.0, 0.0, -1000.0, None, None]
 
 
 def test_zero_means_not_reported(spark):
