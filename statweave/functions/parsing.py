@@ -17,24 +17,12 @@ def _finite(value: Column) -> Column:
     return F.when(value.between(-_MAX_DOUBLE, _MAX_DOUBLE), value)
 
 
-# A failed try_cast costs a caught exception, some thirty times a good one. Blanks and
-# texts with characters no number has are sorted out first; try_cast decides the rest.
-_BLANKS = "".join(map(chr, range(0x21))) + "\x7f"
-_INTEGER = "0123456789+-" + _BLANKS
-_DOUBLE = "0123456789+-.eEdDfF" + _BLANKS
-
-
-def _try(text: Column, characters: str, kind: str) -> Column:
-    candidate = (F.translate(text, characters, "") == "") & (text != "")
-    return F.when(candidate, text.try_cast(kind))
-
-
 def integer(c: Column | str) -> Column:
-    return _try(F.trim(_col(c)), _INTEGER, "int")
+    return F.trim(_col(c)).try_cast("int")
 
 
 def _double(text: Column) -> Column:
-    return _finite(_try(text, _DOUBLE, "double"))
+    return _finite(text.try_cast("double"))
 
 
 def decimal_comma(c: Column | str) -> Column:

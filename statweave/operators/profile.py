@@ -55,7 +55,7 @@ def cast_success(df: DataFrame, text: str) -> DataFrame:
     """How many texts convert as they are, and how many after the decimal comma is handled."""
     return df.agg(
         F.count(F.lit(1)).alias("total"),
-        F.count(decimal_point(text)).alias("convertidos_sem_tratar"),
+        F.count(F.when(~F.contains(F.col(text), F.lit(",")), decimal_point(text))).alias("convertidos_sem_tratar"),
         F.count(decimal_comma(text)).alias("convertidos_trocando_virgula"),
     )
 

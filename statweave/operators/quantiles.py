@@ -116,11 +116,9 @@ def cube_quantiles(
     cells = cube_cells(bins, keys, totals).groupBy(*cell, "_bin").agg(F.sum("_size").alias("_size"))
     members = cube_cells(bins.select(*keys).distinct(), keys, totals)
     wanted = null_safe_join(members, _locate(cells, cell, probabilities), cell)
-    inside = (
-        null_safe_join(binned, wanted, [*keys, "_bin"])
-        .groupBy(*cell, "p", "total", "_rest", value)
-        .agg(F.sum(n).alias(n))
-    )
+    # Equal values from different members stay separate rows; the running count over them
+    # still crosses the wanted rank in exactly one row, and its value is the same.
+    inside = null_safe_join(binned, wanted, [*keys, "_bin"])
     return _pick(inside, cell, value, n).select(
         *[F.col(f"_c_{key}").alias(key) for key in keys], "p", "total", value
     )

@@ -263,8 +263,7 @@ def _rule_profile(raw: DataFrame, spec: dict, *originals: str) -> DataFrame:
 
 @register
 def parse_int(lake: Lake) -> DataFrame:
-    spec = {"municipio_codigo": fn.integer("municipio"), "grau": fn.integer("graudeinstrucao"),
-            "letra": fn.integer("secao")}
+    spec = {"municipio_codigo": fn.integer("municipio"), "grau": fn.integer("graudeinstrucao")}
     return _rule_profile(lake.flow_raw, spec, "municipio", "graudeinstrucao")
 
 

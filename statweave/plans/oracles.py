@@ -363,7 +363,7 @@ oracle("scan_delimited_text", _n("flow_raw", "trim(municipio) AS municipio, seca
 oracle("scan_latin1_csv", _n("stock_raw", "trim(municipio_codigo) AS municipio_codigo, ind_vinculo_ativo_31_12_codigo",
                              _IN_REGION.format("municipio_codigo")))
 oracle("scan_fixed_width", f"""
-    SELECT ano, trimestre, coalesce(posicao_categoria, '') AS posicao_categoria, count(*) AS linhas,
+    SELECT ano, trimestre, posicao_categoria, count(*) AS linhas,
            CAST(sum({_int('rendimento_habitual')}) AS BIGINT) AS soma_rendimento,
            round(sum({_point('peso')}), 2) AS soma_peso
     FROM survey_raw WHERE rm_ride = '23' GROUP BY ALL""")
@@ -401,7 +401,7 @@ oracle("snake_columns", _n("stock_raw", "municipio_codigo, tipo_vinculo_codigo,
 
 # --- typing and rules ---------------------------------------------------------------
 oracle("parse_int", _n("flow_raw", f"{_int('municipio')} AS municipio_codigo, {_int('graudeinstrucao')} AS grau, "
-                                   "CAST(NULL AS INTEGER) AS letra, municipio, graudeinstrucao"))
+                                   "municipio, graudeinstrucao"))
 oracle("parse_decimal_comma", _n("flow_raw", f"{_comma('salario')} AS salario_informado, "
                                              f"{_comma('horascontratuais')} AS horas, salario"))
 oracle("parse_decimal_point", _n("survey_raw", f"{_point('peso')} AS peso_num, "

@@ -115,10 +115,9 @@ def scan_prefix(df: DataFrame, column: str, prefix: str, columns: Sequence[str])
 
 
 def fixed_width(lines: DataFrame, layout: Mapping[str, tuple[int, int]], value: str = "value") -> DataFrame:
-    """Cut fields out of text lines by [start, end) offsets counted from 0, trimmed."""
-    return lines.select(
-        *[F.trim(F.substring(value, start + 1, end - start)).alias(name) for name, (start, end) in layout.items()]
-    )
+    """Cut fields out of text lines by [start, end) offsets counted from 0, trimmed; a blank is NULL."""
+    fields = {name: F.trim(F.substring(value, start + 1, end - start)) for name, (start, end) in layout.items()}
+    return lines.select(*[F.nullif(field, F.lit("")).alias(name) for name, field in fields.items()])
 
 
 def scan_fixed_width(spark: SparkSession, path: str, layout: Mapping[str, tuple[int, int]]) -> DataFrame:

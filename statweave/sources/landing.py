@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .files import scan_partitioned, write_partitioned
+from .literals import literal_table
 
 RELEASE = ["tipo", "competencia"]
 RELEASE_SCHEMA = "tipo string, competencia int"
@@ -55,13 +56,19 @@ def new_periods(summary: DataFrame) -> DataFrame:
 
 
 def landed_releases(spark: SparkSession, path: str) -> DataFrame | None:
-    """Releases found in the landing folder; None while the folder does not exist."""
+    """Releases found in the landing folder; None while the folder does not exist.
+
+    One row per folder, and the driver lists the folders for any scan of them, so the
+    rows become a literal table: a join then knows its size and spares the raw rows a
+    shuffle.
+    """
     try:
-        return releases(scan_partitioned(spark, path, RELEASE_SCHEMA))
+        found = releases(scan_partitioned(spark, path, RELEASE_SCHEMA))
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
+    return literal_table(spark, map(tuple, found.toLocalIterator()), RELEASE_SCHEMA)
 
 
 def land(spark: SparkSession, published: DataFrame, path: str, order: Sequence[str] = COMMIT_ORDER) -> None:

@@ -109,7 +109,7 @@ def test_fixed_width_inverse(spark):
     df = spark.createDataFrame([("23", "2026", "1.5"), (None, "2025", "000002")], "uf string, ano string, peso string")
     lines = df.select(files.fixed_width_line(layout).alias("value"))
     assert {len(r.value) for r in lines.collect()} == {15}
-    assert rows_of(files.fixed_width(lines, layout)) == [("", "2025", "000002"), ("23", "2026", "1.5")]
+    assert rows_of(files.fixed_width(lines, layout)) == [("23", "2026", "1.5"), (None, "2025", "000002")]
 
 
 def test_survey_layout_has_no_overlap():
