@@ -7,10 +7,10 @@ import re
 import pytest
 
 import __spark_entry__ as registered
+from statweave.plans.catalog import QUERIES
+from statweave.plans.oracles import ORACLES as SQL
 from tests.oracle_check import connect, difference
 
-QUERIES, SQL = registered.queries(), registered.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con(sf_dir):
@@ -19,6 +19,7 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL) and len(QUERIES) > 100
+    assert set(QUERIES) <= set(registered.queries()) and set(SQL) <= set(registered.oracle_sql())
 
 
 def test_entry(spark):
