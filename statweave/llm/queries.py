@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dup
+from . import near_dup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,3 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @register
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    read = token_files.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return read.select("doc_id", "start", "n_tokens", "ids_crc32")
