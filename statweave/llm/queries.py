@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dup, token_files
+from . import near_dup, secrets, sql, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,3 +32,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     read = token_files.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@register
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents")).drop("linked")
+
+
+ORACLES["op2_secret_scan"] = sql.SECRETS
