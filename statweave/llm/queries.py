@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dup, secrets, sql, token_files
+from . import near_dup, secrets, sql, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,3 +40,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op2_secret_scan"] = sql.SECRETS
+
+
+@register
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    field = toxicity.train(docs, toxicity.rows_to_learn(table(spark, sf_dir, "labels")))
+    scored = toxicity.score(docs, field)
+    return scored.select("doc_id", toxicity.held_out(scored.doc_id).alias("held_out"), "score", "predicted", "spans")
