@@ -54,15 +54,19 @@ def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(held)
 
 
-def per_group(df: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Apply `work` to each group of bounded size. Many tiny groups share one Python call per batch of rows."""
+def per_group(df: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.RecordBatch | None], schema: str,
+              dealt: bool = False) -> DataFrame:
+    """Apply `work` to each group of bounded size. Many tiny groups share one Python call per batch of rows.
+
+    `dealt` says that rows lie by `keys` and sorted already.
+    """
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, keys):
             if (out := work(group)) is not None and out.num_rows:
                 yield out
 
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(over, schema)
+    return (df if dealt else df.repartition(*keys).sortWithinPartitions(*keys)).mapInArrow(over, schema)
 
 
 def in_block_pairs(df: DataFrame, group: str, size: Column, member: str, rows: int) -> DataFrame:

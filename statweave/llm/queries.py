@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dup, secrets, sql, token_files, toxicity
+from . import language, near_dup, secrets, sql, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +48,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     field = toxicity.train(docs, toxicity.rows_to_learn(table(spark, sf_dir, "labels")))
     scored = toxicity.score(docs, field)
     return scored.select("doc_id", toxicity.held_out(scored.doc_id).alias("held_out"), "score", "predicted", "spans")
+
+
+@register
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = toxicity.held_out(docs.doc_id, 3, 1)
+    found = language.identify(docs, language.train(docs.where(~held_out)))
+    return found.select("doc_id", toxicity.held_out(found.doc_id, 3, 1).alias("held_out"), "lang_pred", "score")
