@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, near_dup, secrets, sql, token_files, toxicity
+from . import decontaminate, language, near_dup, secrets, sql, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,3 +56,8 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = toxicity.held_out(docs.doc_id, 3, 1)
     found = language.identify(docs, language.train(docs.where(~held_out)))
     return found.select("doc_id", toxicity.held_out(found.doc_id, 3, 1).alias("held_out"), "lang_pred", "score")
+
+
+@register
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
