@@ -224,33 +224,38 @@ def _families(classes: DataFrame, percent: int, least: int) -> DataFrame:
     return connected(links).select(F.col("node").alias("set"), F.col("root").alias("family"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
-    """Per row of `docs`: id, n_shingles, component_id (least id that links reach), kept (it is its own component).
-
-    Two documents are linked when 100 * |A & B| >= percent * |A | B| holds for their
-    shingle sets. NULL, empty and blank texts have an empty set and are linked with
-    nothing. Rows with a NULL id take part, but lend no id to a component: it is NULL only
-    where every member's is. Repeated rows come out as often as they came in, all with the
-    same answer. Other columns of `docs` are not read.
-    """
+def _components(docs: DataFrame, id_col: str, text_col: str, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The sketched rows, and per set of shingles the first row (no_id, id, key) of its component."""
     least = least_agreement(percent / 100)
     rows = written(sketches(docs, id_col, text_col), "sketches")
     classes = written(
         rows.where("n > 0").groupBy("set").agg(
-            F.min("id").alias("first_id"), F.min("key").alias("key"), F.first("n").alias("n"),
+            F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("first"), F.first("n").alias("n"),
             F.first("bands").alias("bands"), F.first("bits").alias("bits")), "classes")
     families = written(_families(classes, percent, least), "families")
     sizes = families.groupBy("family").agg(F.count(F.lit(1)).alias("size"))
-    suspects = classes.join(families, "set").join(sizes, "family").select("set", "family", "size", "key", "n", "bits")
+    suspects = classes.join(families, "set").join(sizes, "family").select("set", "family", "size", "first.key", "n", "bits")
     texts = docs.select(row_key(F.col(id_col), F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
     with_text = suspects.join(texts, "key").dropDuplicates(["key"])
     blocks = in_block_pairs(with_text, "family", F.col("size"), "set", BLOCK).drop("key", "size")
     links = per_group(blocks, ["family", "lo", "hi"], lambda g: _forest(g, percent, least, True), "a binary, b binary")
     roots = connected(links).select(F.col("node").alias("set"), "root")
-    rooted = written(classes.select("set", "first_id").join(roots, "set", "left").select(
-        "set", "first_id", F.coalesce("root", "set").alias("root")), "roots")
-    named = rooted.join(rooted.groupBy("root").agg(F.min("first_id").alias("component")), "root").select("set", "component")
-    joined = rows.select("id", "n", "set").join(named, "set", "left")
+    rooted = written(classes.select("set", "first").join(roots, "set", "left").select(
+        "set", "first", F.coalesce("root", "set").alias("root")), "roots")
+    return rows, rooted.join(rooted.groupBy("root").agg(F.min("first").alias("head")), "root").select("set", "head")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
+    """Per row of `docs`: id, n_shingles, component_id (least id that links reach), kept (it is its own component).
+
+    Two documents are linked when 100 * |A & B| >= percent * |A | B| holds for their
+    shingle sets. NULL, empty and blank texts have an empty set and are linked with
+    nothing. Rows with a NULL id take part, but lend no id to a component: it is NULL only
+    where every member's is. Repeated rows come out as often as they came in, all with the
+    same answer. Other columns of `docs` are not read.
+    """
+    rows, heads = _components(docs, id_col, text_col, percent)
+    joined = rows.select("id", "n", "set").join(heads.select("set", "head.id").withColumnRenamed("id", "component"), "set", "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
     return joined.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
@@ -258,17 +263,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
-    """The rows of `docs` with one document left of each component, all columns as they were.
+    """The rows of `docs` with one row left of each component, all columns as they were.
 
-    The document with the least id stays; of its repeated rows one stays. Documents
-    without words are linked with nothing and all stay, and so do rows without an id
-    unless they are in a component with one.
+    The row with the least id stays, one without an id only where none has one; of repeated
+    rows one stays. Rows without words are linked with nothing and all stay.
     """
-    names = docs.columns
-    stays = near_duplicates(docs, id_col, text_col, percent).where("kept AND n_shingles > 0").select(
-        F.col(id_col).alias("__stays")).distinct()
-    blank = (F.length(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), "[\\x20\\x09-\\x0D]+", "")) == 0)
-    keyed = docs.withColumn("__stays", F.col(id_col)).withColumn("__blank", blank)
-    full = keyed.where("NOT __blank AND __stays IS NOT NULL").join(stays.where("__stays IS NOT NULL"), "__stays", "left_semi")
-    return full.dropDuplicates(["__stays"]).select(*names).union(
-        keyed.where("__blank OR __stays IS NULL").select(*names))
+    _, heads = _components(docs, id_col, text_col, percent)
+    stays = heads.select(F.col("head.key").alias("__key")).distinct()
+    blank = F.length(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), "[\\x20\\x09-\\x0D]+", "")) == 0
+    keyed = docs.withColumn("__key", row_key(F.col(id_col), F.col(text_col))).withColumn("__blank", blank)
+    full = keyed.where("NOT __blank").join(stays, "__key", "left_semi").dropDuplicates(["__key"])
+    return full.select(*docs.columns).union(keyed.where("__blank").select(*docs.columns))

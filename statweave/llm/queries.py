@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, language, near_dup, pieces, secrets, sql, token_files, toxicity
+from . import decontaminate, hamming, language, near_dup, pieces, quality, secrets, sharding, sql, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +67,25 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+
+
+@register
+def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shards(table(spark, sf_dir, "documents"), 24, ["source", "lang", "n_chars"])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
+@register
+def op7_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return hamming.nearest(vectors, vectors.vec_id % 50 == 0, k=10)
+
+
+ORACLES["op7_hamming_top_k"] = sql.HAMMING
+
+
+@register
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, toxicity.rows_to_learn(table(spark, sf_dir, "labels")))
+    return quality.assess(docs, model, docs.source, docs.lang)

@@ -71,54 +71,71 @@ def _near(parts: DataFrame, others: DataFrame) -> DataFrame:
     return met.drop("stretch").distinct()
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_assign, n_access, n_hex, base_sha256, spans (array of at, kind, end), linked (array), spans_text.
-
-    `linked` are the weak parts with complements in scope: an identifier near a key or base
-    secret; a key near an identifier, an access key or an endpoint; an endpoint near any of
-    the other two. NULL texts count as empty and have no spans; repeated rows come
-    out as often as they came in. Other columns are not read.
-    """
+def _parts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Per row: id, row key, base spans and weak parts."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), row_key(F.col(id_col), F.col(text_col)).alias("key"), text.alias("text"))
     rows = rows.withColumn("base", F.concat(*(_spans(F.col("text"), *kind) for kind in BASE)))
-    weak = F.concat(*(_spans(F.col("text"), *kind) for kind in WEAK))
-    # A key needs letters and digits, and so does an identifier: else they are words or numbers.
-    mixed = lambda w: (F.col("text").substr(w["at"] + 1, w["end"] - w["at"]).rlike("[0-9]")
-                       & F.col("text").substr(w["at"] + 1, w["end"] - w["at"]).rlike("[A-Za-z]"))
-    weak = F.filter(weak, lambda w: (w["kind"] == KINDS.index("endpoint")) | mixed(w))
-    rows = written(rows.withColumn("weak", _apart(weak, F.col("base"))).drop("text"), "spans")
 
+    def mixed(w: Column) -> Column:
+        """Identifiers and keys have letters and digits; else they are words or numbers."""
+        own = F.col("text").substr(w["at"] + 1, w["end"] - w["at"])
+        return own.rlike("[0-9]") & own.rlike("[A-Za-z]")
+
+    weak = F.filter(F.concat(*(_spans(F.col("text"), *kind) for kind in WEAK)), lambda w: (w["kind"] == KINDS.index("endpoint")) | mixed(w))
+    return written(rows.withColumn("weak", _apart(weak, F.col("base"))).drop("text"), "spans")
+
+
+def _linked(rows: DataFrame) -> DataFrame:
+    """Per row key: the weak parts that have a part of another role in scope."""
     parts = rows.select("key", F.explode(F.concat("base", "weak")).alias("p")).select("key", "p.*").distinct()
-    of = lambda *kinds: parts.where(F.col("kind").isin([KINDS.index(k) for k in kinds]))
+
+    def of(*kinds: str) -> DataFrame:
+        return parts.where(F.col("kind").isin([KINDS.index(k) for k in kinds]))
+
     secrets, holders = of("assign", "hex", "key"), of("access", "id")
     confirmed = reduce(DataFrame.union, [
         _near(of("id"), secrets), _near(of("key"), holders.union(of("endpoint"))), _near(of("endpoint"), secrets.union(holders))])
-    linked = confirmed.groupBy("key").agg(F.collect_set(F.struct("at", "kind", "end")).alias("linked"))
-    out = rows.join(linked, "key", "left").withColumn("linked", F.coalesce("linked", F.array().cast(f"array<{PLACE}>")))
-    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == KINDS.index(kind))).cast("long")
+    return confirmed.groupBy("key").agg(F.collect_set(F.struct("at", "kind", "end")).alias("linked"))
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, n_assign, n_access, n_hex, base_sha256, spans (kind:start:end, joined), linked (array of at, kind, end).
+
+    `linked` are the weak parts with complements in scope: an identifier near a key or base
+    secret; a key near an identifier, an access key or an endpoint; an endpoint near any of
+    the other two. NULL texts count as empty and have no spans; repeated rows come out as
+    often as they came in. Other columns are not read.
+    """
+    rows = _parts(docs, id_col, text_col)
+    out = rows.join(_linked(rows), "key", "left").withColumn("linked", F.coalesce("linked", F.array().cast(f"array<{PLACE}>")))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == KINDS.index(kind))).cast("long").alias(f"n_{kind}")
+
     return out.select(
-        F.col("id").alias(id_col), *(count(k[0]).alias(f"n_{k[0]}") for k in BASE), F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
+        F.col("id").alias(id_col), *(count(k[0]) for k in BASE), F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
         _joined(F.concat("base", "linked")).alias("spans"), "linked")
 
 
 def without_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = "[secret]") -> DataFrame:
-    """The rows of `docs`, all columns as they were, with every base secret in the text masked.
+    """The rows of `docs`, all columns as they were, with secrets masked in the text: base kinds, linked identifiers and keys.
 
     Texts without a secret, and NULL, stay as they are; no row is dropped.
     """
-    text = F.col(text_col)
-    base = F.array_sort(F.concat(*(_spans(text, *kind) for kind in BASE)))
-    # Copy what lies between spans; spans may overlap (a hex run inside an assigned value).
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    linked = written(_linked(_parts(docs, id_col, text_col)).select(
+        F.col("key").alias("__key"), F.filter("linked", lambda s: s["kind"] != KINDS.index("endpoint")).alias("__linked")), "linked")
+    keyed = docs.withColumn("__key", row_key(F.col(id_col), F.col(text_col))).join(linked, "__key", "left")
+    text, none = F.col(text_col), F.array().cast(f"array<{PLACE}>")
+    spans = F.array_sort(F.concat(*(_spans(text, *kind) for kind in BASE), F.coalesce(F.col("__linked"), none)))
 
     def step(state: Column, s: Column) -> Column:
-        fresh = s["at"] >= state["at"]
+        """Copy what lies between spans; spans may overlap (a hex run inside an assigned value)."""
         between = text.substr(state["at"] + 1, F.greatest(s["at"] - state["at"], F.lit(0)))
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"),
-                        F.when(fresh, F.concat(state["out"], between, F.lit(mask))).otherwise(state["out"]).alias("out"))
+        out = F.when(s["at"] >= state["at"], F.concat(state["out"], between, F.lit(mask))).otherwise(state["out"])
+        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), out.alias("out"))
 
-    done = F.aggregate(base, start, step)
+    done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
     masked = F.concat(done["out"], text.substr(done["at"] + 1, F.length(text)))
-    touched = reduce(lambda a, b: a | b, (text.rlike(pattern) for _, pattern, *_ in BASE))
-    return docs.withColumn(text_col, F.when(touched, masked).otherwise(text)).select(*docs.columns)
+    touched = reduce(lambda a, b: a | b, (text.rlike(pattern) for _, pattern, *_ in BASE), F.coalesce(F.size("__linked") > 0, F.lit(False)))
+    return keyed.withColumn(text_col, F.when(touched, masked).otherwise(text)).select(*docs.columns)

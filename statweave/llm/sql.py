@@ -44,3 +44,12 @@ SELECT doc_id, len(s_assign)::BIGINT AS n_assign, len(s_access)::BIGINT AS n_acc
     sha256({_TEXT.format('base')}) AS base_sha256, {_TEXT.format('list_concat(base, sure)')} AS spans
 FROM judged
 """
+
+HAMMING = """
+WITH codes AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: x > 0) AS code FROM embeddings WHERE embedding IS NOT NULL),
+pairs AS (SELECT q.vec_id AS query_id, v.vec_id AS neighbor_id,
+    len(list_filter(list_zip(q.code, v.code), lambda z: z[1] <> z[2]))::INT AS distance
+    FROM codes q JOIN codes v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id)::INT AS rank, neighbor_id, distance
+FROM pairs QUALIFY rank <= 10
+"""
