@@ -7,9 +7,9 @@ sorted hashes of the pieces, and the best score so far and the length of its las
 kept. Walking the lengths back gives the pieces.
 
 The result is the segmentation with the highest sum of the model file's scores, ties going
-to the longer last piece. That is what the public library computes for a model of unigram
-kind. For a file of merge kind (BPE) the library applies merges in order instead; its ids
-can differ, while decoding gives the same text.
+to the longer last piece. That is what the public library does for a model of unigram kind.
+For a file of merge kind (BPE) the library applies merges in order instead; its ids differ
+in most texts, while decoding gives the same text.
 """
 
 from __future__ import annotations

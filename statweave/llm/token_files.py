@@ -35,6 +35,7 @@ MAGIC = b"EFTOK1\x00\x00"
 FILE_IDS = 8_000_000  # ids in a file, unless one document alone has more
 CACHED = 1_500_000  # words a worker remembers
 SAMPLE = 256
+READERS = 10_000
 
 
 # --- Elias-Fano -------------------------------------------------------------------
@@ -126,7 +127,7 @@ class TokenFile:
 # --- encoding ---------------------------------------------------------------------
 
 # White space on both sides of a blank: the pre-tokenizer may then join across it.
-_JOINED = re.compile(r"[\s᠎] |[ ][\s᠎]")
+_JOINED = re.compile(r" (?:(?=[\s᠎])|(?<=[\s᠎] ))")
 
 
 class Encoder:
@@ -162,14 +163,15 @@ class Encoder:
         for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
             out[i] = ids
         cut = [(i, t.split(" ")) for i, t in enumerate(texts) if out[i] is None]
-        for kept, blank, words in ((self.first, "", {p[0] for _, p in cut}), (self.later, " ", {w for _, p in cut for w in p[1:]})):
+        heads = [pieces.pop(0) for _, pieces in cut]
+        for kept, blank, words in ((self.first, "", set(heads)), (self.later, " ", set().union(*(pieces for _, pieces in cut)))):
             if len(kept) > CACHED:
                 kept.clear()
-            new = list(words - kept.keys())
+            new = list(words.difference(kept))
             kept.update(zip(new, self._whole([blank + w for w in new])))
         find = self.later.__getitem__
-        for i, pieces in cut:
-            out[i] = self.first[pieces[0]] + b"".join(map(find, pieces[1:]))
+        for head, (i, pieces) in zip(heads, cut):
+            out[i] = self.first[head] + b"".join(map(find, pieces))
         return out
 
 
@@ -256,7 +258,8 @@ def read_tokens(files: DataFrame, folder: str, id_col: str = "doc_id") -> DataFr
                         pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(wide.view("<i4")))],
                         names=[id_col, "start", "n_tokens", "ids_crc32", "tokens"])
 
-    return placed.repartition("file").mapInArrow(
+    tasks = max(1, min(files.count(), READERS))  # a table this small would otherwise be read by one task
+    return placed.repartition(tasks).mapInArrow(
         read, f"`{id_col}` bigint, start bigint, n_tokens bigint, ids_crc32 bigint, tokens array<int>")
 
 
