@@ -26,6 +26,11 @@ def row_key(*columns: Column) -> Column:
     return F.unhex(F.md5(F.concat_ws("\x00", *sizes, *parts)))
 
 
+def slices(batch: pa.RecordBatch | pa.Array, rows: int = 1000) -> Iterator:
+    """A batch in pieces: words of many texts at once take far more memory than the texts."""
+    return (batch.slice(at, rows) for at in range(0, len(batch), rows))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scatter 64-bit values (the finalizer of a common public hash); changes its argument in place."""
     for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):

@@ -19,18 +19,19 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import slices, written
 
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP = 0.6, 0.5
 RUN = 3  # words of a run
-BLOCK = 16  # items
+BLOCK = 4  # items
 STRETCH = 64  # words; longer items have a class with twice the length, and so on
 ITEMS = 20_000  # of one index; more items make more indexes, each applied to all texts
 COMMON = 0.1  # share of items beyond which a word counts as common
@@ -109,7 +110,7 @@ class Index:
             count = len(words) // self.stretch + 1
             low = begin * self.stretch if last == first + 1 else 0
             words = words[low:(end + 1) * self.stretch] if last == first + 1 else words
-            ids = np.fromiter(map(find, words, (-1 for _ in words)), np.int64, len(words))
+            ids = np.fromiter(map(find, words, repeat(-1)), np.int64, len(words))
             at = np.flatnonzero(ids >= 0)
             place.append(at // self.stretch + base)
             terms.append(ids[at])
@@ -119,7 +120,8 @@ class Index:
             else:
                 owner += [(t, k) for k in range(count)]
                 base += count
-        place_, terms_ = np.concatenate(place), np.concatenate(terms)
+        # A word counts once in a stretch.
+        place_, terms_ = np.divmod(np.unique(np.concatenate(place) * len(self.first) + np.concatenate(terms)), len(self.first))
         sizes = self.first[terms_ + 1] - self.first[terms_]
         rows = np.repeat(self.first[terms_] - np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(sizes) else sizes, sizes) + np.arange(sizes.sum())
         sums = np.bincount(np.repeat(place_, sizes) * nb + self.block[rows], self.most[rows], base * nb).reshape(base, nb)
@@ -200,10 +202,13 @@ def leaks(text: Column, found: list) -> Column:
 
     @F.arrow_udf(FOUND)
     def look(texts: pa.Array) -> pa.Array:
-        cut = [words_of(t) for t in texts.to_pylist()]
-        hits: list[dict[int, tuple[float, float, float]]] = [{} for _ in cut]
-        for index in found:
-            index.value.matches(cut, hits)
+        hits: list[dict[int, tuple[float, float, float]]] = []
+        for some in slices(texts):
+            cut = [words_of(t) for t in some.to_pylist()]
+            own: list[dict[int, tuple[float, float, float]]] = [{} for _ in cut]
+            for index in found:
+                index.value.matches(cut, own)
+            hits += own
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question", pa.float64()), ("answer", pa.float64())]))
         return pa.array([[{"item_id": i, "score": s, "question": q, "answer": a} for i, (s, q, a) in sorted(h.items())] for h in hits], kind)
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_group
+from .common import per_group, slices
 
 LEARN = 40_000  # letters and blanks learned per language, to the end of the document that reaches it
 SAMPLE = 300  # documents per language that may be learned from
@@ -204,7 +204,10 @@ def spoken(text: Column, parser: Parser, spark) -> Column:
 
     @F.arrow_udf("struct<lang_pred:string,score:double>")
     def judge(texts: pa.Array) -> pa.Array:
-        names, scores = shared.value.judge(texts.to_pylist())
+        names, scores = [], []
+        for some in slices(texts):
+            for whole, own in zip((names, scores), shared.value.judge(some.to_pylist())):
+                whole += own
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"])
 
     return judge(text)

@@ -24,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix
+from .common import mix, slices
 
 BLANK = "▁"
-CACHED = 1_500_000  # words a worker remembers
+CACHED = 500_000  # words a worker remembers
 LONG = 200  # longer words go one by one
 UNKNOWN_PENALTY = 10.0
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -212,8 +212,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         source = pieces(model)
         for whole in batches:
-            for at in range(0, whole.num_rows, 2500):
-                batch = whole.slice(at, 2500)
+            for batch in slices(whole):
                 texts = batch.column("text").to_pylist()
                 ids = [np.frombuffer(x, f"<u{source.item}") for x in source.encode(texts)]
                 columns = [batch.column("id"), pa.array([len(x) for x in ids], pa.int64()),
@@ -235,12 +234,15 @@ def with_tokens(docs: DataFrame, model: str, text_col: str = "text", name: str =
 
     @F.arrow_udf("struct<ids:array<int>,text:string>")
     def code(texts: pa.Array) -> pa.Array:
-        source, given = pieces(model), texts.to_pylist()
-        ids = [np.frombuffer(x, f"<u{source.item}") for x in source.encode([t or "" for t in given])]
-        ends = np.cumsum([0] + [len(x) for x in ids]).astype(np.int32)
-        flat = pa.array(np.concatenate([np.zeros(0, np.int32), *ids]).astype(np.int32))
-        back = [None if t is None else source.decode(x) for t, x in zip(given, ids)]
-        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(ends), flat), pa.array(back, pa.string())], names=["ids", "text"])
+        source, flat, back, ends = pieces(model), [np.zeros(0, np.int32)], [], [0]
+        for some in slices(texts):
+            given = some.to_pylist()
+            for text, coded in zip(given, source.encode([t or "" for t in given])):
+                ids = np.frombuffer(coded, f"<u{source.item}")
+                flat.append(ids.astype(np.int32))
+                ends.append(ends[-1] + len(ids))
+                back.append(None if text is None else source.decode(ids))
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat))), pa.array(back, pa.string())], names=["ids", "text"])
 
     rest = [c for c in docs.columns if c != name]
     coded = docs.select(*(F.col(c) for c in rest), code(F.col(text_col)).alias("__coded"))

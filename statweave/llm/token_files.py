@@ -30,6 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.scratch import scratch_path
+from .common import slices
 
 MAGIC = b"EFTOK1\x00\x00"
 FILE_IDS = 8_000_000  # ids in a file, unless one document alone has more
@@ -215,8 +216,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, folder: str, id_c
             return done
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                piece = batch.slice(at, 2000)
+            for piece in slices(batch):
                 for i, coded in zip(piece.column("id").to_pylist(), source.encode(piece.column("text").to_pylist())):
                     if ids and size + len(coded) + len(end) > file_ids * source.item:
                         yield flush()

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TOKEN = re.compile(r"\w+")
-SAMPLE = 1500  # labelled documents of each label that are learned from, at most
+SAMPLE = 600  # labelled documents of each label that are learned from, at most
 CUES = 500  # cue words kept, at most
 MIN_CONTEXTS, MIN_SHARE, MIN_RATIO = 4, 0.01, 20.0
 SEGMENT = 24  # tokens of a training sequence
