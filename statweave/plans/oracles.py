@@ -386,11 +386,12 @@ oracle("dim_typed_csv", f"""
     FROM survey_raw GROUP BY ALL""")
 oracle("query_files", _n("flow_raw", "tipo, competencia"))
 oracle("sink_partitioned", _n("flow_raw", "tipo, competencia"))
-_PENDING = "competencia > 200006"
+_COMPLETE = "competencia IN (SELECT competencia FROM flow_raw WHERE tipo = 'MOV')"
+_PENDING = f"competencia > 200006 AND {_COMPLETE}"
 oracle("missing_periods", f"SELECT DISTINCT tipo, competencia FROM flow_raw WHERE {_PENDING}")
-CTES["release_sizes"] = """
+CTES["release_sizes"] = f"""
     SELECT competencia, tipo, count(*) AS n, competencia <= 200006 AND NOT (competencia = 200006 AND tipo = 'EXC') AS existe
-    FROM flow_raw GROUP BY competencia, tipo"""
+    FROM flow_raw WHERE {_COMPLETE} GROUP BY competencia, tipo"""
 oracle("load_summary", """
     SELECT competencia, tipo, CASE WHEN NOT existe THEN n END AS linhas,
            CASE WHEN existe THEN 'já existia' ELSE 'carregado' END AS situacao,

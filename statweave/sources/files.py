@@ -45,9 +45,9 @@ def folder_clash(spark: SparkSession, path: str) -> list[str]:
     Spark would silently return the folder value for them; scan such a table with
     ``scan_ignoring_folders``.
     """
-    inside = set(scan_ignoring_folders(spark, path).columns)
-    parts = spark.read.parquet(path).select("_metadata.file_path").limit(1).collect()
-    folders = re.findall(r"/([^/=]+)=[^/]*(?=/)", parts[0][0][len(path.rstrip("/")) :]) if parts else []
+    inside = set(spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(path).columns)
+    files = spark.read.parquet(path).inputFiles()  # names only; every file and depth counts
+    folders = dict.fromkeys(k for f in files for k in re.findall(r"/([^/=]+)=[^/]*(?=/)", f[f.index(path.rstrip("/")) + len(path.rstrip("/")):]))
     return [name for name in folders if name in inside]
 
 
@@ -96,8 +96,15 @@ def union_by_name(*tables: DataFrame) -> DataFrame:
 def scan_delimited(
     spark: SparkSession, path: str, columns: Sequence[str], sep: str = ";", encoding: str = "UTF-8"
 ) -> DataFrame:
-    """Headered delimited text, every column text. The declared columns spare an inference pass."""
-    return spark.read.csv(path, schema=text_schema(columns), header=True, sep=sep, encoding=encoding)
+    """Headered delimited text, every column text, found by its name in the header.
+
+    The order of columns in the file does not matter and further columns are left out; a
+    missing one is an error. Files of one call have the same header.
+    """
+    wide = spark.read.csv(path, header=True, sep=sep, encoding=encoding, inferSchema=False)
+    if missing := [name for name in columns if name not in wide.columns]:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {', '.join(wide.columns)}")
+    return wide.select(*(F.col(f"`{name}`") for name in columns))
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ";", encoding: str = "UTF-8") -> str:
@@ -120,17 +127,21 @@ def fixed_width(lines: DataFrame, layout: Mapping[str, tuple[int, int]], value:
     return lines.select(*[F.nullif(field, F.lit("")).alias(name) for name, field in fields.items()])
 
 
-def scan_fixed_width(spark: SparkSession, path: str, layout: Mapping[str, tuple[int, int]]) -> DataFrame:
-    return fixed_width(spark.read.text(path), layout)
+def scan_fixed_width(spark: SparkSession, path: str, layout: Mapping[str, tuple[int, int]], encoding: str = "UTF-8") -> DataFrame:
+    """Fixed-width lines in the given encoding: offsets count characters, not bytes."""
+    line = F.col("value") if encoding.upper() == "UTF-8" else F.decode(F.col("value").cast("binary"), encoding)
+    return fixed_width(spark.read.text(path).select(line.alias("value")), layout)
 
 
 def fixed_width_line(layout: Mapping[str, tuple[int, int]]) -> Column:
-    """The inverse: one padded text line from the columns of a row."""
+    """The inverse: one padded text line from the columns of a row. A value wider than its field is an error."""
     pieces, position = [], 0
     for name, (start, end) in sorted(layout.items(), key=lambda item: item[1]):
         if start > position:
             pieces.append(F.lit(" " * (start - position)))
-        pieces.append(F.rpad(F.coalesce(F.col(name), F.lit("")), end - start, " "))
+        value = F.coalesce(F.col(name).cast("string"), F.lit(""))
+        wide = F.raise_error(F.concat(F.lit(f"value wider than {end - start} characters in field {name}: "), value))
+        pieces.append(F.when(F.length(value) > end - start, wide).otherwise(F.rpad(value, end - start, " ")))
         position = end
     return F.concat(*pieces)
 
@@ -142,7 +153,7 @@ def dim_from_filenames(spark: SparkSession, pattern: str, prefix: str, pad: Mapp
     domains whose leading zeros were lost; a longer code stays as it is.
     """
     domain = F.regexp_extract(F.col("_metadata.file_path"), rf"{prefix}([^/]*)\.csv", 1)
-    rows = spark.read.csv(pattern, schema="codigo string, descricao string", header=True).withColumn("dominio", domain)
+    rows = spark.read.csv(pattern, header=True, inferSchema=False).select("codigo", "descricao", domain.alias("dominio"))
     code = F.col("codigo")
     for name, width in (pad or {}).items():
         short = (F.col("dominio") == name) & (F.length("codigo") < width)
@@ -161,8 +172,10 @@ def dim_from_json_map(spark: SparkSession, path: str, key: str, value: str) -> D
 
 
 def dim_typed_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Headered CSV read with a declared schema."""
-    return spark.read.csv(path, schema=schema, header=True)
+    """Headered CSV in the declared types, columns found by name; what does not convert is NULL."""
+    fields = T.StructType.fromDDL(schema).fields
+    wide = scan_delimited(spark, path, [f.name for f in fields], sep=",")
+    return wide.select(*(F.trim(F.col(f.name)).try_cast(f.dataType).alias(f.name) for f in fields))
 
 
 def query_files(spark: SparkSession, path: str, sql: str) -> DataFrame:

@@ -21,6 +21,11 @@ def releases(df: DataFrame) -> DataFrame:
     return df.select(*RELEASE).distinct()
 
 
+def on_time_periods(published: DataFrame) -> DataFrame:
+    """Periods whose on-time file is published; the others are not released yet."""
+    return published.where(F.col("tipo") == COMMIT_ORDER[-1]).select("competencia").distinct()
+
+
 def missing_periods(published: DataFrame, landed: DataFrame, floor: int = 0) -> DataFrame:
     """Releases published after the newest complete one that have not landed.
 
@@ -28,19 +33,22 @@ def missing_periods(published: DataFrame, landed: DataFrame, floor: int = 0) ->
     while nothing is.
     """
     newest = landed.where(F.col("tipo") == COMMIT_ORDER[-1]).agg(F.max("competencia")).scalar()
-    later = published.where(F.col("competencia") > F.coalesce(newest, F.lit(floor)))
+    released = published.join(on_time_periods(published), "competencia", "left_semi").select(*published.columns)
+    later = released.where(F.col("competencia") > F.coalesce(newest, F.lit(floor)))
     return later.join(landed, RELEASE, "left_anti")
 
 
 def load_summary(published: DataFrame, landed: DataFrame) -> DataFrame:
     """(competencia, tipo, linhas, situacao): what a load would do with every release.
 
-    ``published`` holds raw rows; rows are counted only for releases to be loaded.
+    ``published`` holds raw rows; rows are counted only for releases to be loaded, and a
+    period without its on-time file is not loaded yet.
     """
     known = landed.withColumn("_there", F.lit(True))
+    on_time = on_time_periods(published).withColumn("_on_time", F.lit(True))
     counted = published.groupBy(*RELEASE).agg(F.count(F.lit(1)).alias("n")).join(known, RELEASE, "left")
     there = F.coalesce("_there", F.lit(False))
-    return counted.select(
+    return counted.join(on_time, "competencia", "left").where(there | F.col("_on_time")).select(
         "competencia",
         "tipo",
         F.when(~there, F.col("n")).alias("linhas"),

@@ -176,3 +176,36 @@ def test_query_files(spark, tmp_path):
     files.write_partitioned(release(spark, ("MOV", 1, "a"), ("MOV", 1, "b")), str(tmp_path / "t"), "tipo", "competencia")
     found = files.query_files(spark, str(tmp_path / "t"), "SELECT tipo, COUNT(*) AS n FROM {files} GROUP BY ALL")
     assert rows_of(found) == [("MOV", 2)]
+
+
+def test_columns_are_found_by_header(spark, tmp_path):
+    path = tmp_path / "swapped.csv"
+    path.write_text("descricao;extra;codigo\nComércio;x;G\n", encoding="utf-8")
+    assert rows_of(files.scan_delimited(spark, str(path), ["codigo", "descricao"])) == [("G", "Comércio")]
+    with pytest.raises(ValueError, match="no column secao"):
+        files.scan_delimited(spark, str(path), ["codigo", "secao"])
+    path.write_text("deflator,ano\n1.5,2025\nx,2026\n")
+    assert rows_of(files.dim_typed_csv(spark, str(path), "ano int, deflator double")) == [(2025, 1.5), (2026, None)]
+
+
+def test_fixed_width_encoding_and_wide_values(spark, tmp_path):
+    path = tmp_path / "latin.txt"
+    path.write_bytes("AÇÃO12345\n".encode("latin-1"))
+    layout = {"nome": (0, 4), "numero": (4, 9)}
+    assert rows_of(files.scan_fixed_width(spark, str(path), layout, "ISO-8859-1")) == [("AÇÃO", "12345")]
+    wide = spark.createDataFrame([("AÇÃO!", "1")], "nome string, numero string").select(files.fixed_width_line(layout).alias("value"))
+    with pytest.raises(Exception, match="wider than 4"):
+        wide.collect()
+
+
+def test_folder_clash_in_any_file(spark, tmp_path):
+    path = str(tmp_path / "deep")
+    spark.range(1).write.parquet(f"{path}/mes=1")
+    spark.range(1).selectExpr("id", "1 AS mes").write.parquet(f"{path}/mes=2")
+    assert files.folder_clash(spark, path) == ["mes"]
+
+
+def test_a_period_without_its_on_time_file_is_not_missing(spark):
+    published = spark.createDataFrame([("MOV", 202601), ("FOR", 202601), ("FOR", 202602), ("EXC", 202603)], landing.RELEASE_SCHEMA)
+    landed = spark.createDataFrame([("MOV", 202512)], landing.RELEASE_SCHEMA)
+    assert sorted(rows_of(landing.missing_periods(published, landed))) == [("FOR", 202601), ("MOV", 202601)]
