@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TOKEN = re.compile(r"\w+")
-SAMPLE = 600  # labelled documents of each label that are learned from, at most
+SAMPLE, CLEAN = 600, 1500  # toxic and clean labelled documents that are learned from, at most
 CUES = 500  # cue words kept, at most
 MIN_CONTEXTS, MIN_SHARE, MIN_RATIO = 4, 0.01, 20.0
 SEGMENT = 24  # tokens of a training sequence
@@ -181,8 +181,8 @@ def _fit_score(field: Field, texts: list[list[str]], toxic: np.ndarray, rate: fl
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          sample: int = SAMPLE) -> Field:
-    """Learn from at most `sample` labelled documents of each label, chosen by a hash of their id.
+          sample: int = SAMPLE, clean: int = CLEAN) -> Field:
+    """Learn from at most `sample` toxic and `clean` other labelled documents, chosen by a hash of their id.
 
     Only labelled ids are picked from `labels`; their texts are the only thing brought to the
     driver. Ids with a NULL label are left out; repeated ids count once (toxic wins). Without
@@ -197,8 +197,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                  np.array([math.log((rate + 1e-6) / (1 - rate + 1e-6)), 0.0, 0.0]))
     if not counts.get(0) or not counts.get(1):
         return flat
-    few = [marked.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(sample) for k in (0, 1)]
-    chosen = few[0].union(few[1])  # at most two times `sample` rows of an id and a label
+    few = [marked.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(n) for k, n in ((0, clean), (1, sample))]
+    chosen = few[0].union(few[1])  # at most `sample` and `clean` rows of an id and a label
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text IS NOT NULL").join(
         F.broadcast(chosen), "id").select("id", "text", "label").dropDuplicates(["id"]).orderBy("id").collect()
     texts, toxic = [r["text"] for r in rows], np.array([r["label"] for r in rows], int)
