@@ -27,8 +27,11 @@ def percentage(part: Column, whole: Column) -> Column:
 
 
 def money_sum(value: Column) -> Column:
-    """Sum of amounts in cents precision, identical for every order of the rows."""
-    return F.round(F.sum(value), 2)
+    """Sum of amounts, rounded to cents: added as decimals, so exact and the same for every order of the rows.
+
+    Amounts may have up to eight decimals and 22 digits before them; a larger one is an error.
+    """
+    return F.round(F.sum(value.cast("decimal(30,8)")), 2).cast("double")
 
 
 def one_way_profiles(df: DataFrame, dimensions: Sequence[str], measure: str, period: Sequence[str] = ()) -> DataFrame:

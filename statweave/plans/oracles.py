@@ -40,6 +40,10 @@ def _round(expr: str, digits: int) -> str:
     return f"CAST(round(CAST(round({expr}, {digits + 4}) AS DECIMAL(30, {digits + 4})), {digits}) AS DOUBLE)"
 
 
+def _money(expr: str) -> str:
+    return f"CAST(round(sum(CAST({expr} AS DECIMAL(30, 8))), 2) AS DOUBLE)"
+
+
 def _pct(part: str, whole: str, digits: int = 1) -> str:
     return _round(f"100.0::DOUBLE * ({part}) / nullif({whole}, 0)", digits)
 
@@ -365,7 +369,7 @@ oracle("scan_latin1_csv", _n("stock_raw", "trim(municipio_codigo) AS municipio_c
 oracle("scan_fixed_width", f"""
     SELECT ano, trimestre, posicao_categoria, count(*) AS linhas,
            CAST(sum({_int('rendimento_habitual')}) AS BIGINT) AS soma_rendimento,
-           round(sum({_point('peso')}), 2) AS soma_peso
+           {_money(_point('peso'))} AS soma_peso
     FROM survey_raw WHERE rm_ride = '23' GROUP BY ALL""")
 oracle("scan_prefix_prune", _n(
     "stock_raw",
@@ -410,7 +414,7 @@ oracle("parse_decimal_point", _n("survey_raw", f"{_point('peso')} AS peso_num, "
 oracle("zero_as_null", f"""
     SELECT ano_base, count(*) AS linhas, count({_positive('vl_rem_media_nom')}) AS com_media,
            count({_positive('vl_rem_dezembro_nom')}) AS com_dezembro,
-           round(sum({_positive('vl_rem_media_nom')}), 2) AS soma_media, min({_positive('vl_rem_media_nom')}) AS menor_media
+           {_money(_positive('vl_rem_media_nom'))} AS soma_media, min({_positive('vl_rem_media_nom')}) AS menor_media
     FROM stock_raw GROUP BY ano_base""")
 oracle("conform_labels", " UNION ALL ".join(
     f"(SELECT '{name}' AS fonte, {_map_case(f'trim({s})', sexes)} AS sexo, {_map_case(f'trim({r})', races)} AS raca_cor, "
@@ -424,10 +428,10 @@ oracle("year_lookup", _n("flow_raw", f"{_int('competenciamov')} // 100 AS ano, "
                                      f"{WAGE_OF.format(y=_int('competenciamov') + ' // 100')} AS salario_minimo"))
 oracle("signed_effect", _n("flow_typed", "saldo_mov AS saldo, efeito, tipo"))
 CTES["flow_all"] = CTES["flow"].split("WHERE")[0]
-oracle("plausible_value", """
+oracle("plausible_value", f"""
     SELECT competencia_mov // 100 AS ano, unidade AS unidade_salario_codigo, count(*) AS linhas,
            count(salario) AS informados, count(salario_mensal) AS plausiveis,
-           round(sum(salario_mensal), 2) AS soma_plausivel, min(salario_mensal) AS menor, max(salario_mensal) AS maior
+           {_money('salario_mensal')} AS soma_plausivel, min(salario_mensal) AS menor, max(salario_mensal) AS maior
     FROM flow_all GROUP BY ALL""")
 oracle("ratio_bands", _n("flow_typed", "competencia_mov // 100 AS ano, " + BAND.format(
     v="salario", w="minimo", missing="Sem salário mensal") + " AS faixa_salarial_sm"))
@@ -501,13 +505,13 @@ CTES["flow_fact"] = f"""
 CTES["flow_jobs"] = f"""
     SELECT competencia_mov, preliminar, municipio_codigo, municipio_nome, faixa_etaria, sexo, cbo_codigo, cbo_descricao,
            {_FLOW_MEASURES} FROM flow_rows GROUP BY ALL"""
-_STOCK_PAY = "count(*) AS vinculos, round(sum(dezembro), 2) AS soma_rem_dezembro, count(dezembro) AS n_rem_dezembro"
+_STOCK_PAY = f"count(*) AS vinculos, {_money('dezembro')} AS soma_rem_dezembro, count(dezembro) AS n_rem_dezembro"
 CTES["stock_fact"] = f"""
     SELECT ano_base, municipio_codigo, municipio_nome, cnae_secao, cnae_secao_descricao, porte_oficial, estatutario,
            faixa_etaria, sexo, raca_cor, grau_instrucao_codigo, escolaridade, faixa_horas, faixa_renda_sm, {_STOCK_PAY},
-           round(sum(media), 2) AS soma_rem_media, count(media) AS n_rem_media,
-           round(sum(tempo), 2) AS soma_tempo_emprego, count(tempo) AS n_tempo_emprego,
-           round(sum(CASE WHEN horas > 0 THEN media END), 2) AS soma_rem_media_com_horas,
+           {_money('media')} AS soma_rem_media, count(media) AS n_rem_media,
+           {_money('tempo')} AS soma_tempo_emprego, count(tempo) AS n_tempo_emprego,
+           {_money('CASE WHEN horas > 0 THEN media END')} AS soma_rem_media_com_horas,
            round(sum(CASE WHEN horas > 0 AND media IS NOT NULL THEN horas END) * 4.345::DOUBLE, 3) AS soma_horas_mes
     FROM stock_rows GROUP BY ALL"""
 CTES["stock_jobs"] = f"""

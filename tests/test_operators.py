@@ -274,3 +274,10 @@ def test_percentile_profile_keeps_groups_without_values(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0), ("b", None)], "k string, v double")
     found = {r.k: tuple(r)[1:] for r in profile.percentile_profile(df, ["k"], F.col("v"), {"p50": 0.5}).collect()}
     assert found == {"a": (2, 1.0, 2.0), None: (1, 5.0, 5.0), "b": (1, None, None)}
+
+
+def test_money_is_added_exactly(spark):
+    many = spark.range(100_000).select(F.lit(90_000_000_000.07).alias("v"))
+    assert many.agg(cuts.money_sum(F.col("v"))).first()[0] == 9_000_000_000_007_000.0
+    few = spark.createDataFrame([(0.1,), (0.2,), (None,), (-0.3,)], "v double")
+    assert few.agg(cuts.money_sum(F.col("v"))).first()[0] == 0.0
