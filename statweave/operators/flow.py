@@ -158,6 +158,8 @@ def median_cube(
     keys: Sequence[str] = MEDIAN_KEYS,
     value: str = "salario_mensal",
     totals: Mapping[str, str] | None = None,
+    collapsed: Sequence[str] = (),
+    kept: Sequence[str] = (),
 ) -> DataFrame:
     """Median and sample size for every combination of the keys, totals included.
 
@@ -165,7 +167,7 @@ def median_cube(
     of the two middle values is taken when the count is even.
     """
     totals = totals or {k: R.ALL_MONTHS if k == "periodo" else R.ALL for k in keys}
-    return cube_quantiles(counts, keys, value, totals, [0.5]).select(
+    return cube_quantiles(counts, keys, value, totals, [0.5], collapsed=collapsed, kept=kept).select(
         *keys,
         F.round(value, 2).alias("salario_mediano"),
         F.col("total").alias("admissoes_com_salario"),

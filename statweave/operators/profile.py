@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import decimal_comma, decimal_point
 from .cuts import stable_round
+from .quality import holds
 from .quantiles import quantiles_of_counts
 
 
@@ -83,10 +84,16 @@ def band_profile(df: DataFrame, band: Column, hours: Column, flag: Column) -> Da
 
 
 def rule_impact(df: DataFrame, value: Column, rules: Mapping[str, Column]) -> DataFrame:
-    """(regra, n, mediana, media): how a rule changes the result, one row per rule."""
-    tagged = F.array(*[F.struct(F.lit(name).alias("regra"), cond.alias("_ok")) for name, cond in rules.items()])
-    kept = df.select(value.alias("_v"), F.inline(tagged)).where(F.col("_ok") & F.col("_v").isNotNull())
-    counts = kept.groupBy("regra", "_v").agg(F.count(F.lit(1)).alias("_k"))
+    """(regra, n, mediana, media): how a rule changes the result, one row per rule.
+
+    Rows are counted by value and outcomes first; only the counts are copied per rule.
+    """
+    flags = {f"_r{i}": holds(condition) for i, condition in enumerate(rules.values())}
+    valued = df.select(value.alias("_v"), *[flag.alias(f) for f, flag in flags.items()]).where(F.col("_v").isNotNull())
+    counted = valued.groupBy("_v", *flags).agg(F.count(F.lit(1)).alias("_n"))
+    tagged = F.array(*[F.struct(F.lit(name).alias("regra"), F.col(f).alias("_ok")) for name, f in zip(rules, flags)])
+    kept = counted.select("_v", "_n", F.inline(tagged)).where("_ok")
+    counts = kept.groupBy("regra", "_v").agg(F.sum("_n").alias("_k"))
     summary = counts.groupBy("regra").agg(F.sum("_k").alias("n"), _mean_of_counts().alias("media"))
     medians = quantiles_of_counts(counts, ["regra"], "_v", [0.5], n="_k").select(
         "regra", F.round("_v", 0).alias("mediana")

@@ -81,10 +81,13 @@ def quantiles_of_counts(
     return _pick(inside, keys, value, n)
 
 
-def cube_cells(df: DataFrame, keys: Sequence[str], totals: Mapping[str, str]) -> DataFrame:
+def cube_cells(
+    df: DataFrame, keys: Sequence[str], totals: Mapping[str, str], collapsed: Sequence[str] = (), kept: Sequence[str] = ()
+) -> DataFrame:
     """Every row once in each cell of the cube over ``keys``: 2 ** len(keys) copies.
 
-    Adds ``_c_<key>`` (the member, or the total's label) and ``_totals``, a bit mask of
+    Keys in ``collapsed`` appear as totals only and keys in ``kept`` as members only,
+    which halves the copies each time. Adds ``_c_<key>`` (the member, or the total's label) and ``_totals``, a bit mask of
     the keys that are totals, so that a member spelled like the total stays apart.
     """
     df = df.withColumn("_totals", F.lit(0))
@@ -92,7 +95,8 @@ def cube_cells(df: DataFrame, keys: Sequence[str], totals: Mapping[str, str]) ->
         mask = F.col("_totals")
         member = F.struct(F.col(key).alias(f"_c_{key}"), mask.alias("_mask"))
         total = F.struct(F.lit(totals[key]).alias(f"_c_{key}"), (mask + F.lit(1 << position)).alias("_mask"))
-        df = df.select("*", F.inline(F.array(member, total))).drop("_totals").withColumnRenamed("_mask", "_totals")
+        forms = [member] * (key not in collapsed) + [total] * (key not in kept)
+        df = df.select("*", F.inline(F.array(*forms))).drop("_totals").withColumnRenamed("_mask", "_totals")
     return df
 
 
@@ -103,6 +107,8 @@ def cube_quantiles(
     totals: Mapping[str, str],
     probabilities: Sequence[float],
     n: str = "n",
+    collapsed: Sequence[str] = (),
+    kept: Sequence[str] = (),
 ) -> DataFrame:
     """(keys.., p, total, value) for every cell of the cube over ``keys``, exactly.
 
@@ -113,13 +119,13 @@ def cube_quantiles(
     cell = [*(f"_c_{key}" for key in keys), "_totals"]
     binned = counts.withColumn("_bin", ordered_bin(F.col(value)))
     bins = binned.groupBy(*keys, "_bin").agg(F.sum(n).alias("_size"))
-    cells = cube_cells(bins, keys, totals).groupBy(*cell, "_bin").agg(F.sum("_size").alias("_size"))
-    members = cube_cells(bins.select(*keys).distinct(), keys, totals)
+    cells = cube_cells(bins, keys, totals, collapsed, kept).groupBy(*cell, "_bin").agg(F.sum("_size").alias("_size"))
+    members = cube_cells(bins.select(*keys).distinct(), keys, totals, collapsed, kept)
     wanted = null_safe_join(members, _locate(cells, cell, probabilities), cell)
-    # Equal values from different members stay separate rows; the running count over them
-    # still crosses the wanted rank in exactly one row, and its value is the same.
-    inside = null_safe_join(binned, wanted, [*keys, "_bin"])
-    return _pick(inside, cell, value, n).select(
+    # Equal values of different members are merged before the ranking: one task then holds at
+    # most the distinct values of one bin, however many rows the cell has.
+    inside = null_safe_join(binned, wanted, [*keys, "_bin"]).groupBy(*cell, "p", "total", "_rest", value)
+    return _pick(inside.agg(F.sum(n).alias(n)), cell, value, n).select(
         *[F.col(f"_c_{key}").alias(key) for key in keys], "p", "total", value
     )
 

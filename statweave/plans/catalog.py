@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -448,10 +448,19 @@ UNINFORMATIVE = {"bairros_fortaleza_codigo": "999997", "municipio_trab_codigo":
 @register
 def constant_columns(lake: Lake) -> DataFrame:
     """Report of columns with one value or a filler, with the verdict to drop them."""
-    report = profile.uninformative_columns(lake.stock_raw, list(UNINFORMATIVE), UNINFORMATIVE)
+    report = profile.uninformative_columns(lake.stock_raw, lake.stock_raw.columns, UNINFORMATIVE)
     return report.withColumn("constante", c("distintos") <= 1)
 
 
+@register
+def drop_constant_columns(lake: Lake) -> DataFrame:
+    """The contracts without their constant columns: what is left, and how often it is filled in."""
+    left = profile.drop_constant_columns(lake.stock_raw)
+    counts = left.agg(*[F.count(name).alias(name) for name in left.columns])
+    pairs = [F.struct(F.lit(name).alias("coluna"), c(name).alias("preenchidas")) for name in left.columns]
+    return counts.select(F.inline(F.array(*pairs)))
+
+
 @register
 def latest_period(lake: Lake) -> DataFrame:
     newest = indicators.latest_period(lake.survey_silver)
@@ -643,24 +652,28 @@ def extremes_profile(lake: Lake) -> DataFrame:
     return profile.extremes_profile(lake.flow_raw, fn.decimal_comma("salario"), 1000.0, 100000.0)
 
 
+def _wage_of_the_year(lake: Lake) -> Column:
+    return fn.year_lookup(fn.period_year(fn.integer("competenciamov")), lake.rules.wages)
+
+
 @register
 def band_profile(lake: Lake) -> DataFrame:
-    pay, wage = fn.decimal_comma("salario"), 13000.0
+    pay, wage = fn.decimal_comma("salario"), _wage_of_the_year(lake)
     edges = [(0.1, "2. abaixo de 0,1 SM"), (0.3, "3. 0,1 a 0,3 SM"), (0.5, "4. 0,3 a 0,5 SM")]
-    band = F.when(pay.isNull(), "0. ilegível").when(pay == 0, "1. zero")
+    band = F.when(pay.isNull(), "0. ilegível").when(pay == 0, "1. zero").when(wage.isNull(), "7. ano sem SM")
     for edge, label in edges:
-        band = band.when(pay < edge * wage, label)
-    band = band.when(pay <= 30 * wage, "5. 0,5 a 30 SM").otherwise("6. acima de 30 SM")
+        band = band.when(pay < wage * edge, label)
+    band = band.when(pay <= wage * 30.0, "5. 0,5 a 30 SM").otherwise("6. acima de 30 SM")
     monthly = lake.flow_raw.where(c("unidadesalariocodigo") == R.MONTHLY_UNIT)
     return profile.band_profile(monthly, band, fn.decimal_comma("horascontratuais"), c("indtrabparcial") == "1")
 
 
 @register
 def rule_impact(lake: Lake) -> DataFrame:
-    pay, wage = fn.decimal_comma("salario"), 13000.0
+    pay, wage = fn.decimal_comma("salario"), _wage_of_the_year(lake)
     monthly = lake.flow_raw.where(c("unidadesalariocodigo") == R.MONTHLY_UNIT)
     return profile.rule_impact(monthly, pay, {
-        "simples": pay > 0, "plausivel": pay.between(R.WAGE_FLOOR * wage, R.WAGE_CEILING * wage)})
+        "simples": pay > 0, "plausivel": pay.between(wage * R.WAGE_FLOOR, wage * R.WAGE_CEILING)})
 
 
 @register
@@ -767,8 +780,9 @@ def expect_report(lake: Lake) -> DataFrame:
 def gold_constraints(lake: Lake) -> DataFrame:
     """Identities and ranges the gold tables must keep."""
     return gold.constraint_report({
-        "caged_fluxo": lake.flow("competencia_mov", "municipio_nome", "sexo", "faixa_etaria"),
-        "rais_estoque": lake.stock("ano_base", "municipio_nome", "sexo", "faixa_etaria"),
+        "caged_fluxo": lake.flow(),
+        "caged_salario_mediano": lake.medians(),
+        "rais_estoque": lake.stock(),
         "rais_indicadores_municipio": lake.inequality(),
         "pnad_mercado_trabalho": lake.components(),
         "pnad_indicadores": lake.rates(),
@@ -798,9 +812,14 @@ def q_balance_by_area(lake: Lake) -> DataFrame:
     return indicators.balance_by_area(lake.flow("municipio_nome", "faixa_etaria"))
 
 
+# The driver tables have few hires per sector, so their floor is lower than that of the published table.
+MEDIAN_BAND, MEDIAN_MINIMUM, MEDIAN_AREA = "30+", 3, "NATION_4"
+
+
 @register
 def q_median_by_sector(lake: Lake) -> DataFrame:
-    return indicators.median_by_sector(lake.medians())
+    return indicators.median_by_sector(
+        lake.medians(["periodo", "municipio_nome", "sexo"], faixa_etaria=MEDIAN_BAND), MEDIAN_BAND, MEDIAN_MINIMUM)
 
 
 @register
@@ -815,7 +834,8 @@ def q_monthly_balance(lake: Lake) -> DataFrame:
 
 @register
 def q_median_point(lake: Lake) -> DataFrame:
-    return indicators.median_point(lake.medians(), "NATION_4")
+    return indicators.median_point(
+        lake.medians(["periodo", "sexo", "cnae_secao_descricao"], municipio_nome=MEDIAN_AREA, faixa_etaria="18-24"), MEDIAN_AREA)
 
 
 @register
@@ -880,6 +900,11 @@ def q_top_occupations(lake: Lake) -> DataFrame:
     return indicators.top_occupations(lake.flow_occupations("cbo_codigo", "cbo_descricao"))
 
 
+@register
+def q_stock_occupations(lake: Lake) -> DataFrame:
+    return indicators.stock_occupations(lake.stock_occupations("cbo_codigo", "cbo_descricao"))
+
+
 @register
 def q_hire_profile(lake: Lake) -> DataFrame:
     return indicators.hire_profile(lake.flow("faixa_etaria", "escolaridade", "sexo", "raca_cor"))

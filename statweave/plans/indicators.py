@@ -31,11 +31,16 @@ def latest_period(df: DataFrame, year: str = "ano", quarter: str = "trimestre")
     return df.where(period == df.agg(F.max(period)).scalar())
 
 
-def top_k(df: DataFrame, keys: Sequence[str], measure: str, alias: str, k: int) -> DataFrame:
-    """The k largest sums; equal sums are ordered by the keys, so the answer is one answer."""
+def top_k(
+    df: DataFrame, keys: Sequence[str], measure: str, alias: str, k: int, beside: Sequence[Column] = ()
+) -> DataFrame:
+    """The k largest sums; equal sums are ordered by the keys, so the answer is one answer.
+
+    ``beside`` holds further aggregates of the same groups.
+    """
     return (
         df.groupBy(*keys)
-        .agg(F.sum(measure).alias(alias))
+        .agg(F.sum(measure).alias(alias), *beside)
         .orderBy(F.desc(alias), *[F.asc_nulls_last(key) for key in keys])
         .limit(k)
     )
@@ -59,7 +64,7 @@ def median_by_sector(medians: DataFrame, age_band: str = "18-24", minimum: int =
 
 def top_sectors(flow: DataFrame, k: int = 10) -> DataFrame:
     young = flow.where(_young()).withColumnRenamed("cnae_secao_descricao", "setor")
-    return top_k(young, ["setor"], "admissoes", "admissoes_jovens", k)
+    return top_k(young, ["setor"], "admissoes", "admissoes_jovens", k, [F.sum("saldo").alias("saldo_jovens")])
 
 
 def monthly_balance(flow: DataFrame) -> DataFrame:
@@ -182,7 +187,14 @@ def small_firm_share(stock: DataFrame) -> DataFrame:
 
 
 def top_occupations(occupations: DataFrame, k: int = 10) -> DataFrame:
-    return top_k(occupations, ["cbo_codigo", "cbo_descricao"], "admissoes", "admissoes", k)
+    return top_k(occupations, ["cbo_codigo", "cbo_descricao"], "admissoes", "admissoes", k,
+                 [F.sum("saldo").alias("saldo")])
+
+
+def stock_occupations(occupations: DataFrame, k: int = 10) -> DataFrame:
+    """Occupations with most jobs, and their mean pay."""
+    mean = _ratio("soma_rem_dezembro", "n_rem_dezembro").alias("salario_medio")
+    return top_k(occupations, ["cbo_codigo", "cbo_descricao"], "vinculos", "empregos", k, [mean])
 
 
 def hire_profile(flow: DataFrame) -> DataFrame:

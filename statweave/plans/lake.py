@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import flow, inequality, specialization, stock, survey
 from ..sources import feeds
@@ -80,8 +82,12 @@ class Lake:
     def median_values(self) -> DataFrame:
         return flow.admission_values(self.flow_silver, self.areas, self.codes)
 
-    def medians(self) -> DataFrame:
-        return flow.median_cube(self.median_values())
+    def medians(self, collapsed: Sequence[str] = (), **members: str) -> DataFrame:
+        """The cube of medians; ``collapsed`` keys only as totals, ``members`` only at the given value."""
+        values = self.median_values()
+        for key, member in members.items():
+            values = values.where(F.col(key) == member)
+        return flow.median_cube(values, collapsed=collapsed, kept=tuple(members))
 
     def stock(self, *keys: str) -> DataFrame:
         keys = keys or stock.STOCK_KEYS
@@ -98,7 +104,7 @@ class Lake:
         return inequality.inequality_turnover(self.stock_plain, self.areas, self.rules.region)
 
     def regional_stock(self) -> DataFrame:
-        return stock.regional_stock(silver.wide_region(self.stock_raw), self.classes)
+        return stock.regional_stock(silver.wide_region(self.stock_raw, self.rules), self.classes)
 
     def quotients(self) -> DataFrame:
         return specialization.location_quotient(self.regional_stock(), self.areas, self.codes, self.rules.region)

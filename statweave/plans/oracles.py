@@ -465,12 +465,15 @@ oracle("region_filter", _n("flow_raw", "municipio", _IN_REGION.format("municipio
 oracle("active_only", _n("stock_typed", "ano_base, municipio_codigo", "WHERE ativo"))
 oracle("rolling_window_flag", _n("flow CROSS JOIN newest", "competencia_mov, mes > ultimo - 3 AS preliminar",
                                  "WHERE mes > ultimo - 12").replace("flow CROSS JOIN newest", "flow JOIN newest ON TRUE"))
+_FILLERS = {"bairros_fortaleza_codigo": "999997", "municipio_trab_codigo": "999999", "categoria_trabalhador_codigo": "999"}
+_STOCK_COLUMNS = re.findall(r"\bAS (\w+),?\n", feeds.STOCK_SQL)
 oracle("constant_columns", " UNION ALL ".join(
     f"SELECT '{name}' AS coluna, count(DISTINCT {name}) AS distintos, "
-    f"{_pct(f'count(CASE WHEN {name} = {_text(v)} THEN 1 END)', 'count(*)')} AS pct_sentinela, "
-    f"count(DISTINCT {name}) <= 1 AS constante FROM stock_raw"
-    for name, v in [("bairros_fortaleza_codigo", "999997"), ("municipio_trab_codigo", "999999"),
-                    ("categoria_trabalhador_codigo", "999")]))
+    + (_pct(f"count(CASE WHEN {name} = {_text(_FILLERS[name])} THEN 1 END)", "count(*)") if name in _FILLERS else "0.0::DOUBLE")
+    + f" AS pct_sentinela, count(DISTINCT {name}) <= 1 AS constante FROM stock_raw" for name in _STOCK_COLUMNS))
+oracle("drop_constant_columns", " UNION ALL ".join(
+    f"SELECT '{name}' AS coluna, count({name}) AS preenchidas FROM stock_raw HAVING count(DISTINCT {name}) > 1"
+    for name in _STOCK_COLUMNS))
 oracle("latest_period", _n("survey", "ano, trimestre, nucleo AS mora_em_fortaleza",
                            "WHERE ano * 10 + trimestre = (SELECT max(ano * 10 + trimestre) FROM survey)"))
 
@@ -574,19 +577,22 @@ oracle("extremes_profile", """
     SELECT count(*) FILTER (WHERE salario = 0) AS zero, count(*) FILTER (WHERE salario > 0 AND salario < 1000) AS abaixo,
            count(*) FILTER (WHERE salario > 100000) AS acima, max(salario) AS maximo FROM flow_typed""")
 oracle("band_profile", f"""
-    SELECT CASE WHEN s IS NULL THEN '0. ilegível' WHEN s = 0 THEN '1. zero' WHEN s < 1300 THEN '2. abaixo de 0,1 SM'
-                WHEN s < 3900 THEN '3. 0,1 a 0,3 SM' WHEN s < 6500 THEN '4. 0,3 a 0,5 SM'
-                WHEN s <= 390000 THEN '5. 0,5 a 30 SM' ELSE '6. acima de 30 SM' END AS faixa,
+    SELECT CASE WHEN s IS NULL THEN '0. ilegível' WHEN s = 0 THEN '1. zero' WHEN w IS NULL THEN '7. ano sem SM'
+                WHEN s < 0.1::DOUBLE * w THEN '2. abaixo de 0,1 SM' WHEN s < 0.3::DOUBLE * w THEN '3. 0,1 a 0,3 SM'
+                WHEN s < 0.5::DOUBLE * w THEN '4. 0,3 a 0,5 SM' WHEN s <= 30.0::DOUBLE * w THEN '5. 0,5 a 30 SM'
+                ELSE '6. acima de 30 SM' END AS faixa,
            count(*) AS n, {_round('avg(h)', 1)} AS horas_semanais_media,
            count(*) FILTER (WHERE indtrabparcial = '1') AS tempo_parcial
-    FROM (SELECT {_comma('salario')} AS s, {_comma('horascontratuais')} AS h, indtrabparcial FROM flow_raw
-          WHERE unidadesalariocodigo = '5') AS m GROUP BY ALL""")
+    FROM (SELECT {_comma('salario')} AS s, {_comma('horascontratuais')} AS h, indtrabparcial,
+                 {WAGE_OF.format(y=_int('competenciamov') + ' // 100')} AS w
+          FROM flow_raw WHERE unidadesalariocodigo = '5') AS m GROUP BY ALL""")
 oracle("rule_impact", f"""
     SELECT 'simples' AS regra, count(s) AS n, round(quantile_disc(s, 0.5), 0) AS mediana, {_round('avg(s)', 0)} AS media
     FROM (SELECT salario AS s FROM flow_typed WHERE unidade = '5' AND salario > 0) AS a
     UNION ALL
     SELECT 'plausivel', count(s), round(quantile_disc(s, 0.5), 0), {_round('avg(s)', 0)}
-    FROM (SELECT salario AS s FROM flow_typed WHERE unidade = '5' AND salario BETWEEN 3900 AND 390000) AS b""")
+    FROM (SELECT salario AS s FROM flow_typed
+          WHERE unidade = '5' AND salario BETWEEN 0.3::DOUBLE * minimo AND 30.0::DOUBLE * minimo) AS b""")
 oracle("sentinel_counts", f"""
     SELECT 'categoria = 999' AS o_que, count(*) AS n FROM flow_raw WHERE categoria = '999'
     UNION ALL SELECT 'graudeinstrucao = 80', count(*) FROM flow_raw WHERE graudeinstrucao = '80'
@@ -648,13 +654,10 @@ oracle("expect_report", _report("flow_all", {
     "idade_plausivel": "idade BETWEEN 14 AND 100",
     "tem_salario_mensal_plausivel": "salario_mensal IS NOT NULL",
     "ano_com_salario_minimo": "minimo IS NOT NULL"}))
-CTES["flow_small"] = f"""SELECT competencia_mov, municipio_nome, sexo, faixa_etaria, {_FLOW_MEASURES}
-    FROM flow_rows GROUP BY ALL"""
-CTES["stock_small"] = f"""SELECT ano_base, municipio_nome, sexo, faixa_etaria, {_STOCK_PAY}, count(media) AS n_rem_media
-    FROM stock_rows GROUP BY ALL"""
 oracle("gold_constraints", " UNION ALL ".join([
-    _report("flow_small", {"saldo_consistente": "saldo = admissoes - desligamentos"}, "caged_fluxo"),
-    _report("stock_small", {"contagens_coerentes": "n_rem_media <= vinculos AND n_rem_dezembro <= vinculos"}, "rais_estoque"),
+    _report("flow_fact", {"saldo_consistente": "saldo = admissoes - desligamentos"}, "caged_fluxo"),
+    _report("medians", {"amostra_minima": "admissoes_com_salario >= 30"}, "caged_salario_mediano"),
+    _report("stock_fact", {"contagens_coerentes": "n_rem_media <= vinculos AND n_rem_dezembro <= vinculos"}, "rais_estoque"),
     _report("inequality", {"gini_entre_0_e_1": "gini BETWEEN 0 AND 1"}, "rais_indicadores_municipio"),
     _report("components", {"ocupados_mais_desocupados_igual_forca":
             "abs(coalesce(ocupados, 0) + coalesce(desocupados, 0) - coalesce(forca_trabalho, 0)) < 1"}, "pnad_mercado_trabalho"),
@@ -672,10 +675,11 @@ oracle("q_balance_by_area", f"""
     WHERE faixa_etaria IN {YOUNG} GROUP BY municipio_nome""")
 oracle("q_median_by_sector", """
     SELECT cnae_secao_descricao AS setor, salario_mediano, admissoes_com_salario FROM medians
-    WHERE periodo = 'Últimos 12 meses' AND municipio_nome = 'Todos' AND faixa_etaria = '18-24' AND sexo = 'Todos'
-      AND cnae_secao_descricao <> 'Todos' AND admissoes_com_salario >= 30""")
+    WHERE periodo = 'Últimos 12 meses' AND municipio_nome = 'Todos' AND faixa_etaria = '30+' AND sexo = 'Todos'
+      AND cnae_secao_descricao <> 'Todos' AND admissoes_com_salario >= 3""")
 oracle("q_top_sectors", f"""
-    SELECT cnae_secao_descricao AS setor, {_HIRES} AS admissoes_jovens FROM flow_fact WHERE faixa_etaria IN {YOUNG}
+    SELECT cnae_secao_descricao AS setor, {_HIRES} AS admissoes_jovens, CAST(sum(saldo) AS BIGINT) AS saldo_jovens
+    FROM flow_fact WHERE faixa_etaria IN {YOUNG}
     GROUP BY cnae_secao_descricao ORDER BY admissoes_jovens DESC, setor NULLS LAST LIMIT 10""")
 oracle("q_monthly_balance", """
     SELECT competencia_mov, preliminar, CAST(sum(saldo) AS BIGINT) AS saldo FROM flow_fact GROUP BY ALL""")
@@ -754,8 +758,12 @@ oracle("q_small_firm_share", f"""
            {_pct("sum(CASE WHEN porte_oficial IN ('Micro', 'Pequena') THEN vinculos ELSE 0 END)", 'sum(vinculos)')}
            AS pct_micro_pequena FROM stock_fact GROUP BY ALL""")
 oracle("q_top_occupations", f"""
-    SELECT cbo_codigo, cbo_descricao, {_HIRES} AS admissoes FROM flow_jobs GROUP BY ALL
+    SELECT cbo_codigo, cbo_descricao, {_HIRES} AS admissoes, CAST(sum(saldo) AS BIGINT) AS saldo FROM flow_jobs GROUP BY ALL
     ORDER BY admissoes DESC, cbo_codigo, cbo_descricao LIMIT 10""")
+oracle("q_stock_occupations", f"""
+    SELECT cbo_codigo, cbo_descricao, CAST(sum(vinculos) AS BIGINT) AS empregos,
+           {_round(_div('sum(soma_rem_dezembro)', 'sum(n_rem_dezembro)'), 2)} AS salario_medio
+    FROM stock_jobs GROUP BY ALL ORDER BY empregos DESC, cbo_codigo, cbo_descricao LIMIT 10""")
 oracle("q_hire_profile", _profile("flow_fact", {
     d: d for d in ("faixa_etaria", "escolaridade", "sexo", "raca_cor")}, "admissoes"))
 oracle("q_work_quality", f"""

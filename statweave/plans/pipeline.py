@@ -123,7 +123,7 @@ def build_silver(
         counted = dict(observation.get)
         rows = counted.pop("linhas")
         report += [(name, check, rows, broken) for check, broken in counted.items()]
-    wide = stock.regional_stock(silver.wide_region(bronze["rais_ceara_vinculo"]), dims.classes)
+    wide = stock.regional_stock(silver.wide_region(bronze["rais_ceara_vinculo"], rules), dims.classes)
     tables["rais_estoque_ceara_secao"] = _save(wide, f"{database}.rais_estoque_ceara_secao")
     schema = "tabela string, expectativa string, linhas bigint, violacoes bigint"
     return tables, literal_table(spark, report, schema)

@@ -9,6 +9,7 @@ from .. import functions as fn
 from .. import rulebook as R
 from ..operators.cleanse import cleanse
 from ..operators.quality import expect_or_drop, observe_checks
+from . import layout
 
 AUDIT = ["_rescued_data", "_arquivo_origem"]
 
@@ -16,38 +17,13 @@ AUDIT = ["_rescued_data", "_arquivo_origem"]
 def flow_rules(rules: R.Rules) -> list[dict[str, Column]]:
     """Typing, then the rules over typed columns."""
     c = F.col
-    typed = {
-        "origem_arquivo": c("tipo"),
-        "competencia_divulgacao": c("competencia"),
-        "competencia_mov": fn.integer("competenciamov"),
-        "competencia_dec": fn.integer("competenciadec"),
-        "competencia_exc": fn.integer("competenciaexc"),
-        "municipio_codigo": fn.integer("municipio"),
-        "cnae_secao": c("secao"),
-        "cnae_subclasse": c("subclasse"),
-        "cbo_codigo": c("cbo2002ocupacao"),
-        "saldo_movimentacao": fn.integer("saldomovimentacao"),
-        "tipo_movimentacao": fn.integer("tipomovimentacao"),
-        "categoria_codigo": c("categoria"),
-        "sexo_codigo": c("sexo"),
-        "sexo": fn.conform_label("sexo", rules.flow_sex),
-        "raca_cor_codigo": c("racacor"),
-        "raca_cor": fn.conform_label("racacor", rules.flow_race),
-        "grau_instrucao_codigo": fn.integer("graudeinstrucao"),
-        "idade": fn.integer("idade"),
-        "horas_contratuais": fn.decimal_comma("horascontratuais"),
-        "tempo_parcial": fn.code_flag(c("indtrabparcial"), "1"),
-        "intermitente": fn.code_flag(c("indtrabintermitente"), "1"),
-        "salario_informado": fn.decimal_comma("salario"),
-        "unidade_salario_codigo": c("unidadesalariocodigo"),
-    }
     by_code = {
         "efeito": fn.signed_effect(c("saldo_movimentacao"), c("origem_arquivo")),
         "faixa_etaria": fn.age_band(c("idade")),
         "salario_minimo": fn.year_lookup(fn.period_year(c("competencia_mov")), rules.wages),
     }
     pay = fn.plausible_value(c("salario_informado"), c("unidade_salario_codigo"), c("salario_minimo"))
-    return [typed, by_code, {"salario_mensal": pay}]
+    return [layout.typed(layout.FLOW, rules), by_code, {"salario_mensal": pay}]
 
 
 def flow_checks(rules: R.Rules) -> tuple[dict[str, Column], dict[str, Column]]:
@@ -68,36 +44,7 @@ def flow_checks(rules: R.Rules) -> tuple[dict[str, Column], dict[str, Column]]:
 
 def stock_rules(rules: R.Rules) -> list[dict[str, Column]]:
     """Typing, then the rules over typed columns."""
-    c, i = F.col, fn.integer
-    typed = {
-        "ano_base": c("ano_base"),
-        "municipio_codigo": i("municipio_codigo"),
-        "ativo_31_12": fn.code_flag(i("ind_vinculo_ativo_31_12_codigo"), 1),
-        "tipo_vinculo_codigo": i("tipo_vinculo_codigo"),
-        "tipo_admissao_codigo": i("tipo_admissao_trabalhador_codigo"),
-        "mes_admissao": i("mes_admissao_codigo"),
-        "mes_desligamento": i("mes_desligamento_codigo"),
-        "motivo_desligamento_codigo": i("motivo_desligamento_codigo"),
-        "categoria_trabalhador_codigo": i("categoria_trabalhador_codigo"),
-        "cnae_classe": i("cnae_2_0_classe_codigo"),
-        "cnae_subclasse": i("cnae_2_0_subclasse_codigo"),
-        "natureza_juridica_codigo": i("natureza_juridica_codigo"),
-        "ibge_subsetor_codigo": i("ibge_subsetor_codigo"),
-        "tamanho_estabelecimento_codigo": i("tamanho_estabelecimento_codigo"),
-        "optante_simples": fn.code_flag(i("ind_estabelecimento_participante_simples_codigo"), 1),
-        "cbo_codigo": F.trim("cbo_2002_ocupacao_codigo"),
-        "sexo_codigo": c("sexo_codigo"),
-        "sexo": fn.conform_label("sexo_codigo", rules.stock_sex),
-        "raca_cor_codigo": c("raca_cor_codigo"),
-        "raca_cor": fn.conform_label("raca_cor_codigo", rules.stock_race),
-        "grau_instrucao_codigo": i("escolaridade_apos_2005_codigo"),
-        "idade": i("idade"),
-        "pcd": fn.code_flag(i("ind_portador_defic_codigo"), 1),
-        "horas_contratuais": i("qtd_hora_contr"),
-        "tempo_emprego_meses": fn.decimal_point("tempo_emprego"),
-        "remuneracao_media_nominal": fn.positive_or_null("vl_rem_media_nom"),
-        "remuneracao_dezembro_nominal": fn.positive_or_null("vl_rem_dezembro_nom"),
-    }
+    c = F.col
     entry, exit_ = fn.turnover_flags(
         c("mes_admissao"), c("mes_desligamento"), c("tipo_vinculo_codigo"), c("motivo_desligamento_codigo")
     )
@@ -108,7 +55,7 @@ def stock_rules(rules: R.Rules) -> list[dict[str, Column]]:
         "desligamento_rotatividade": exit_,
         "faixa_etaria": fn.age_band(c("idade")),
     }
-    return [typed, derived]
+    return [layout.typed(layout.STOCK, rules), derived]
 
 
 def stock_checks(rules: R.Rules) -> tuple[dict[str, Column], dict[str, Column]]:
@@ -124,36 +71,12 @@ def stock_checks(rules: R.Rules) -> tuple[dict[str, Column], dict[str, Column]]:
 
 def survey_rules(rules: R.Rules) -> list[dict[str, Column]]:
     """Typing, then the rules over typed columns. NULL means "does not apply" and stays NULL."""
-    c, i = F.col, fn.integer
-    typed = {
-        "ano": i("ano"),
-        "trimestre": i("trimestre"),
-        "mora_em_fortaleza": fn.code_flag(c("capital"), R.METRO_CODE),
-        "peso": fn.decimal_point("peso"),
-        "sexo_codigo": c("sexo"),
-        "sexo": fn.conform_label("sexo", rules.survey_sex),
-        "raca_cor_codigo": c("cor_raca"),
-        "raca_cor": fn.conform_label("cor_raca", rules.survey_race),
-        "idade": i("idade"),
-        "nivel_instrucao_codigo": i("nivel_instrucao"),
-        "condicao_forca_trabalho": i("condicao_forca_trabalho"),
-        "condicao_ocupacao": i("condicao_ocupacao"),
-        "forca_trabalho_potencial": i("forca_trabalho_potencial"),
-        "subocupado": fn.code_flag(i("subocupacao"), 1),
-        "desalentado": fn.code_flag(i("desalento"), 1),
-        "posicao_ocupacao_codigo": i("posicao_categoria"),
-        "grupamento_atividade_codigo": i("grupamento_atividade"),
-        "grupamento_ocupacional_codigo": i("grupamento_ocupacional"),
-        "contribui_previdencia": fn.code_flag(i("contribuicao_previdenciaria"), 1),
-        "negocio_cnpj_codigo": i("negocio_cnpj"),
-        "rendimento_habitual": fn.decimal_point("rendimento_habitual"),
-        "rendimento_efetivo": fn.decimal_point("rendimento_efetivo"),
-    }
+    c = F.col
     derived = {
         "faixa_etaria": fn.age_band(c("idade")),
         "informal": fn.informality(c("posicao_ocupacao_codigo"), c("negocio_cnpj_codigo")),
     }
-    return [typed, derived]
+    return [layout.typed(layout.SURVEY, rules), derived]
 
 
 def survey_checks() -> tuple[dict[str, Column], dict[str, Column]]:
@@ -198,17 +121,10 @@ def stock_without_lookups(raw: DataFrame, rules: R.Rules) -> DataFrame:
     return expect_or_drop(cleanse(raw, *stock_rules(rules), keep=AUDIT), stock_checks(rules)[0])
 
 
-def wide_region(raw: DataFrame) -> DataFrame:
-    """The three columns of the wider region that the location quotient needs, typed."""
-    return cleanse(
-        raw,
-        {
-            "ano_base": F.col("ano_base"),
-            "municipio_codigo": fn.integer("municipio_codigo"),
-            "ativo_31_12": fn.code_flag(fn.integer("ind_vinculo_ativo_31_12_codigo"), 1),
-            "cnae_classe": fn.integer("cnae_2_0_classe_codigo"),
-        },
-    )
+def wide_region(raw: DataFrame, rules: R.Rules) -> DataFrame:
+    """The columns of the wider region that the location quotient needs, typed."""
+    needed = ["ano_base", "municipio_codigo", "ativo_31_12", "cnae_classe"]
+    return cleanse(raw, layout.typed(layout.STOCK, rules, *needed))
 
 
 def survey_silver(raw: DataFrame, rules: R.Rules, observation: Observation | None = None) -> DataFrame:
