@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -47,5 +50,6 @@ def ingest_available(stream: DataFrame, target: str, checkpoint: str) -> Streami
     return query
 
 
-def added_rows(query: StreamingQuery) -> int:
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+def added_rows(target: DataFrame, since: datetime) -> int:
+    """Rows of the target that were ingested at ``since`` or later, however many batches brought them."""
+    return target.where(F.col("_ingerido_em") >= F.lit(since)).count()

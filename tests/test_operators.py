@@ -47,6 +47,15 @@ def test_group_quantiles_equal_brute_force(skewed):
     assert found == {(k, p): (lower_quantile(vs, p), len(vs)) for k, vs in groups.items() for p in probabilities}
 
 
+def test_wanted_cells_equal_those_of_the_whole_cube(spark):
+    counts = spark.createDataFrame(
+        [("x", "m", 1.0, 2), ("x", "n", 1.0, 3), ("x", "n", 2.0, 9), ("y", "m", 5.0, 3)], "a string, b string, v double, n long")
+    totals = {"a": "ALL", "b": "Todos"}
+    whole = quantiles.cube_quantiles(counts, ["a", "b"], "v", totals, [0.5]).where("a <> 'ALL' AND b = 'Todos'")
+    wanted = quantiles.cube_quantiles(counts, ["a", "b"], "v", totals, [0.5], collapsed=["b"], kept=["a"])
+    assert sorted(wanted.collect()) == sorted(whole.collect()) == [("x", "Todos", 0.5, 14, 2.0), ("y", "Todos", 0.5, 3, 5.0)]
+
+
 def test_cube_quantiles_equal_brute_force(spark):
     rng = random.Random(3)
     rows = [(rng.choice("xy"), rng.choice(["1", "2", "Todos"]), float(rng.randint(1, 400))) for _ in range(1500)]

@@ -32,6 +32,18 @@ def test_query_equals_sql(spark, sf_dir, con, key):
     assert difference(spark, con, sf_dir, QUERIES[key], SQL[key]) is None
 
 
+@pytest.mark.parametrize("key", ["sorted_output", "top_k", "q_top_sectors", "q_top_occupations", "q_stock_occupations"])
+def test_sorted_queries_keep_their_order(spark, sf_dir, con, key):
+    theirs = con.execute(SQL[key])
+    names, rows = [d[0] for d in theirs.description], theirs.fetchall()
+    assert rows and [tuple(row[n] for n in names) for row in QUERIES[key](spark, sf_dir).collect()] == rows
+
+
+@pytest.mark.parametrize("key", ["q_median_by_sector", "q_median_point", "drop_constant_columns"])
+def test_results_are_not_empty(spark, key):
+    assert QUERIES[key](spark, "/root/testdata/sf0.01").count() > 0
+
+
 HEAVY = ["flow_fact", "flow_by_occupation", "median_cube", "stock_fact", "stock_by_occupation", "gini", "turnover_rate",
          "location_quotient", "weighted_components", "survey_rates", "weighted_by_category", "percentile_profile",
          "share_of_total", "late_revisions", "q_rank_areas", "rule_impact"]
