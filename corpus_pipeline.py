@@ -31,8 +31,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates stays: the one with the least id."""
-    return near_dup.drop_near_duplicates(docs, percent=85)
+    """One document of each component of near duplicates, alike by 0.8 or more, stays: the one with the least id."""
+    return near_dup.drop_near_duplicates(docs, percent=80)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,12 +1,13 @@
 """Near-duplicate documents by b-bit MinHash.
 
 A document's set holds its distinct shingles of five words. Minima of 224 hash functions
-over the set are cut into 32 bands of 7; documents that agree in a band are candidates.
+over the set are cut into 32 bands, of 7 from 85 % on and of fewer below (`band_rows`);
+documents that agree in a band are candidates.
 Only the low two bits of each minimum are kept for estimating: seven packed numbers, whose
 agreement is counted with bit operations and corrected for chance agreement. Candidates
 whose estimate is within five standard deviations of the threshold are confirmed on their
 full sets, so every link returned is exact; a link just at the threshold is missed with a
-chance of about 4 in a million.
+chance of about 4 in a million (3 at 80 %).
 
 What keeps it linear where groups are large:
 
@@ -33,6 +34,7 @@ from .common import connected, in_block_pairs, mix, per_group, row_key, written
 
 WORDS, BANDS, ROWS, BITS = 5, 32, 7, 2
 HASHES = BANDS * ROWS
+MISSED = 5e-6  # chance that a pair just at the threshold meets in no band
 LONGS = HASHES * BITS // 64
 BLOCK = 256
 CHUNK = 1 << 15  # shingles hashed at once: they stay in the processor's cache
@@ -77,8 +79,13 @@ def minima(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def band_keys(least: np.ndarray) -> np.ndarray:
-    folded = (least.reshape(-1, BANDS, ROWS).astype(np.uint64) * _ROW).sum(axis=2, dtype=np.uint64)
+def band_rows(percent: int) -> int:
+    """Minima in a band: as many as miss no more than `MISSED` of the pairs at the threshold, `ROWS` at most."""
+    return next((r for r in range(ROWS, 1, -1) if (1 - (percent / 100) ** r) ** BANDS <= MISSED), 1)
+
+
+def band_keys(least: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    folded = (least[:, :BANDS * rows].reshape(-1, BANDS, rows).astype(np.uint64) * _ROW[:rows]).sum(axis=2, dtype=np.uint64)
     return mix(folded + _BAND).view(np.int64)
 
 
@@ -114,8 +121,9 @@ def agreement_sql(a: Column, b: Column) -> Column:
     return F.lit(HASHES) - sum(unlike[1:], unlike[0])
 
 
-def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def sketches(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """Per row: id, row key, set size, 16-byte identity of the set, band keys and packed low bits (NULL for no words)."""
+    in_band = band_rows(percent)
     rows = docs.select(F.col(id_col).alias("id"), row_key(F.col(id_col), F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -134,7 +142,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 batch.column("id"), batch.column("key"), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                lists(band_keys(least), BANDS), lists(packed(least), LONGS)],
+                lists(band_keys(least, in_band), BANDS), lists(packed(least), LONGS)],
                 names=["id", "key", "n", "set", "bands", "bits"])
 
     return rows.mapInArrow(sketch, f"id {kind}, key binary, n bigint, set binary, bands array<bigint>, bits array<bigint>")
@@ -227,7 +235,7 @@ def _families(classes: DataFrame, percent: int, least: int) -> DataFrame:
 def _components(docs: DataFrame, id_col: str, text_col: str, percent: int) -> tuple[DataFrame, DataFrame]:
     """The sketched rows, and per set of shingles the first row (no_id, id, key) of its component."""
     least = least_agreement(percent / 100)
-    rows = written(sketches(docs, id_col, text_col), "sketches")
+    rows = written(sketches(docs, id_col, text_col, percent), "sketches")
     classes = written(
         rows.where("n > 0").groupBy("set").agg(
             F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("first"), F.first("n").alias("n"),

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from statweave.llm import near_dup
 from statweave.llm.common import connected
 from statweave.llm.queries import QUERIES
@@ -57,6 +58,26 @@ def test_a_large_family_around_the_threshold(spark):
     assert got == brute(rows) and len(set(got.values())) > 2
 
 
+def test_the_stage_links_from_four_fifths_on(spark):
+    """Copies between 0.75 and 0.95, most of them between 0.80 and 0.85, of 60 texts; op1 keeps its 85 %."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(60):
+        base = prose(100 + k, 400).split()
+        rows += [(10 * k, " ".join(base)), *((10 * k + n, edited(base, rng, changes)) for n, changes in ((1, 8), (2, 9), (3, 11)))]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+    want = {i for i, least in brute(rows, 80).items() if i == least}
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == want
+    assert len(want) < len(set(brute(rows).values())) - 20
+
+
+@pytest.mark.parametrize("percent", [100, 95, 85, 80, 70, 50])
+def test_bands_follow_the_threshold(percent):
+    rows = near_dup.band_rows(percent)
+    assert (1 - (percent / 100) ** rows) ** near_dup.BANDS <= near_dup.MISSED
+    assert rows == near_dup.ROWS or (1 - (percent / 100) ** (rows + 1)) ** near_dup.BANDS > near_dup.MISSED
+
+
 def test_odd_rows(odd, odd_rows):
     out = near_dup.near_duplicates(odd)
     assert out.columns == ["doc_id", "n_shingles", "component_id", "kept"] and out.count() == len(odd_rows)
