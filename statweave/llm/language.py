@@ -7,7 +7,8 @@ sample, so phrases times log2(sample length) is the cost of the text, and sample
 different sizes compare fairly.
 
 Texts advance together: they are cut into stretches of equal length, and one step of all
-stretches is an index into a table of transitions.
+stretches is an index into a table of transitions. The table has a column for each of the
+most used letters; steps by any other learned letter are searched among sorted keys.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from .common import per_group, slices
 
 LEARN = 40_000  # letters and blanks learned per language, to the end of the document that reaches it
 SAMPLE = 300  # documents per language that may be learned from
-SYMBOLS = 200  # letters told apart; rarer ones match nothing
+SYMBOLS = 200  # most used letters, which have a column in the tables; the others' steps are sorted keys
 STRETCH = 256
 AT_ONCE = 1 << 22  # letters that are parsed together
 SOFT = 8.0  # bits of difference that halve a language's weight in the score
@@ -41,7 +42,10 @@ def letters(text: str | None) -> np.ndarray:
     if _letter is None:
         _letter = np.array([chr(k).isalpha() for k in range(1 << 16)])
     points = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    is_letter = _letter[np.minimum(points, (1 << 16) - 1)] | (points >= 1 << 16)
+    is_letter = _letter[np.minimum(points, (1 << 16) - 1)]
+    if (high := points >= 1 << 16).any():
+        kinds, which = np.unique(points[high], return_inverse=True)
+        is_letter[high] = np.array([chr(k).isalpha() for k in kinds.tolist()])[which]
     if not is_letter.any():
         return points[:0]
     starts = is_letter.copy()
@@ -82,12 +86,22 @@ def automaton(points: list[int]) -> tuple[list[int], list[int], list[int]]:
 
 @dataclass
 class Parser:
-    """Languages in alphabetical order with the transition table of each, over one alphabet."""
+    """Languages in alphabetical order with the transitions of each, over one alphabet of all learned letters.
+
+    Symbol 0 is a letter never learned; those from `width` on have no column in the tables.
+    """
 
     languages: list[str]
     bits: np.ndarray  # of a phrase, per language
-    tables: list[np.ndarray]  # [state * symbols + symbol] -> next state, with _STOP where a new phrase begins
-    alphabet: dict[int, int]  # code point -> symbol; 0 is every other letter
+    width: int
+    known: np.ndarray  # learned code points, sorted
+    codes: np.ndarray  # their symbols
+    tables: list[np.ndarray]  # [state * width + symbol] -> next state, with _STOP where a new phrase begins
+    rare: list[tuple[np.ndarray, np.ndarray]]  # sorted keys state * others + symbol - width, and the same
+
+    @classmethod
+    def empty(cls) -> Parser:
+        return cls([], np.zeros(0), 1, np.zeros(0, np.uint32), np.zeros(0, np.uint32), [], [])
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases of each text in each language; every stretch starts a phrase of its own."""
@@ -103,17 +117,17 @@ class Parser:
         return out
 
     def _together(self, texts: list[np.ndarray]) -> np.ndarray:
-        width = len(self.alphabet) + 1
+        width, known, codes = self.width, self.known, self.codes
+        others = len(known) + 1 - width
         sizes = np.array([len(t) for t in texts])
         joined = np.concatenate(texts)
-        known = np.array(sorted(self.alphabet), np.uint32)
-        codes = np.array([self.alphabet[int(c)] for c in known], np.uint8)
-        small = np.zeros(1 << 12, np.uint8)
+        small = np.zeros(1 << 12, np.uint32)
         small[known[known < 1 << 12]] = codes[known < 1 << 12]
         symbols = small[np.minimum(joined, (1 << 12) - 1)]
         if (high := np.flatnonzero(joined >= (1 << 12) - 1)).size:
             at = np.minimum(np.searchsorted(known, joined[high]), len(known) - 1)
             symbols[high] = np.where(known[at] == joined[high], codes[at], 0)
+        has_rare = bool(others) and bool((symbols >= width).any())
         lanes = -(-sizes // STRETCH)
         owner = np.repeat(np.arange(len(texts)), lanes)
         begin = np.concatenate([[0], np.cumsum(sizes)])
@@ -127,12 +141,34 @@ class Parser:
         for t in range(int(length[0]) if len(length) else 0):
             live = int(np.searchsorted(-length, -t, "left"))  # those longer than t
             symbol = symbols[start[:live] + t]
+            seldom = np.flatnonzero(symbol >= width) if has_rare else ()
+            if len(seldom):
+                own = symbol[seldom].astype(np.int64) - width
+                symbol[seldom] = 0
             for k, table in enumerate(self.tables):
-                step = table[state[k, :live] * width + symbol]
+                step = table[state[k, :live] * width + symbol.view(np.int32)]
+                if len(seldom):
+                    step[seldom] = self._search(k, state[k, seldom], own, others)
                 count[k, :live] += step >> 30
                 state[k, :live] = step & (_STOP - 1)
         return np.stack([np.bincount(owner, c, len(texts)) for c in count], axis=1).astype(np.int64)
 
+    def _search(self, k: int, state: np.ndarray, symbol: np.ndarray, others: int) -> np.ndarray:
+        """Steps by letters without a column: from the state, else from the root, where a phrase begins."""
+        keys, steps = self.rare[k]
+        if not len(keys):
+            return np.full(len(state), _STOP, np.int32)
+
+        def at(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            return keys[place] == key, steps[place]
+
+        found, step = at(state.astype(np.int64) * others + symbol)
+        if not found.all():
+            begins, root = at(symbol[~found])
+            step[~found] = np.where(begins, root, _STOP)
+        return step
+
     def judge(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         cut = [letters(t) for t in texts]
         full = [k for k, c in enumerate(cut) if len(c)]
@@ -159,7 +195,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = rows.where("lang IS NOT NULL AND text IS NOT NULL")
     counts = rows.groupBy("lang").count().collect()
     if not counts:
-        return Parser([], np.zeros(0), [], {})
+        return Parser.empty()
     shares = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], min(1.0, sample / r["count"]))))
     drawn = rows.where(F.pmod("at", F.lit(1 << 20)) < shares[F.col("lang")] * (1 << 20)).dropDuplicates(["lang", "at"])
 
@@ -180,22 +216,26 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     learned = per_group(built, ["lang"], build, "lang string, n bigint, s binary, c binary, t binary", dealt=True)
     found = sorted((r["lang"], r["n"], *(np.frombuffer(r[k], "<u4") for k in "sct")) for r in learned.collect())
     if not found:
-        return Parser([], np.zeros(0), [], {})
+        return Parser.empty()
     points, uses = np.unique(np.concatenate([c for *_, c, _ in found]), return_counts=True)
-    kept = sorted(points[np.argsort(-uses, kind="stable")[:SYMBOLS]].tolist())
-    alphabet = {p: k + 1 for k, p in enumerate(kept)}
-    width, tables = len(kept) + 1, []
+    order = np.argsort(-uses, kind="stable")
+    kept, others = np.sort(points[order[:SYMBOLS]]), np.sort(points[order[SYMBOLS:]])
+    codes = np.zeros(len(points), np.uint32)
+    codes[np.searchsorted(points, np.concatenate([kept, others]))] = np.arange(1, len(points) + 1)
+    width, tables, rare = len(kept) + 1, [], []
     for _, _, s, c, t in found:
-        symbol = np.searchsorted(kept, c)
-        known = (symbol < len(kept)) & (np.array(kept, np.uint32)[np.minimum(symbol, len(kept) - 1)] == c)
-        s, t, symbol = s[known].astype(np.int64), t[known], symbol[known] + 1
-        table = np.full((int(max(s.max(initial=0), t.max(initial=0))) + 1, width), -1, np.int32)
-        table[s, symbol] = t
+        s, t, symbol = s.astype(np.int64), t.astype(np.int32), codes[np.searchsorted(points, c)].astype(np.int64)
+        common = symbol < width
+        table = np.full((int(max(s.max(), t.max())) + 1, width), -1, np.int32)
+        table[s[common], symbol[common]] = t[common]
         root = np.where(table[0] < 0, 0, table[0]) | _STOP
         table = np.where(table < 0, root, table)
         table[0] = root  # every step from the root begins a phrase
         tables.append(table.ravel())
-    return Parser([r[0] for r in found], np.array([math.log2(r[1] + 1) for r in found]), tables, alphabet)
+        keys = s[~common] * len(others) + symbol[~common] - width
+        steps, sort = np.where(s == 0, t | _STOP, t)[~common], np.argsort(keys)
+        rare.append((keys[sort], steps[sort]))
+    return Parser([r[0] for r in found], np.array([math.log2(r[1] + 1) for r in found]), width, points, codes, tables, rare)
 
 
 def spoken(text: Column, parser: Parser, spark) -> Column:

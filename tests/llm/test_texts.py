@@ -142,6 +142,43 @@ def test_phrases_by_brute_force(spark):
             assert parser.phrases([cut])[0].tolist() == [phrases(" " + learned[k], text) for k in parser.languages]
 
 
+def test_signs_beyond_the_first_plane_are_letters_only_if_alphabetic(spark):
+    parser = language.train(spark.createDataFrame([(1, "good day to you all", "en", "s", 1), (2, "guten tag euch allen", "de", "s", 1)], SCHEMA))
+    rows = language.identify(made(spark, "\U0001F600\U0001F680 \U0001D7D8", "good \U0001F600\U0001F680\U0001F600 day", "\U00020000 \U00010428"), parser).orderBy("doc_id").collect()
+    assert (rows[0].lang_pred, rows[0].score) == (language.NONE, 0.0) and rows[1].lang_pred == "en"
+    assert language.letters("good \U0001F600\U0001F680 day").tolist() == language.letters("good day").tolist()
+    assert language.letters("\U00020000 \U00010428\U0001F600").tolist() == [0x20000, 32, 0x10428, 32]
+
+
+def test_every_learned_letter_is_told_apart(spark):
+    """Alphabets far beyond the columns of the tables, one of them astral: phrases by brute force."""
+    rng = random.Random(4)
+    signs = {"a": "abc ", "j": [chr(0x4E00 + k) for k in range(900)], "z": [chr(0x4E00 + k) for k in range(600, 1500)] + [chr(0x20000 + k) for k in range(300)]}
+    learned = {k: "".join(rng.choices(own, k=3000)) for k, own in signs.items()}
+    parser = language.train(spark.createDataFrame([(k, t, l, "s", 1) for k, (l, t) in enumerate(learned.items())], SCHEMA))
+    samples = {k: " " + "".join(map(chr, language.letters(t))) for k, t in learned.items()}
+    cuts = []
+    for k, text in learned.items():
+        for _ in range(30):
+            parts = [text[at:at + rng.randint(1, 40)] for at in (rng.randrange(len(text)) for _ in range(4))]
+            cuts.append(("".join(parts) + "".join(rng.choices(signs[rng.choice("ajz")], k=9)) + "\u9FA0\U0002A000")[:language.STRETCH])
+
+    def phrases(sample, text):
+        n = at = 0
+        while at < len(text):
+            end = at
+            while end < len(text) and text[at:end + 1] in sample:
+                end += 1
+            at, n = max(end, at + 1), n + 1
+        return n
+
+    cut = [language.letters(t) for t in cuts]
+    want = [[phrases(samples[k], "".join(map(chr, c))) for k in parser.languages] for c in cut]
+    assert parser.phrases(cut).tolist() == want
+    rows = language.identify(made(spark, *cuts), parser).orderBy("doc_id").collect()
+    assert [r.lang_pred for r in rows] == [k for k in learned for _ in range(30)]
+
+
 def test_language_accuracy_and_odd_rows(spark, odd, odd_rows, empty):
     docs = spark.read.parquet(f"{BIG}/documents.parquet")
     out = QUERIES["op4_language_id"](spark, BIG).join(docs, "doc_id").where("held_out")
