@@ -66,7 +66,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+    return pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 @register

@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -118,6 +119,14 @@ def test_pieces_query_and_odd_rows(spark, sf_dir, odd, odd_rows, empty):
     assert pieces.encode(empty, MODEL).count() == 0 and pieces.with_tokens(empty, MODEL).count() == 0
 
 
+def test_pieces_query_returns_ids_that_decode_to_the_text(spark, sf_dir, texts):
+    own, rows = pieces.Pieces(MODEL), QUERIES["op3_sentencepiece"](spark, sf_dir).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = np.array(r.ids, "<u4")
+        assert own.decode(ids) == texts[r.doc_id] and (r.n_tokens, r.ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 # --- language ---------------------------------------------------------------------
 
 
