@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hamming, language, near_dup, pieces, quality, secrets, sharding, sql, token_files, toxicity
+from . import codes, decontaminate, hamming, language, near_dup, periodic, pieces, quality, secrets, sharding, sql, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +89,16 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, toxicity.rows_to_learn(table(spark, sf_dir, "labels")))
     return quality.assess(docs, model, docs.source, docs.lang)
+
+
+@register
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op12_vector_codes"] = sql.CODES
+
+
+@register
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"), rewrite=True).drop("n_kept")

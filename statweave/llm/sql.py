@@ -53,3 +53,30 @@ pairs AS (SELECT q.vec_id AS query_id, v.vec_id AS neighbor_id,
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id)::INT AS rank, neighbor_id, distance
 FROM pairs QUALIFY rank <= 10
 """
+
+
+def _lloyd(turn: int) -> str:
+    """Assign all parts to the codebook of the last turn, then move its entries."""
+    return f"""a{turn} AS (SELECT p, x, arg_min(e, d * 64 + e) AS e FROM (SELECT vec_id, label, p, x, e,
+        list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::HUGEINT AS d FROM parts JOIN b{turn - 1} USING (p))
+    GROUP BY vec_id, label, p, x),
+m{turn} AS (SELECT p, e, list(m ORDER BY k) AS c FROM (SELECT p, e, k, ((sum(x[k]) - ((sum(x[k]) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS m
+    FROM a{turn}, range(1, (SELECT s + 1 FROM cut)) r(k) GROUP BY p, e, k) GROUP BY p, e),
+b{turn} AS (SELECT p, e, coalesce(m{turn}.c, b{turn - 1}.c) AS c FROM b{turn - 1} LEFT JOIN m{turn} USING (p, e))"""
+
+
+CODES = f"""
+WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cut AS (SELECT len(v) // 16 AS s FROM kept ORDER BY vec_id LIMIT 1),
+parts AS (SELECT vec_id, label, p, list_slice(v, p * s + 1, p * s + s) AS x FROM kept, cut, range(16) r(p)),
+b0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM parts
+    WHERE vec_id IN (SELECT DISTINCT vec_id FROM kept ORDER BY vec_id LIMIT 64)),
+{_lloyd(1)},
+{_lloyd(2)},
+fin AS (SELECT vec_id, label, p, arg_min(e, d * 64 + e) AS e, min(d) AS d FROM (SELECT vec_id, label, p, e,
+    list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::HUGEINT AS d FROM parts JOIN b2 USING (p)) GROUP BY vec_id, label, p),
+coded AS (SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM fin GROUP BY vec_id, label),
+told AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded, told
+"""
