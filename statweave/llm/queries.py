@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import codes, decontaminate, hamming, language, near_dup, periodic, pieces, quality, secrets, sharding, sql, token_files, toxicity
+from . import attention, codes, decontaminate, hamming, language, near_dup, periodic, pieces, quality, secrets, sharding, sql, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,6 +91,15 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(docs, model, docs.source, docs.lang)
 
 
+@register
+def op11_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = toxicity.held_out(docs.doc_id, 5, 1)
+    model = attention.train(docs, ~held_out, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    found = attention.scores(docs, model)
+    return found.select("doc_id", toxicity.held_out(found.doc_id, 5, 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_subwords")
+
+
 @register
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compressed(table(spark, sf_dir, "embeddings"))
