@@ -153,13 +153,17 @@ def drop_constant_columns(df: DataFrame, columns: Sequence[str] | None = None) -
     return df.drop(*constant_columns(df, columns))
 
 
-def reconcile_counts(df: DataFrame, keys: Sequence[str], expected: DataFrame) -> DataFrame:
-    """(keys.., linhas, esperado, diferenca) for every partition on either side."""
-    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("linhas"))
+def reconcile(found: DataFrame, keys: Sequence[str], expected: DataFrame) -> DataFrame:
+    """(keys.., linhas, esperado, diferenca) for every partition on either side; ``found`` has ``linhas``."""
     both = found.join(expected, list(keys), "full")
     n, wanted = F.coalesce("linhas", F.lit(0)), F.coalesce("esperado", F.lit(0))
     return both.select(*keys, n.alias("linhas"), wanted.alias("esperado"), (n - wanted).alias("diferenca"))
 
 
+def reconcile_counts(df: DataFrame, keys: Sequence[str], expected: DataFrame) -> DataFrame:
+    """The same for rows that are not counted yet."""
+    return reconcile(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("linhas")), keys, expected)
+
+
 def counts_by(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))

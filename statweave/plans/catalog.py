@@ -15,8 +15,8 @@ from ..operators.cleanse import cleanse
 from ..session import tuned
 from ..sources import feeds, files, landing
 from ..sources.scratch import scratch_path
-from ..streaming import ingest
-from . import gold, indicators, silver
+from ..streaming import ledger
+from . import gold, indicators, pipeline, silver
 from .lake import Lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,10 +34,20 @@ def _counts(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("linhas"))
 
 
-def _landed_flow(lake: Lake, *columns: str) -> str:
-    """The flow feed written as a release landing: one folder per kind and period."""
-    path = scratch_path(lake.spark, "fluxo")
-    return files.write_partitioned(lake.flow_raw.select("tipo", "competencia", *columns), path, "tipo", "competencia")
+FLOW_FOLDERS = {"tipo": "string", "competencia": "int"}
+FLOW_COLUMNS = pipeline.SOURCES["caged_movimentacao"].columns
+
+
+def _flow_feed(spark: SparkSession, landed: str) -> ledger.Feed:
+    """The landed flow feed with all its columns, and a bronze folder of its own."""
+    return ledger.Feed(landed, scratch_path(spark, "bronze"), FLOW_COLUMNS, FLOW_FOLDERS)
+
+
+def _half_landed(lake: Lake) -> str:
+    """A landing whose load stopped after half of the releases."""
+    path = scratch_path(lake.spark, "pouso")
+    landing.land(lake.spark, lake.flow_raw, path, most=landing.releases(lake.flow_raw).count() // 2)
+    return path
 
 
 # --- scans, sources, sinks ---------------------------------------------------------
@@ -45,24 +55,31 @@ def _landed_flow(lake: Lake, *columns: str) -> str:
 
 @register
 def ingest_incremental(lake: Lake) -> DataFrame:
-    """Two loads and a run without new files; every row arrives once."""
-    spark, columns = lake.spark, ["competenciamov", "saldomovimentacao"]
-    raw = lake.flow_raw.select("tipo", "competencia", *columns)
-    source, target, checkpoint = (scratch_path(spark, n) for n in ("pouso", "bronze", "controle"))
-    schema = files.text_schema(columns, tipo="string", competencia="int")
-    landing.land(spark, raw, source, ("FOR", "EXC"))
-    ingest.ingest_available(ingest.landing_stream(spark, source, schema), target, checkpoint)
-    landing.land(spark, raw, source, ("MOV",))
+    """Two loads of whole rows and a run without new files; every row arrives once."""
+    spark = lake.spark
+    feed = _flow_feed(spark, scratch_path(spark, "pouso"))
+    landing.land(spark, lake.flow_raw, feed.landing, ("FOR", "EXC"))
+    ledger.ingest(spark, feed)
+    landing.land(spark, lake.flow_raw, feed.landing, ("MOV",))
     for _ in range(2):
-        ingest.ingest_available(ingest.landing_stream(spark, source, schema), target, checkpoint)
-    return _counts(spark.read.parquet(target), "tipo", "competencia")
+        ledger.ingest(spark, feed)
+    return _counts(ledger.rows(spark, feed), "tipo", "competencia")
+
+
+@register
+def ingest_ledger(lake: Lake) -> DataFrame:
+    """What the ledger says of every release, beside the rows that came in."""
+    spark, feed = lake.spark, _flow_feed(lake.spark, lake.landed_flow())
+    ledger.ingest(spark, feed)
+    entered = ledger.ledger(spark, feed).groupBy("tipo", "competencia").agg(
+        F.sum("linhas").alias("linhas_no_livro"), F.sum("resgatadas").alias("resgatadas"))
+    return entered.join(_counts(ledger.rows(spark, feed), "tipo", "competencia"), ["tipo", "competencia"], "full")
 
 
 @register
 def ingest_partitioned(lake: Lake) -> DataFrame:
-    path = _landed_flow(lake, "competenciamov")
-    schema = files.text_schema(["competenciamov"], tipo="string", competencia="int")
-    return _counts(files.scan_partitioned(lake.spark, path, schema), "tipo", "competencia", "competenciamov")
+    schema = files.text_schema(FLOW_COLUMNS, **FLOW_FOLDERS)
+    return _counts(files.scan_partitioned(lake.spark, lake.landed_flow(), schema), "tipo", "competencia", "competenciamov")
 
 
 @register
@@ -77,26 +94,35 @@ def ingest_no_partition_cols(lake: Lake) -> DataFrame:
 
 @register
 def ingest_audit(lake: Lake) -> DataFrame:
-    path = _landed_flow(lake, "salario")
-    audited = files.with_audit(files.scan_partitioned(lake.spark, path))
+    audited = files.with_audit(files.scan_partitioned(lake.spark, lake.landed_flow()))
     kind = F.regexp_extract("_arquivo_origem", r"tipo=([A-Z]+)/", 1).alias("tipo_no_caminho")
     return audited.groupBy("tipo", kind).agg(
-        F.count("_arquivo_origem").alias("com_origem"), F.count("_ingerido_em").alias("com_horario")
+        F.count("_arquivo_origem").alias("com_origem"),
+        F.count_if(F.col("_ingerido_em").between(F.current_timestamp() - F.expr("INTERVAL 1 DAY"), F.current_timestamp())).alias("com_horario"),
     )
 
 
 @register
 def rescued_rows(lake: Lake) -> DataFrame:
-    """Undeclared columns and texts that are not numbers end up in the rescue column."""
+    """Whole rows of files in which one column is text here and a number there.
+
+    Undeclared columns and texts that are not numbers end up in the rescue column.
+    """
     path = scratch_path(lake.spark, "fluxo")
-    broken = F.when(c("idade") == "13", F.lit("treze")).otherwise(c("idade"))
-    lake.flow_raw.select("tipo", broken.alias("idade"), "indicadordeexclusao").write.parquet(path)
-    scanned = files.scan_rescued(lake.spark, path, T.StructType.fromDDL("tipo string, idade int"))
+    extra = ["competenciaexc", "indicadordeexclusao"]
+    base = lake.flow_raw.withColumn("competencia", c("competencia").cast("string"))
+    text = base.withColumn("idade", F.when(c("idade") == "13", F.lit("treze")).otherwise(c("idade")))
+    text.where(c("tipo") == "MOV").drop(*extra).write.parquet(f"{path}/a")
+    base.where(c("tipo") == "FOR").drop(*extra).withColumn("idade", fn.integer("idade")).write.parquet(f"{path}/b")
+    text.where(c("tipo") == "EXC").write.parquet(f"{path}/c")
+    declared = files.text_schema([n for n in base.columns if n not in (*extra, "idade")], idade="int")
+    scanned = files.scan_rescued(lake.spark, path, declared)
     return scanned.groupBy("tipo").agg(
         F.count(F.lit(1)).alias("linhas"),
         F.count("_rescued_data").alias("linhas_resgatadas"),
         F.count(F.get_json_object("_rescued_data", "$.idade")).alias("idades_resgatadas"),
         F.count("idade").alias("idades_convertidas"),
+        F.count("salario").alias("com_salario"),
     )
 
 
@@ -206,35 +232,31 @@ def dim_typed_csv(lake: Lake) -> DataFrame:
 
 @register
 def query_files(lake: Lake) -> DataFrame:
-    path = _landed_flow(lake, "secao")
     return files.query_files(
-        lake.spark, path, "SELECT tipo, competencia, COUNT(*) AS linhas FROM {files} GROUP BY ALL"
+        lake.spark, lake.landed_flow(), "SELECT tipo, competencia, COUNT(*) AS linhas FROM {files} GROUP BY ALL"
     )
 
 
 @register
 def sink_partitioned(lake: Lake) -> DataFrame:
     """Writing one kind again replaces its folders and leaves the others alone."""
-    path = _landed_flow(lake, "secao")
-    again = lake.flow_raw.select("tipo", "competencia", "secao").where(c("tipo") == "MOV")
-    files.write_partitioned(again, path, "tipo", "competencia")
+    path = files.write_partitioned(lake.flow_raw, scratch_path(lake.spark, "fluxo"), "tipo", "competencia")
+    files.write_partitioned(lake.flow_raw.where(c("tipo") == "MOV"), path, "tipo", "competencia")
     return _counts(files.scan_partitioned(lake.spark, path), "tipo", "competencia")
 
 
-def _partly_landed(lake: Lake) -> DataFrame:
-    """Releases up to mid 2000, with one late file of the last period not in yet."""
-    last = (c("competencia") == 200006) & (c("tipo") == "EXC")
-    return landing.releases(lake.flow_raw).where((c("competencia") <= 200006) & ~last)
-
-
 @register
 def missing_periods(lake: Lake) -> DataFrame:
-    return landing.missing_periods(landing.releases(lake.flow_raw), _partly_landed(lake))
+    """What a load that stopped half way still has to bring, read from the landing itself."""
+    return landing.missing_periods(landing.releases(lake.flow_raw), landing.landed_releases(lake.spark, _half_landed(lake)))
 
 
 @register
 def load_summary(lake: Lake) -> DataFrame:
-    summary = landing.load_summary(lake.flow_raw, _partly_landed(lake))
+    """The landed side comes from the ledger of a bronze table that took in half of the releases."""
+    feed = _flow_feed(lake.spark, _half_landed(lake))
+    ledger.ingest(lake.spark, feed)
+    summary = landing.load_summary(lake.flow_raw, landing.releases(ledger.ledger(lake.spark, feed)))
     return summary.withColumn("novas_competencias", landing.new_periods(summary).scalar())
 
 
@@ -707,12 +729,15 @@ def status_counts(lake: Lake) -> DataFrame:
 
 @register
 def reconcile_counts(lake: Lake) -> DataFrame:
-    """Counts of the landed files against the counts of the source they were cut from."""
-    path = scratch_path(lake.spark, "estoque")
-    kept = lake.stock_raw.select("ano_base", "vl_rem_media_nom").where(c("vl_rem_media_nom") != ".00")
-    files.write_partitioned(kept, path, "ano_base")
+    """Counts in the ledger of the landed contracts against those of the source they were cut from."""
+    spec = pipeline.SOURCES["rais_vinculo"]
+    feed = ledger.Feed(scratch_path(lake.spark, "estoque"), scratch_path(lake.spark, "bronze"), spec.columns, spec.folders)
+    kept = lake.stock_raw.select("ano_base", *spec.columns).where(c("vl_rem_media_nom") != ".00")
+    files.write_partitioned(kept, feed.landing, "ano_base")
+    ledger.ingest(lake.spark, feed)
+    found = ledger.ledger(lake.spark, feed).groupBy("ano_base").agg(F.sum("linhas").alias("linhas"))
     expected = lake.stock_raw.groupBy("ano_base").agg(F.count(F.lit(1)).alias("esperado"))
-    return profile.reconcile_counts(files.scan_partitioned(lake.spark, path), ["ano_base"], expected)
+    return profile.reconcile(found, ["ano_base"], expected)
 
 
 # --- windows, sorts, set operations -------------------------------------------------

@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import flow, inequality, specialization, stock, survey
-from ..sources import feeds
+from ..sources import feeds, landing
+from ..sources.scratch import scratch_path
 from . import silver
 
+_LANDED: dict[tuple[str, str], str] = {}  # folders written by this session
+
 
 class Lake:
     """Lazy DataFrames of every layer. Nothing runs until a result is asked for.
@@ -28,6 +31,15 @@ class Lake:
     def flow_raw(self) -> DataFrame:
         return feeds.flow_raw(self.spark, self.sf_dir)
 
+    def landed_flow(self) -> str:
+        """The whole flow feed as a landing of files, one folder for each kind and period; written once a session."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _LANDED:
+            path = scratch_path(self.spark, "caged")
+            landing.land(self.spark, self.flow_raw, path)
+            _LANDED[key] = path
+        return _LANDED[key]
+
     @cached_property
     def stock_raw(self) -> DataFrame:
         return feeds.stock_raw(self.spark, self.sf_dir)

@@ -348,14 +348,15 @@ def _n(source: str, keys: str, where: str = "") -> str:
 
 # --- scans, sources, sinks ---------------------------------------------------------
 oracle("ingest_incremental", _n("flow_raw", "tipo, competencia"))
+oracle("ingest_ledger", "SELECT tipo, competencia, count(*) AS linhas_no_livro, 0::BIGINT AS resgatadas, count(*) AS linhas FROM flow_raw GROUP BY ALL")
 oracle("ingest_partitioned", _n("flow_raw", "tipo, competencia, competenciamov"))
 oracle("ingest_no_partition_cols", _n("survey_raw", "ano, trimestre"))
 oracle("ingest_audit", "SELECT tipo, tipo AS tipo_no_caminho, count(*) AS com_origem, count(*) AS com_horario "
                        "FROM flow_raw GROUP BY ALL")
 oracle("rescued_rows", """
-    SELECT tipo, count(*) AS linhas, count(*) FILTER (WHERE idade = '13' OR tipo = 'EXC') AS linhas_resgatadas,
-           count(*) FILTER (WHERE idade = '13') AS idades_resgatadas,
-           count(*) FILTER (WHERE idade <> '13') AS idades_convertidas
+    SELECT tipo, count(*) AS linhas, count(*) FILTER (WHERE idade = '13' AND tipo <> 'FOR' OR tipo = 'EXC') AS linhas_resgatadas,
+           count(*) FILTER (WHERE idade = '13' AND tipo <> 'FOR') AS idades_resgatadas,
+           count(*) FILTER (WHERE idade <> '13' OR tipo = 'FOR' AND idade IS NOT NULL) AS idades_convertidas, count(salario) AS com_salario
     FROM flow_raw GROUP BY tipo""")
 oracle("union_by_name_missing", """
     SELECT tipo, competencia, count(*) AS linhas, count(CASE WHEN tipo = 'EXC' THEN 1 END) AS com_competenciaexc,
@@ -390,17 +391,18 @@ oracle("dim_typed_csv", f"""
     FROM survey_raw GROUP BY ALL""")
 oracle("query_files", _n("flow_raw", "tipo, competencia"))
 oracle("sink_partitioned", _n("flow_raw", "tipo, competencia"))
-_COMPLETE = "competencia IN (SELECT competencia FROM flow_raw WHERE tipo = 'MOV')"
-_PENDING = f"competencia > 200006 AND {_COMPLETE}"
-oracle("missing_periods", f"SELECT DISTINCT tipo, competencia FROM flow_raw WHERE {_PENDING}")
-CTES["release_sizes"] = f"""
-    SELECT competencia, tipo, count(*) AS n, competencia <= 200006 AND NOT (competencia = 200006 AND tipo = 'EXC') AS existe
-    FROM flow_raw WHERE {_COMPLETE} GROUP BY competencia, tipo"""
+CTES["release_steps"] = """
+    SELECT competencia, tipo, n, row_number() OVER (ORDER BY competencia, list_position(['FOR', 'EXC', 'MOV'], tipo)) <= count(*) OVER () // 2 AS existe,
+           count(*) FILTER (WHERE tipo = 'MOV') OVER (PARTITION BY competencia) > 0 AS no_prazo
+    FROM (SELECT competencia, tipo, count(*) AS n FROM flow_raw GROUP BY competencia, tipo)"""
+oracle("missing_periods", """
+    SELECT tipo, competencia FROM release_steps
+    WHERE NOT existe AND no_prazo AND competencia > (SELECT max(competencia) FROM release_steps WHERE existe AND tipo = 'MOV')""")
 oracle("load_summary", """
     SELECT competencia, tipo, CASE WHEN NOT existe THEN n END AS linhas,
            CASE WHEN existe THEN 'já existia' ELSE 'carregado' END AS situacao,
-           (SELECT count(DISTINCT competencia) FROM release_sizes WHERE NOT existe) AS novas_competencias
-    FROM release_sizes""")
+           (SELECT count(DISTINCT competencia) FROM release_steps WHERE NOT existe AND no_prazo) AS novas_competencias
+    FROM release_steps WHERE existe OR no_prazo""")
 oracle("snake_columns", _n("stock_raw", "municipio_codigo, tipo_vinculo_codigo, "
                                         "motivo_desligamento_codigo AS motivo_desligamento_codigo"))
 

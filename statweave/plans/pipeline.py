@@ -13,12 +13,9 @@ from ..operators import flow, inequality, specialization, stock, survey
 from ..session import tuned
 from ..sources import files
 from ..sources.literals import literal_table
-from ..streaming import ingest
+from ..streaming import ledger
 from . import gold, silver
 
-AUDIT = ["_arquivo_origem", "_ingerido_em"]
-
-
 @dataclass(frozen=True)
 class Source:
     """A landed feed: its folder, the columns of its files, the typed folder columns."""
@@ -62,23 +59,21 @@ CROSSWALK = "referencia/cnae_classe_secao.json"
 DEFLATORS = "referencia/pnad_deflator_ceara.csv"
 
 
+def feed(landing: str, bronze: str, source: str) -> ledger.Feed:
+    spec = SOURCES[source]
+    return ledger.Feed(f"{landing}/{spec.folder}", f"{bronze}/{source}", spec.columns, spec.folders)
+
+
 def ingest_bronze(spark: SparkSession, landing: str, bronze: str, source: str) -> DataFrame:
     """Append the new files of one feed to its bronze table and return the table.
 
-    Files are read with every column they have, so that a column nobody declared shows
-    up in the rescue column instead of disappearing.
+    Files are read with every column they have, whatever its type, so that a column nobody
+    declared shows up in the rescue column instead of disappearing. Only new files are opened.
+    A column that is both in folder names and in new files stops the run.
     """
-    spec = SOURCES[source]
-    path, target = f"{landing}/{spec.folder}", f"{bronze}/{source}"
-    declared = files.text_schema(spec.columns, **spec.folders)
-    reader = spark.read.option("mergeSchema", "true")
-    if not spec.folders:
-        reader = reader.option("recursiveFileLookup", "true")
-    found = [f.name for f in reader.parquet(path).schema if f.name not in spec.folders]
-    wide = files.text_schema([*spec.columns, *(n for n in found if n not in spec.columns)], **spec.folders)
-    stream = ingest.landing_stream(spark, path, wide, folders=bool(spec.folders))
-    ingest.ingest_available(files.rescue(stream, declared, keep=AUDIT), target, f"{bronze}/_controle/{source}")
-    return spark.read.parquet(target)
+    one = feed(landing, bronze, source)
+    ledger.ingest(spark, one)
+    return ledger.rows(spark, one)
 
 
 @dataclass(frozen=True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterable, Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,8 +82,50 @@ def rescue(wide: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> D
     return wide.select(*fitted, F.when(something, F.to_json(F.struct(*spilled))).alias("_rescued_data"))
 
 
+def schema_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Files whose columns have the same types, and the columns of each group.
+
+    Footers are merged by Spark jobs; only where types differ the files are halved and
+    looked at again, and groups that fit together are joined.
+    """
+    try:
+        found = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(*paths).schema
+        return [(found, list(paths))]
+    except Exception as problem:  # Spark hands this one on as an error of the JVM
+        if len(paths) == 1 or not re.search("CANNOT_MERGE|[Ff]ailed to merge|[Ff]ailed merging", str(problem)):
+            raise
+    groups: list[tuple[T.StructType, list[str]]] = []
+    for half in (paths[:len(paths) // 2], paths[len(paths) // 2:]):
+        for schema, some in schema_groups(spark, half):
+            for k, (known, others) in enumerate(groups):
+                kinds = {f.name: f.dataType for f in known}
+                if all(kinds.get(f.name, f.dataType) == f.dataType for f in schema):
+                    wider = T.StructType([*known.fields, *(f for f in schema if f.name not in kinds)])
+                    groups[k] = (wider, others + some)
+                    break
+            else:
+                groups.append((schema, some))
+    return groups
+
+
+def as_text(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Every column as text, nested ones as JSON; ``keep`` stays as it is."""
+    out = []
+    for f in df.schema:
+        nested = isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))
+        text = F.to_json(F.col(f"`{f.name}`")) if nested else F.col(f"`{f.name}`").cast("string")
+        out.append(F.col(f"`{f.name}`") if f.name in keep else text.alias(f.name))
+    return df.select(*out)
+
+
 def scan_rescued(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return rescue(spark.read.option("mergeSchema", "true").parquet(path), schema)
+    """All Parquet files under a path, fitted to a declared schema; one column may have other types in other files."""
+    paths = [unquote(name) for name in spark.read.option("recursiveFileLookup", "true").parquet(path).inputFiles()]  # names only
+    groups = schema_groups(spark, paths)
+    read = lambda kinds, some: spark.read.schema(kinds).option("recursiveFileLookup", "true").parquet(*some)
+    if len(groups) == 1:
+        return rescue(read(*groups[0]), schema)
+    return rescue(union_by_name(*(as_text(read(*group)) for group in groups)), schema)
 
 
 def union_by_name(*tables: DataFrame) -> DataFrame:

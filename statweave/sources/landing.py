@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import scan_partitioned, write_partitioned
+from . import store
+from .files import write_partitioned
 from .literals import literal_table
 
 RELEASE = ["tipo", "competencia"]
 RELEASE_SCHEMA = "tipo string, competencia int"
 # The on-time file goes last: its folder marks the release as complete.
 COMMIT_ORDER = ("FOR", "EXC", "MOV")
+STAGING = "_a_publicar"  # scans leave out names that begin with an underscore
 
 
 def releases(df: DataFrame) -> DataFrame:
@@ -64,26 +65,54 @@ def new_periods(summary: DataFrame) -> DataFrame:
 
 
 def landed_releases(spark: SparkSession, path: str) -> DataFrame | None:
-    """Releases found in the landing folder; None while the folder does not exist.
+    """Releases found in the landing folder, by its folder names; None while the folder does not exist.
 
-    One row per folder, and the driver lists the folders for any scan of them, so the
-    rows become a literal table: a join then knows its size and spares the raw rows a
-    shuffle.
+    No file is opened. One row per folder, and the driver lists the folders for any scan of
+    them, so the rows become a literal table: a join then knows its size and spares the raw
+    rows a shuffle.
     """
-    try:
-        found = releases(scan_partitioned(spark, path, RELEASE_SCHEMA))
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not store.exists(spark, path):
         return None
-    return literal_table(spark, map(tuple, found.toLocalIterator()), RELEASE_SCHEMA)
+    found = [
+        (kind.partition("=")[2], int(period.partition("=")[2]))
+        for kind in store.children(spark, path) if kind.startswith("tipo=")
+        for period in store.children(spark, f"{path}/{kind}") if period.startswith("competencia=")
+    ]
+    return literal_table(spark, found, RELEASE_SCHEMA)
 
 
-def land(spark: SparkSession, published: DataFrame, path: str, order: Sequence[str] = COMMIT_ORDER) -> None:
-    """Write the releases that are not there yet, kind by kind, the commit marker last."""
-    for kind in order:
-        rows = published.where(F.col("tipo") == kind)
-        landed = landed_releases(spark, path)
-        if landed is not None:
-            rows = rows.join(landed, RELEASE, "left_anti")
-        write_partitioned(rows, path, *RELEASE)
+def pending(published: DataFrame, landed: DataFrame | None, order: Sequence[str] = COMMIT_ORDER) -> DataFrame:
+    """(tipo, competencia) of the releases that are not there, in the order in which they are made visible.
+
+    Periods ascend; within a period the on-time file goes last.
+    """
+    wanted = releases(published).where(F.col("tipo").isin(*order))
+    if landed is not None:
+        wanted = wanted.join(landed, RELEASE, "left_anti")
+    return wanted.orderBy("competencia", F.array_position(F.array(*map(F.lit, order)), F.col("tipo")))
+
+
+def land(spark: SparkSession, published: DataFrame, path: str, order: Sequence[str] = COMMIT_ORDER, most: int | None = None) -> int:
+    """Publish the releases that are not there yet, period by period, the commit marker last; how many.
+
+    All of them are written by one job into a hidden folder, then moved into place one after
+    the other. A release is there wholly or not at all, and so is, judged by its marker, a
+    period: a run that breaks off after any step leaves the releases before that step, and
+    the next run lands exactly the others. ``most`` bounds a run: the first so many are taken.
+    """
+    staging = f"{path}/{STAGING}"
+    store.remove(spark, staging)  # of a run that broke off
+    steps = pending(published, landed_releases(spark, path), order)
+    steps = [tuple(row) for row in (steps if most is None else steps.limit(most)).toLocalIterator()]  # one row a folder
+    if steps:
+        chosen = literal_table(spark, steps, RELEASE_SCHEMA)
+        write_partitioned(published.join(chosen, RELEASE, "left_semi").select(*published.columns), staging, *RELEASE)
+        for kind, period in steps:
+            _publish(spark, staging, path, kind, period)
+        store.remove(spark, staging)
+    return len(steps)
+
+
+def _publish(spark: SparkSession, staging: str, path: str, kind: str, period: int) -> None:
+    folder = f"tipo={kind}/competencia={period}"
+    store.move(spark, f"{staging}/{folder}", f"{path}/{folder}")
