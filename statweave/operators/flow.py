@@ -31,6 +31,9 @@ _CODE_OF = {
     "cbo_descricao": "cbo_codigo",
 }
 
+# Codes of the flow fact besides the month.
+FLOW_CODES = list(dict.fromkeys(_CODE_OF.get(k, k) for k in FLOW_KEYS if k not in ("competencia_mov", "preliminar")))
+
 
 def last_month(silver: DataFrame, shift: int = 0, kind: str = "MOV") -> Column:
     """Newest on-time month (``yyyymm``) moved by some months, as a scalar subquery."""
@@ -71,16 +74,18 @@ def described(df: DataFrame, codes: DataFrame, domain: str, code: str, output: s
     return df.join(dictionary, F.col(code).cast("string") == F.col("_codigo"), "left").drop("_codigo")
 
 
-def flow_by(
-    silver: DataFrame,
-    areas: DataFrame,
-    codes: DataFrame,
-    keys: Sequence[str] = FLOW_KEYS,
-    wages: Mapping[int, float] = R.MINIMUM_WAGE,
-) -> DataFrame:
-    """Additive flow fact at the grain of ``keys``: any filter is a plain sum over it."""
+def arrival_measures() -> list[Column]:
+    """On-time rows, and the balance split by how its rows arrived: on time, late, cancelled."""
+    effect, kind = F.col("efeito"), F.col("origem_arquivo")
+    parts = {"MOV": "saldo_no_prazo", "FOR": "saldo_atrasado", "EXC": "saldo_excluido"}
+    return [F.count_if(kind == "MOV").alias("linhas_no_prazo"),
+            *[F.sum(F.when(kind == k, effect).otherwise(0)).alias(name) for k, name in parts.items()]]
+
+
+def coded(silver: DataFrame, columns: Sequence[str], wages: Mapping[int, float], measures: Sequence[Column]) -> DataFrame:
+    """Measures of events at the grain of codes; unknown members are named, labels come later."""
     wage = year_lookup(period_year(F.col("competencia_mov")), wages)
-    rated = in_window(silver).withColumn("_razao", F.try_divide(F.col("salario_mensal"), wage))
+    rated = silver.withColumn("_razao", F.try_divide(F.col("salario_mensal"), wage))
     known = {
         "faixa_etaria": F.coalesce("faixa_etaria", F.lit(R.UNKNOWN_F)),
         "sexo": F.coalesce("sexo", F.lit(R.UNKNOWN_M)),
@@ -88,13 +93,13 @@ def flow_by(
         "aprendiz": F.col("categoria_codigo") == R.APPRENTICE,
         "faixa_salarial_sm": ratio_band(F.col("_razao")),
     }
-    columns = list(dict.fromkeys([_CODE_OF.get(k, k) for k in keys] + ["municipio_codigo"]))
-    grouped = (
-        rated.select(*[known.get(c, F.col(c)).alias(c) for c in columns], "efeito", "saldo_movimentacao")
-        .groupBy(*columns)
-        .agg(*flow_measures())
-        .join(areas, "municipio_codigo")
-    )
+    chosen = [known.get(c, F.col(c)).alias(c) for c in columns]
+    return rated.select(*chosen, "efeito", "saldo_movimentacao", "origem_arquivo").groupBy(*columns).agg(*measures)
+
+
+def labelled(coded_sums: DataFrame, areas: DataFrame, codes: DataFrame, keys: Sequence[str], newest: Column | None) -> DataFrame:
+    """Coded sums with labels at the grain of ``keys``; ``newest`` is the newest on-time month."""
+    grouped = coded_sums.join(areas, "municipio_codigo")
     if "cnae_secao_descricao" in keys:
         grouped = described(grouped, codes, "secao", "cnae_secao", "cnae_secao_descricao")
     if "cbo_descricao" in keys:
@@ -106,15 +111,35 @@ def flow_by(
             "escolaridade", F.coalesce("escolaridade", F.lit(R.UNKNOWN_F))
         )
     if "preliminar" in keys:
-        grouped = grouped.withColumn("preliminar", preliminary(silver))
+        grouped = grouped.withColumn("preliminar", F.col("competencia_mov") > shift_months(newest, -R.PRELIMINARY_MONTHS))
     measures = ["admissoes", "desligamentos", "saldo"]
-    finer = set(columns) - {_CODE_OF.get(k, k) for k in keys}
+    finer = set(coded_sums.columns) - {*measures, "linhas_no_prazo", "saldo_no_prazo", "saldo_atrasado", "saldo_excluido"} - {
+        _CODE_OF.get(k, k) for k in keys}
     if finer or "escolaridade" in keys:
         # Several codes can share one label, and the area may not be asked for.
         grouped = grouped.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
     return grouped.select(*keys, *measures)
 
 
+def flow_by(
+    silver: DataFrame,
+    areas: DataFrame,
+    codes: DataFrame,
+    keys: Sequence[str] = FLOW_KEYS,
+    wages: Mapping[int, float] = R.MINIMUM_WAGE,
+) -> DataFrame:
+    """Additive flow fact at the grain of ``keys``: any filter is a plain sum over it."""
+    columns = list(dict.fromkeys([_CODE_OF.get(k, k) for k in keys] + ["municipio_codigo"]))
+    sums = coded(in_window(silver), columns, wages, flow_measures())
+    return labelled(sums, areas, codes, keys, last_month(silver) if "preliminar" in keys else None)
+
+
+def months_before(month: int, months: int) -> int:
+    """``yyyymm`` some months earlier."""
+    at = month // 100 * 12 + month % 100 - 1 - months
+    return at // 12 * 100 + at % 12 + 1
+
+
 def late_revisions(silver: DataFrame) -> DataFrame:
     """Balance of every event month split by how it arrived: on time, late, cancelled."""
     effect, kind = F.col("efeito"), F.col("origem_arquivo")

@@ -16,8 +16,9 @@ from ..session import tuned
 from ..sources import feeds, files, landing
 from ..sources.scratch import scratch_path
 from ..streaming import ledger
-from . import gold, indicators, pipeline, silver
+from . import gold, indicators, maintained, pipeline, silver
 from .lake import Lake
+from .versions import Versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -553,6 +554,35 @@ def flow_fact(lake: Lake) -> DataFrame:
     return lake.flow()
 
 
+def _maintained(lake: Lake) -> Versions:
+    """The stored flow fact after three landings of a third of the releases each; built once a session."""
+    spark, key = lake.spark, (lake.spark.sparkContext.applicationId, lake.sf_dir)
+    if key not in _KEPT:
+        feed, fact = _flow_feed(spark, scratch_path(spark, "pouso")), maintained.stored(scratch_path(spark, "fato"))
+        third = -(-landing.releases(lake.flow_raw).count() // 3)
+        for _ in range(3):
+            landing.land(spark, lake.flow_raw, feed.landing, most=third)
+            ledger.ingest(spark, feed)
+            maintained.follow(spark, fact, feed, lambda raw: silver.flow_silver(raw, lake.rules), lake.rules.wages)
+        _KEPT[key] = fact
+    return _KEPT[key]
+
+
+_KEPT: dict[tuple[str, str], Versions] = {}
+
+
+@register
+def maintained_flow(lake: Lake) -> DataFrame:
+    """The same fact from stored months that three landings brought up to date."""
+    return maintained.published(lake.spark, _maintained(lake), lake.areas, lake.codes)
+
+
+@register
+def maintained_revisions(lake: Lake) -> DataFrame:
+    """Revisions of the stored months, without a look at the events."""
+    return maintained.late_revisions(lake.spark, _maintained(lake))
+
+
 @register
 def flow_by_occupation(lake: Lake) -> DataFrame:
     return lake.flow_occupations()

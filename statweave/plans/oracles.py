@@ -523,6 +523,12 @@ CTES["stock_jobs"] = f"""
     SELECT ano_base, municipio_codigo, municipio_nome, cbo_codigo, cbo_descricao, grande_grupo, {_STOCK_PAY}
     FROM stock_rows GROUP BY ALL"""
 oracle("flow_fact", "SELECT * FROM flow_fact")
+oracle("maintained_flow", "SELECT * FROM flow_fact")
+oracle("maintained_revisions", """
+    SELECT competencia_mov, CAST(sum(CASE WHEN tipo = 'MOV' THEN efeito ELSE 0 END) AS BIGINT) AS saldo_no_prazo,
+           CAST(sum(CASE WHEN tipo = 'FOR' THEN efeito ELSE 0 END) AS BIGINT) AS saldo_atrasado,
+           CAST(sum(CASE WHEN tipo = 'EXC' THEN efeito ELSE 0 END) AS BIGINT) AS saldo_excluido,
+           CAST(sum(efeito) AS BIGINT) AS saldo_revisado FROM flow WHERE mes IS NOT NULL GROUP BY competencia_mov""")
 oracle("flow_by_occupation", "SELECT * FROM flow_jobs")
 oracle("commented_schema", "SELECT * FROM flow_jobs")
 oracle("group_by_all", _n("flow_raw", "tipo, competencia"))

@@ -99,17 +99,22 @@ def ledger(spark: SparkSession, feed: Feed) -> DataFrame:
     return spark.read.schema(schema).option("basePath", f"{feed.bronze}/livro").parquet(f"{feed.bronze}/livro")
 
 
-def rows(spark: SparkSession, feed: Feed) -> DataFrame:
-    """The rows of all lots that the ledger has: declared columns as text, rescue column, provenance."""
+def last_lot(spark: SparkSession, feed: Feed) -> int:
+    """The newest lot of the ledger; -1 while there is none."""
+    return max((int(name.partition("=")[2]) for name in store.children(spark, f"{feed.bronze}/livro") if name.startswith(f"{LOT}=")), default=-1)
+
+
+def rows(spark: SparkSession, feed: Feed, after: int = -1) -> DataFrame:
+    """The rows of the ledger's lots that come ``after`` a lot: declared columns as text, rescue column, provenance."""
     names = [f.name for f in feed.declared]
     schema = T.StructType([*feed.declared.fields, T.StructField("_rescued_data", T.StringType()), T.StructField(AUDIT[0], T.StringType()),
                            T.StructField(AUDIT[1], T.TimestampType()), T.StructField(LOT, T.IntegerType())])
-    lots = [int(name.partition("=")[2]) for name in store.children(spark, f"{feed.bronze}/livro") if name.startswith(f"{LOT}=")]
-    if not lots:
+    newest = last_lot(spark, feed)
+    if newest < 0:
         return spark.createDataFrame([], T.StructType(schema.fields[:-1]))
     found = spark.read.schema(schema).option("basePath", f"{feed.bronze}/linhas").parquet(f"{feed.bronze}/linhas")
     # Lots are numbered in order and repeated until they succeed: only those after the last entry may be unfinished.
-    return found.where(F.col(LOT) <= max(lots)).select(*names, *AUDIT, "_rescued_data")
+    return found.where((F.col(LOT) > after) & (F.col(LOT) <= newest)).select(*names, *AUDIT, "_rescued_data")
 
 
 def added(spark: SparkSession, feed: Feed, since) -> int:
