@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +12,10 @@ from pyspark.sql import functions as F
 from .. import rulebook as R
 from ..operators import flow, inequality, specialization, stock, survey
 from ..session import tuned
-from ..sources import files
+from ..sources import files, store
 from ..sources.literals import literal_table
 from ..streaming import ledger
-from . import gold, silver
+from . import gold, maintained, silver
 
 @dataclass(frozen=True)
 class Source:
@@ -97,9 +98,50 @@ def load_dimensions(spark: SparkSession, landing: str, rules: R.Rules) -> Dimens
     )
 
 
+# Folders of the tables: the period they are asked for by, then what rows are sorted by inside.
+LAYOUT = {
+    "caged_movimentacao": (["competencia_mov"], ["municipio_codigo"]),
+    "rais_vinculo": (["ano_base"], ["municipio_codigo"]),
+    "pnad_pessoa": (["ano"], ["trimestre"]),
+    "rais_estoque_ceara_secao": (["ano_base"], ["municipio_codigo"]),
+    "caged_fluxo": (["competencia_mov"], ["municipio_codigo"]),
+    "caged_ocupacoes": (["competencia_mov"], ["municipio_codigo"]),
+    "caged_salario_mediano": ([], ["periodo"]),
+    "rais_estoque": (["ano_base"], ["municipio_codigo"]),
+    "rais_ocupacoes": (["ano_base"], ["municipio_codigo"]),
+    "rais_indicadores_municipio": ([], ["ano_base"]),
+    "rais_quociente_locacional": ([], ["ano_base"]),
+    "pnad_mercado_trabalho": ([], ["ano", "trimestre"]),
+    "pnad_indicadores": ([], ["ano", "trimestre"]),
+    "pnad_posicao_ocupacao": ([], ["ano", "trimestre"]),
+}
+VERSIONS_KEPT = 2  # the newest one, and the one that running readers may still have open
+
+
 def _save(df: DataFrame, table: str) -> DataFrame:
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
-    return df.sparkSession.table(table)
+    """Write a new version of a table into a folder of its own, then let the table's name mean that folder.
+
+    Until that step, readers find the version before; nobody sees a part of a table.
+    """
+    spark, (database, name) = df.sparkSession, table.split(".")
+    by, order = LAYOUT[name]
+    root = next(r.info_value for r in spark.sql(f"DESCRIBE DATABASE {database}").collect() if r.info_name == "Location")
+    versions = f"{root.rstrip('/')}/{name}"
+    folder = f"{versions}/{datetime.now(UTC):%Y%m%d%H%M%S%f}"
+    dealt = df.hint("rebalance", *[F.col(k) for k in by]) if by else df.hint("rebalance")
+    dealt.sortWithinPartitions(*by, *order).write.partitionBy(*by).parquet(folder)
+    columns = ", ".join(f"`{f.name}`" + (f" COMMENT {_quoted(f.metadata['comment'])}" if "comment" in f.metadata else "") for f in df.schema)
+    values = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" if f.name in by else f"`{f.name}`" for f in df.schema)
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {table}")  # of the time when tables were written in place
+    spark.sql(f"CREATE OR REPLACE VIEW {table} ({columns}) AS SELECT {values} FROM parquet.`{folder}`")
+    for old in store.children(spark, versions)[:-VERSIONS_KEPT]:
+        store.remove(spark, f"{versions}/{old}")
+    return spark.table(table)
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def build_silver(
@@ -125,9 +167,12 @@ def build_silver(
 
 
 def build_gold(
-    tables: Mapping[str, DataFrame], dims: Dimensions, rules: R.Rules, database: str = "gold"
+    tables: Mapping[str, DataFrame], dims: Dimensions, rules: R.Rules, database: str = "gold", flow_fact: DataFrame | None = None
 ) -> dict[str, DataFrame]:
-    """Write the ten indicator tables, with types and comments as published."""
+    """Write the ten indicator tables, with types and comments as published.
+
+    ``flow_fact`` is the flow fact where it is kept up to date elsewhere.
+    """
     events, contracts, people = (tables[n] for n in ("caged_movimentacao", "rais_vinculo", "pnad_pessoa"))
     areas, codes = dims.areas, dims.codes
     saved: dict[str, DataFrame] = {}
@@ -136,7 +181,7 @@ def build_gold(
         saved[name] = _save(gold.published(df, name), f"{database}.{name}")
         return saved[name]
 
-    publish("caged_fluxo", flow.flow_by(events, areas, codes, wages=rules.wages))
+    publish("caged_fluxo", flow.flow_by(events, areas, codes, wages=rules.wages) if flow_fact is None else flow_fact)
     publish("caged_ocupacoes", flow.flow_by(events, areas, codes, flow.OCCUPATION_KEYS))
     publish("caged_salario_mediano", flow.median_cube(flow.admission_values(events, areas, codes)))
     publish("rais_estoque", stock.stock_by(contracts, areas, codes, wages=rules.wages))
@@ -154,16 +199,18 @@ def build_gold(
 def refresh(
     spark: SparkSession, landing: str, bronze: str, rules: R.Rules | None = None
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """One run: new files in, every table above recomputed. Returns gold tables and quality report.
+    """One run: new files in, the tables above brought up to date. Returns gold tables and quality report.
 
-    The databases ``silver`` and ``gold`` must exist.
+    The flow fact takes in the new lots only; the other tables are recomputed. The databases ``silver`` and ``gold`` must exist.
     """
     rules = rules or R.Rules()
     tuned(spark)
     raw = {name: ingest_bronze(spark, landing, bronze, name) for name in SOURCES}
     dims = load_dimensions(spark, landing, rules)
     tables, quality = build_silver(spark, raw, dims, rules)
-    published = build_gold(tables, dims, rules)
+    fact = maintained.stored(f"{bronze}/fluxo_por_mes")
+    maintained.follow(spark, fact, feed(landing, bronze, "caged_movimentacao"), lambda raw: silver.flow_silver(raw, rules), rules.wages)
+    published = build_gold(tables, dims, rules, flow_fact=maintained.published(spark, fact, dims.areas, dims.codes))
     report = files.union_by_name(
         quality, gold.constraint_report({name: published[name] for name in gold.CONSTRAINTS})
     )

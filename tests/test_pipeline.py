@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pytest
 
@@ -94,3 +95,24 @@ QUESTIONS = [
 @pytest.mark.parametrize("sql", QUESTIONS)
 def test_questions_run_on_the_tables(spark, refreshed, sql):
     assert spark.sql(sql).count() > 0
+
+
+def test_tables_are_read_by_their_months(spark, refreshed):
+    newest = spark.sql("SELECT max(competencia_mov) FROM gold.caged_fluxo").first()[0]
+    for table in ("silver.caged_movimentacao", "gold.caged_fluxo", "gold.caged_ocupacoes"):
+        some = spark.table(table).where(f"competencia_mov > {newest - 1}")
+        assert re.search(r"PartitionFilters: \[[^\]]*competencia_mov", some._jdf.queryExecution().executedPlan().toString())
+        assert {name.split("competencia_mov=")[1].split("/")[0] for name in some.select("municipio_codigo").inputFiles()} >= {str(newest)}
+        scan = some.groupBy("competencia_mov").count()
+        scan.collect()
+        assert scan.count() == 1 < spark.table(table).select("competencia_mov").distinct().count()
+
+
+def test_readers_keep_the_version_they_started_with(spark, refreshed):
+    held = spark.table("gold.pnad_indicadores")
+    rows = sorted(map(str, held.collect()))
+    pipeline._save(held.limit(1), "gold.pnad_indicadores")
+    assert sorted(map(str, held.collect())) == rows and spark.table("gold.pnad_indicadores").count() == 1
+    pipeline._save(held, "gold.pnad_indicadores")
+    assert sorted(map(str, spark.table("gold.pnad_indicadores").collect())) == rows
+    assert all(f.metadata.get("comment") for f in spark.table("gold.pnad_indicadores").schema)
