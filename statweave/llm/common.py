@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import filterfalse, islice
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,9 @@ from pyspark.sql import functions as F
 from ..sources.scratch import scratch_path
 
 
+CROWDED = 1000  # links of a node beyond which its rows are dealt to many tasks
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the cluster's shared folder: computed once, and no executor's loss undoes it."""
     path = scratch_path(df.sparkSession, name)
@@ -31,6 +35,36 @@ def slices(batch: pa.RecordBatch | pa.Array, rows: int = 1000) -> Iterator:
     return (batch.slice(at, rows) for at in range(0, len(batch), rows))
 
 
+class Cache(dict):
+    """Words a worker has coded and their ids as bytes. Beyond `limit` bytes, `make_room` forgets the older half."""
+
+    ENTRY = 200  # bytes of an entry besides its characters and ids, about
+
+    def __init__(self, limit: int):
+        self.limit, self.bytes = limit, 0
+
+    def make_room(self) -> None:
+        if self.bytes > self.limit:
+            for word in list(islice(self, len(self) // 2)):
+                del self[word]
+            self.bytes = self._size(self, self.values())
+
+    def learn(self, words: list[str], ids: list[bytes]) -> None:
+        self.update(zip(words, ids))
+        self.bytes += self._size(words, ids)
+
+    def _size(self, words: Iterable[str], ids: Iterable[bytes]) -> int:
+        n = [len(w) for w in words]
+        return self.ENTRY * len(n) + sum(n) + sum(map(len, ids))
+
+    def missing(self, texts: Iterable[Iterable[str]]) -> list[str]:
+        """Words of the texts that are not known yet, each once."""
+        new: set[str] = set()
+        for words in texts:
+            new.update(filterfalse(self.__contains__, words))
+        return list(new)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scatter 64-bit values (the finalizer of a common public hash); changes its argument in place."""
     for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
@@ -63,15 +97,29 @@ def per_group(df: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.Reco
               dealt: bool = False) -> DataFrame:
     """Apply `work` to each group of bounded size. Many tiny groups share one Python call per batch of rows.
 
-    `dealt` says that rows lie by `keys` and sorted already.
+    `dealt` says that rows lie by `keys` and sorted already. Groups are dealt to as many tasks as
+    the session names for shuffles: Python's work does not follow the few bytes of its input.
     """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, keys):
             if (out := work(group)) is not None and out.num_rows:
                 yield out
 
-    return (df if dealt else df.repartition(*keys).sortWithinPartitions(*keys)).mapInArrow(over, schema)
+    return (df if dealt else df.repartition(tasks, *keys).sortWithinPartitions(*keys)).mapInArrow(over, schema)
+
+
+def join_crowded(rows: DataFrame, heads: DataFrame, key: str, by: str, limit: int, salts: int = 32) -> DataFrame:
+    """rows.join(heads, key), `heads` having one row for each key and `size`, how many of `rows` it has.
+
+    The rows of keys with more than `limit` rows are dealt by `by` to many tasks, each with a
+    copy of the key's row, so that no task gets all rows of one key.
+    """
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(salts)))
+    crowded = heads.where(F.col("size") > limit).withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    few = salted.join(crowded.select(key, "__salt"), [key, "__salt"], "left_anti").join(heads.where(F.col("size") <= limit), key)
+    return few.drop("__salt").unionByName(salted.join(crowded, [key, "__salt"]).drop("__salt"))
 
 
 def in_block_pairs(df: DataFrame, group: str, size: Column, member: str, rows: int) -> DataFrame:
@@ -106,9 +154,9 @@ def connected(edges: DataFrame) -> DataFrame:
                 now.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
         before = mark
         both = now.union(now.select("b", "a"))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array(
+        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"), F.count(F.lit(1)).alias("size"))
+        large = join_crowded(both, least, "a", "b", CROWDED).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("size"))
+        small = join_crowded(large, low, "a", "b", CROWDED).select(F.explode(F.array(
             F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         now = written(small.select("e.*").where("a <> b").distinct(), "links")

@@ -31,7 +31,7 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    read = token_files.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    read = token_files.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2, with_ids=False)
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

@@ -30,11 +30,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.scratch import scratch_path
-from .common import slices
+from .common import Cache, slices
 
 MAGIC = b"EFTOK1\x00\x00"
 FILE_IDS = 8_000_000  # ids in a file, unless one document alone has more
-CACHED = 1_500_000  # words a worker remembers
+CACHED = 300 << 20  # bytes of words a worker remembers
+LOT = 100  # new words given to the library as one text
 SAMPLE = 256
 READERS = 10_000
 
@@ -151,13 +152,32 @@ class Encoder:
                      and (told.get("model") or {}).get("dropout") is None)
         self.special = [t["content"] for t in told.get("added_tokens") or []]
         self.item = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line = line[0] if len(line) == 1 else None
+        self.first, self.later = Cache(CACHED // 8), Cache(CACHED)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         kind = f"<u{self.item}"
         return [np.array(e.ids, kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The same for words: those without any white space inside are joined by line breaks, whose id shows where each ends."""
+        plain = [k for k, w in enumerate(words) if self.line is not None and w.split() == [w.lstrip(" ")] and "\u180e" not in w]
+        texts = ["\n".join([words[k] for k in plain[at:at + LOT]]) + "\n" for at in range(0, len(plain), LOT)]
+        out, kind, at = [b""] * len(words), f"<u{self.item}", 0
+        for coded in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            ids = np.array(coded.ids, kind)
+            ends = (np.flatnonzero(ids == self.line) * self.item).tolist()
+            data, begin = ids.tobytes(), 0
+            for k, end in zip(plain[at:at + LOT], ends, strict=True):
+                out[k] = data[begin:end]
+                begin = end + self.item
+            at += LOT
+        odd = list(set(range(len(words))).difference(plain))
+        for k, ids in zip(odd, self._whole([words[k] for k in odd])):
+            out[k] = ids
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         whole = [i for i, t in enumerate(texts) if not self.cuts or _JOINED.search(t) or any(s in t for s in self.special)]
         out: list[bytes | None] = [None] * len(texts)
@@ -165,11 +185,10 @@ class Encoder:
             out[i] = ids
         cut = [(i, t.split(" ")) for i, t in enumerate(texts) if out[i] is None]
         heads = [pieces.pop(0) for _, pieces in cut]
-        for kept, blank, words in ((self.first, "", set(heads)), (self.later, " ", set().union(*(pieces for _, pieces in cut)))):
-            if len(kept) > CACHED:
-                kept.clear()
-            new = list(words.difference(kept))
-            kept.update(zip(new, self._whole([blank + w for w in new])))
+        for kept, blank, words in ((self.first, "", [heads]), (self.later, " ", [pieces for _, pieces in cut])):
+            kept.make_room()
+            new = kept.missing(words)
+            kept.learn(new, self._words([blank + w for w in new]))
         find = self.later.__getitem__
         for head, (i, pieces) in zip(heads, cut):
             out[i] = self.first[head] + b"".join(map(find, pieces))
@@ -232,8 +251,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, folder: str, id_c
     return docs.sparkSession.read.schema(files.schema).parquet(f"{folder}/files")
 
 
-def read_tokens(files: DataFrame, folder: str, id_col: str = "doc_id") -> DataFrame:
-    """Per document from the files: id, start (ids of all documents before), n_tokens, ids_crc32, tokens.
+def read_tokens(files: DataFrame, folder: str, id_col: str = "doc_id", with_ids: bool = True) -> DataFrame:
+    """Per document from the files: id, start (ids of all documents before), n_tokens, ids_crc32, tokens (on request).
 
     The running total over files is one small row per file; the files are read in parallel.
     """
@@ -252,18 +271,19 @@ def read_tokens(files: DataFrame, folder: str, id_col: str = "doc_id") -> DataFr
                     wide = found.ids[edge[0]:edge[-1]].astype("<u4")
                     cuts = (edge - edge[0]).tolist()
                     data = memoryview(wide).cast("B")
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(found.doc_ids[at:at + 1000], pa.int64()), pa.array(start + edge[:-1]),
-                        pa.array(np.diff(edge)), pa.array([zlib.crc32(data[4 * a:4 * b]) for a, b in zip(cuts, cuts[1:])], pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(wide.view("<i4")))],
-                        names=[id_col, "start", "n_tokens", "ids_crc32", "tokens"])
+                    columns = [pa.array(found.doc_ids[at:at + 1000], pa.int64()), pa.array(start + edge[:-1]),
+                               pa.array(np.diff(edge)), pa.array([zlib.crc32(data[4 * a:4 * b]) for a, b in zip(cuts, cuts[1:])], pa.int64())]
+                    if with_ids:
+                        columns.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(wide.view("<i4"))))
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
 
+    names = [id_col, "start", "n_tokens", "ids_crc32"] + ["tokens"] * with_ids
     tasks = max(1, min(files.count(), READERS))  # a table this small would otherwise be read by one task
     return placed.repartition(tasks).mapInArrow(
-        read, f"`{id_col}` bigint, start bigint, n_tokens bigint, ids_crc32 bigint, tokens array<int>")
+        read, f"`{id_col}` bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", tokens array<int>" * with_ids)
 
 
-def round_trip(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
     """Write the documents' tokens into the cluster's shared folder and read them back."""
     folder = scratch_path(docs.sparkSession, "tokens")
-    return read_tokens(write_tokens(docs, tokenizer, end_id, folder, id_col, text_col), folder, id_col)
+    return read_tokens(write_tokens(docs, tokenizer, end_id, folder, id_col, text_col), folder, id_col, with_ids)
