@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected, in_block_pairs, mix, per_group, row_key, written
+from .common import connected, in_block_pairs, join_crowded, mix, per_group, row_key, slices, written
 
 WORDS, BANDS, ROWS, BITS = 5, 32, 7, 2
 HASHES = BANDS * ROWS
@@ -128,7 +128,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataF
     kind = docs.schema[id_col].dataType.simpleString()
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (some for whole in batches for some in slices(whole)):
             sets = [shingles(x.as_py()) for x in batch.column("text")]
             full = [s for s in sets if len(s)]
             least = minima(full) if full else np.empty((0, HASHES), np.uint32)
@@ -214,8 +214,8 @@ def _forest(group: pa.Table, percent: int, least: int, confirm: bool) -> pa.Reco
 def _families(classes: DataFrame, percent: int, least: int) -> DataFrame:
     """(set, family): classes that candidate links connect."""
     members = classes.select("set", F.explode("bands").alias("band"))
-    buckets = members.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("set").alias("center")).where("size > 1")
-    met = written(members.join(buckets, "band"), "met")
+    buckets = written(members.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("set").alias("center")).where("size > 1"), "buckets")
+    met = written(join_crowded(members, buckets, "band", "set", BLOCK), "met")
     spokes = met.where(F.col("set") != F.col("center")).select("set", "center").distinct()
     left = classes.select("set", F.col("bits").alias("bits_a"), F.col("n").alias("n_a"))
     right = classes.select(F.col("set").alias("center"), F.col("bits").alias("bits_b"), F.col("n").alias("n_b"))
@@ -224,8 +224,8 @@ def _families(classes: DataFrame, percent: int, least: int) -> DataFrame:
         ((agreement_sql(F.col("bits_a"), F.col("bits_b")) >= least)
          & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))).alias("alike")), "spokes")
     # Where a member is unlike the centre, it may still be like another member.
-    open_buckets = met.where("size > 2").join(judged.where("NOT alike"), ["set", "center"]).select("band").distinct()
-    rest = met.join(open_buckets, "band", "left_semi").select("band", "set", "size")
+    open_buckets = met.where("size > 2").join(judged.where("NOT alike"), ["set", "center"]).select("band", "size").distinct()
+    rest = join_crowded(met.select("band", "set"), open_buckets, "band", "set", BLOCK)
     blocks = in_block_pairs(rest, "band", F.col("size"), "set", BLOCK).join(classes.select("set", "n", "bits"), "set")
     more = per_group(blocks, ["band", "lo", "hi"], lambda g: _forest(g, percent, least, False), "a binary, b binary")
     links = judged.where("alike").select(F.col("set").alias("a"), F.col("center").alias("b")).union(more)

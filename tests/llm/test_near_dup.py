@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from statweave.llm import near_dup
-from statweave.llm.common import connected
+from statweave.llm.common import connected, join_crowded
 from statweave.llm.queries import QUERIES
 from tests.llm.conftest import SCHEMA, prose
 
@@ -108,3 +108,14 @@ def test_estimate_is_corrected_for_chance(spark):
 def test_connected(spark, edges, roots):
     found = connected(spark.createDataFrame(edges, "a binary, b binary")).collect()
     assert {bytes(r.node): bytes(r.root) for r in found} == roots
+
+
+def test_crowded_keys_are_dealt_to_many_tasks(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") < 1000, 7).otherwise(F.col("id") % 900).alias("k"), F.col("id").alias("v"))
+    heads = rows.groupBy("k").agg(F.count(F.lit(1)).alias("size"), F.min("v").alias("least")).where("size > 1")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for threshold in ("-1", limit):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        got = join_crowded(rows, heads, "k", "v", 100)
+        assert sorted(map(tuple, got.select("k", "v", "size", "least").collect())) == sorted(map(tuple, rows.join(heads, "k").select("k", "v", "size", "least").collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
