@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,17 +14,29 @@ def with_whole(df: DataFrame, part: str, whole: str, cut: str = "recorte") -> Da
     return df.withColumn(cut, F.explode(F.array(F.col(part), F.lit(whole))))
 
 
-def stable_round(value: Column, digits: int) -> Column:
-    """Round after removing the noise that summation order leaves in a double.
+AMOUNT = "decimal(28,8)"  # amounts, weights and counts: eight decimals, 20 digits before them
+
+
+def amount_sum(value: Column) -> Column:
+    """Sum of amounts or weights, added as decimals: exact, and the same for every order of the rows."""
+    return F.sum(value.cast(AMOUNT)).cast("double")
 
-    A sum of doubles differs in its last bits from run to run; rounding first to four
-    more digits keeps a value that sits on a rounding edge on the same side of it.
-    """
-    return F.round(F.round(value, digits + 4), digits)
 
+def rounded(value: Column, digits: int) -> Column:
+    """A value as a decimal, rounded once, half away from zero."""
+    return F.round(value.cast(AMOUNT), digits).cast("double")
 
-def percentage(part: Column, whole: Column) -> Column:
-    return F.try_divide(F.lit(100.0) * part, whole)
+
+def ratio(part: Column, whole: Column, digits: int, times: int = 1, kind: str = AMOUNT) -> Column:
+    """``times * part / whole`` rounded once, half away from zero; NULL where the whole is zero.
+
+    Both sides are decimals of one ``kind`` and the quotient is a division of whole numbers, so
+    no value is rounded before the last step: 0.44999996 with one digit is 0.4.
+    """
+    p, w = part.cast(kind), whole.cast(kind)
+    twice = F.abs(p) * F.lit(Decimal(2 * times * 10**digits)) + F.abs(w)
+    units = F.call_function("div", twice, F.nullif(F.abs(w) * F.lit(Decimal(2)), F.lit(Decimal(0))))
+    return F.when((p < 0) != (w < 0), -units).otherwise(units).cast("double") / F.lit(float(10**digits))
 
 
 def money_sum(value: Column) -> Column:

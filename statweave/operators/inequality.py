@@ -8,15 +8,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import rulebook as R
-from .cuts import percentage, stable_round, with_whole
+from .cuts import ratio, with_whole
 from .quantiles import rank_sums, value_counts
 
 
-def gini_of_counts(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Gini index per group: ``2 * sum(rank * x) / (n * sum(x)) - (n + 1) / n``."""
+WHOLE = "decimal(31,0)"
+
+
+def gini_of_counts(counts: DataFrame, keys: Sequence[str], value: str, digits: int = 5) -> DataFrame:
+    """Gini index per group: ``2 * sum(rank * x) / (n * sum(x)) - (n + 1) / n``, as one division of whole numbers.
+
+    Values count in cents; the index is rounded once.
+    """
+    cents = counts.withColumn(value, F.round(F.col(value).cast("decimal(20,8)") * 100, 0).cast("decimal(18,0)"))
     n, total, ranked = F.col("n"), F.col("soma"), F.col("soma_posicao")
-    index = F.try_divide(2.0 * ranked, n.cast("double") * total) - (n + 1.0) / n
-    return rank_sums(counts, keys, value).select(*keys, index.alias("gini"))
+    above = ranked - (n + 1) * total
+    return rank_sums(cents, keys, value).select(*keys, ratio(above, n * total, digits, kind=WHOLE).alias("gini"))
 
 
 def gini(
@@ -24,6 +31,7 @@ def gini(
     areas: DataFrame,
     value: str = "remuneracao_media_nominal",
     region: str = R.REGION_NAME,
+    digits: int = 5,
 ) -> DataFrame:
     """Gini of pay for each area and for the whole region, per year."""
     paid = silver.where(F.col("ativo_31_12") & (F.col(value) > 0))
@@ -33,7 +41,7 @@ def gini(
         .groupBy("ano_base", "recorte", value)
         .agg(F.sum("n").alias("n"))
     )
-    return gini_of_counts(cuts, ["ano_base", "recorte"], value)
+    return gini_of_counts(cuts, ["ano_base", "recorte"], value, digits)
 
 
 def turnover_rate(silver: DataFrame, areas: DataFrame, region: str = R.REGION_NAME) -> DataFrame:
@@ -54,10 +62,9 @@ def turnover_rate(silver: DataFrame, areas: DataFrame, region: str = R.REGION_NA
         .agg(*[F.sum(m).alias(m) for m in measures])
     )
     moved = F.least("admissoes_rotatividade", "desligamentos_rotatividade")
-    return totals.withColumn("taxa_rotatividade_pct", stable_round(percentage(moved, F.col("estoque")), 1))
+    return totals.withColumn("taxa_rotatividade_pct", ratio(moved, F.col("estoque"), 1, 100))
 
 
 def inequality_turnover(silver: DataFrame, areas: DataFrame, region: str = R.REGION_NAME) -> DataFrame:
     turnover = turnover_rate(silver, areas, region)
-    index = gini(silver, areas, region=region)
-    return turnover.join(index, ["ano_base", "recorte"], "left").withColumn("gini", stable_round(F.col("gini"), 3))
+    return turnover.join(gini(silver, areas, region=region, digits=3), ["ano_base", "recorte"], "left")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import decimal_comma, decimal_point
-from .cuts import stable_round
+from .cuts import ratio
 from .quality import holds
 from .quantiles import quantiles_of_counts
 
@@ -49,7 +49,11 @@ def percentile_profile(
 
 
 def _mean_of_counts() -> Column:
-    return stable_round(F.try_divide(F.sum(F.col("_v") * F.col("_k")), F.sum("_k")), 0)
+    """Mean of the counted values, rounded once; values of 12 digits or more, as in unread texts, are averaged as doubles."""
+    v, k = F.col("_v"), F.col("_k")
+    exact = ratio(F.sum(v.try_cast("decimal(20,8)") * k.cast("decimal(16,0)")), F.sum(k), 0, kind="decimal(36,8)")
+    plain = F.round(F.try_divide(F.sum(v * k), F.sum(k)), 0)
+    return F.when(F.max(F.abs(v)) >= 1e12, plain).otherwise(exact)
 
 
 def cast_success(df: DataFrame, text: str) -> DataFrame:
@@ -77,7 +81,7 @@ def band_profile(df: DataFrame, band: Column, hours: Column, flag: Column) -> Da
         .groupBy("faixa")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            stable_round(F.avg("_h"), 1).alias("horas_semanais_media"),
+            ratio(F.sum(F.col("_h").cast("decimal(20,8)")), F.count("_h"), 1).alias("horas_semanais_media"),
             F.count_if("_f").alias("tempo_parcial"),
         )
     )
@@ -134,9 +138,7 @@ def uninformative_columns(df: DataFrame, columns: Sequence[str], sentinels: Mapp
     counts = df.select(F.inline(pairs)).groupBy("coluna", "valor").agg(F.count(F.lit(1)).alias("n"))
     return counts.groupBy("coluna").agg(
         F.count("valor").alias("distintos"),
-        stable_round(
-            F.lit(100.0) * F.sum(F.when(F.col("valor") == filler, F.col("n")).otherwise(0)) / F.sum("n"), 1
-        ).alias("pct_sentinela"),
+        ratio(F.sum(F.when(F.col("valor") == filler, F.col("n")).otherwise(0)), F.sum("n"), 1, 100).alias("pct_sentinela"),
     )
 
 

@@ -137,21 +137,22 @@ def group_quantiles(
 
 
 def rank_sums(counts: DataFrame, keys: Sequence[str], value: str, n: str = "n") -> DataFrame:
-    """(keys.., n, soma, soma_posicao): count, sum and sum of rank x value of every group.
+    """(keys.., n, soma, soma_posicao): count, sum and twice the sum of rank x value of every group.
 
-    Rows with equal values share ``before + (k + 1) / 2`` as their mean rank, which
-    gives the same sum as numbering the rows one by one.
+    Rows with equal values share ``before + (k + 1) / 2`` as their mean rank, which gives the
+    same sum as numbering the rows one by one; twice of it is a whole number. With values of a
+    whole decimal kind all sums are exact.
     """
     x, k = F.col(value), F.col(n)
     in_bin = Window.partitionBy(*keys, "_bin").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     bins = (
-        counts.withColumn("_bin", ordered_bin(x))
+        counts.groupBy(*keys, value).agg(F.sum(n).alias(n)).withColumn("_bin", ordered_bin(x))
         .withColumn("_before", F.sum(n).over(in_bin) - k)
         .groupBy(*keys, "_bin")
         .agg(
             F.sum(n).alias("_size"),
             F.sum(x * k).alias("_sum"),
-            F.sum(x * k * (F.col("_before") + (k + 1) / 2)).alias("_rank_sum"),
+            F.sum(x * k * (2 * F.col("_before") + k + 1)).alias("_rank_sum"),
         )
     )
     across = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
@@ -161,6 +162,6 @@ def rank_sums(counts: DataFrame, keys: Sequence[str], value: str, n: str = "n")
         .agg(
             F.sum("_size").alias("n"),
             F.sum("_sum").alias("soma"),
-            F.sum(F.col("_before") * F.col("_sum") + F.col("_rank_sum")).alias("soma_posicao"),
+            F.sum(2 * F.col("_before") * F.col("_sum") + F.col("_rank_sum")).alias("soma_posicao"),
         )
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import rulebook as R
-from .cuts import percentage, share_of_total, stable_round, with_whole
+from .cuts import ratio, share_of_total, with_whole
 from .flow import described
 
 
@@ -26,17 +26,16 @@ def location_quotient(
     )
     joined = described(cuts.join(wide, ["ano_base", "cnae_secao"]), codes, "secao", "cnae_secao", "cnae_secao_descricao")
     # (sector / cut) / (sector / wider region), as one division of whole numbers.
-    quotient = F.try_divide(
-        F.col("vinculos_setor").cast("double") * F.col("total_estado"),
-        F.col("_total").cast("double") * F.col("setor_estado"),
-    )
+    count = "decimal(15,0)"
+    here = F.col("vinculos_setor").cast(count) * F.col("total_estado").cast(count)
+    there = F.col("_total").cast(count) * F.col("setor_estado").cast(count)
     return joined.select(
         "ano_base",
         "recorte",
         "cnae_secao",
         "cnae_secao_descricao",
         "vinculos_setor",
-        stable_round(percentage(F.col("vinculos_setor"), F.col("_total")), 2).alias("participacao_recorte_pct"),
-        stable_round(percentage(F.col("setor_estado"), F.col("total_estado")), 2).alias("participacao_ceara_pct"),
-        stable_round(quotient, 2).alias("quociente_locacional"),
+        ratio(F.col("vinculos_setor"), F.col("_total"), 2, 100).alias("participacao_recorte_pct"),
+        ratio(F.col("setor_estado"), F.col("total_estado"), 2, 100).alias("participacao_ceara_pct"),
+        ratio(here, there, 2, kind="decimal(31,0)").alias("quociente_locacional"),
     )

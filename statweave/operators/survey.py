@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import rulebook as R
 from ..functions import group_members, simple_case
-from .cuts import percentage, stable_round, with_whole
+from .cuts import amount_sum, ratio, rounded, with_whole
 from .quality import reliable
 
 COMPONENT_KEYS = ["ano", "trimestre", "area", "sexo", "faixa_etaria", "raca_grupo"]
@@ -35,7 +35,7 @@ def race_group(label: Column) -> Column:
 
 def _weighted(condition: Column | None = None, value: Column | None = None) -> Column:
     amount = F.col("peso") if value is None else value * F.col("peso")
-    return F.sum(amount if condition is None else F.when(condition, amount))
+    return amount_sum(amount if condition is None else F.when(condition, amount))
 
 
 def _formulas() -> dict[str, Column]:
@@ -101,9 +101,13 @@ def weighted_components(
     return deflated.select(*keys, *COUNTS, *WEIGHT_SUMS, *INCOME_SUMS)
 
 
+def _sums() -> list[Column]:
+    return [F.sum(name).alias(name) for name in COUNTS] + [amount_sum(F.col(name)).alias(name) for name in [*WEIGHT_SUMS, *INCOME_SUMS]]
+
+
 def rollup_components(components: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same components at coarser keys, from the stored ones: no second look at the sample."""
-    return components.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in [*COUNTS, *WEIGHT_SUMS, *INCOME_SUMS]])
+    return components.groupBy(*keys).agg(*_sums())
 
 
 def overlapping_cuts(components: DataFrame, region: str = R.REGION_NAME) -> DataFrame:
@@ -114,7 +118,7 @@ def overlapping_cuts(components: DataFrame, region: str = R.REGION_NAME) -> Data
 def _mean_where(condition: Column) -> Column:
     """Weighted mean of the income of one group; the condition may test a grouping column."""
     return F.try_divide(
-        F.sum(F.when(condition, F.col("soma_renda"))), F.sum(F.when(condition, F.col("peso_renda")))
+        amount_sum(F.when(condition, F.col("soma_renda"))), amount_sum(F.when(condition, F.col("peso_renda")))
     )
 
 
@@ -148,7 +152,7 @@ def aggregate_cuts(components: DataFrame, region: str = R.REGION_NAME) -> DataFr
     return (
         _cube_of_cuts(components, region)
         .groupBy(*RATE_KEYS)
-        .agg(*[F.sum(c).alias(c) for c in [*COUNTS, *WEIGHT_SUMS, *INCOME_SUMS]], *_group_means())
+        .agg(*_sums(), *_group_means())
     )
 
 
@@ -160,7 +164,7 @@ def survey_rates(components: DataFrame, region: str = R.REGION_NAME) -> DataFram
     c = F.col
 
     def pct(part: Column, whole: Column) -> Column:
-        return stable_round(percentage(part, whole), 1)
+        return ratio(part, whole, 1, 100)
 
     def mean(total: str, weight: str) -> Column:
         return F.try_divide(c(total), c(weight))
@@ -169,10 +173,10 @@ def survey_rates(components: DataFrame, region: str = R.REGION_NAME) -> DataFram
     columns = {
         "pessoas_amostra": c("pessoas_amostra"),
         "desocupados_amostra": c("desocupados_amostra"),
-        "pessoas_idade_trabalhar": stable_round(c("idade_trabalhar"), 0),
-        "pessoas_forca_trabalho": stable_round(c("forca_trabalho"), 0),
-        "pessoas_ocupadas": stable_round(c("ocupados"), 0),
-        "pessoas_desocupadas": stable_round(c("desocupados"), 0),
+        "pessoas_idade_trabalhar": rounded(c("idade_trabalhar"), 0),
+        "pessoas_forca_trabalho": rounded(c("forca_trabalho"), 0),
+        "pessoas_ocupadas": rounded(c("ocupados"), 0),
+        "pessoas_desocupadas": rounded(c("desocupados"), 0),
         "taxa_desocupacao_pct": pct(c("desocupados"), c("forca_trabalho")),
         "taxa_participacao_pct": pct(c("forca_trabalho"), c("idade_trabalhar")),
         "nivel_ocupacao_pct": pct(c("ocupados"), c("idade_trabalhar")),
@@ -182,8 +186,8 @@ def survey_rates(components: DataFrame, region: str = R.REGION_NAME) -> DataFram
         "taxa_subocupacao_pct": pct(c("subocupados"), c("ocupados")),
         "taxa_desalento_pct": pct(c("desalentados"), c("forca_potencial")),
         "taxa_subutilizacao_pct": pct(underused, c("forca_trabalho") + c("forca_potencial")),
-        "renda_media_habitual": stable_round(mean("soma_renda", "peso_renda"), 2),
-        "renda_media_real": stable_round(mean("soma_renda_real", "peso_renda_real"), 2),
+        "renda_media_habitual": ratio(c("soma_renda"), c("peso_renda"), 2),
+        "renda_media_real": ratio(c("soma_renda_real"), c("peso_renda_real"), 2),
         "razao_renda_mulher_homem_pct": pct(c("renda_mulher"), c("renda_homem")),
         "razao_renda_negra_branca_pct": pct(c("renda_negra"), c("renda_branca")),
         "razao_renda_informal_formal_pct": pct(
@@ -200,12 +204,12 @@ def weighted_by_category(silver: DataFrame, region: str = R.REGION_NAME) -> Data
     counted = (
         silver.where(F.col("condicao_ocupacao") == 1)
         .groupBy(area_label(F.col("mora_em_fortaleza")).alias("area"), "ano", "trimestre", "posicao_ocupacao_codigo")
-        .agg(F.sum("peso").alias("peso"), F.count(F.lit(1)).alias("n"))
+        .agg(amount_sum(F.col("peso")).alias("peso"), F.count(F.lit(1)).alias("n"))
     )
     return (
         with_whole(counted, "area", region)
         .groupBy("recorte", "ano", "trimestre", "posicao_ocupacao_codigo")
-        .agg(stable_round(F.sum("peso"), 0).alias("pessoas"), F.sum("n").alias("pessoas_amostra"))
+        .agg(rounded(amount_sum(F.col("peso")), 0).alias("pessoas"), F.sum("n").alias("pessoas_amostra"))
         .withColumn("posicao_ocupacao", simple_case(position, R.POSITION_LABELS, R.UNKNOWN_F))
     )
 
@@ -214,5 +218,5 @@ def sample_size(raw: DataFrame, weight: Column, event: Column, keys: Sequence[st
     return raw.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("pessoas_entrevistadas"),
         F.count_if(event).alias("desocupados_na_amostra"),
-        stable_round(F.sum(weight), 0).alias("populacao_representada"),
+        rounded(amount_sum(weight), 0).alias("populacao_representada"),
     )

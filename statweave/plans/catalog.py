@@ -612,8 +612,7 @@ def stock_by_occupation(lake: Lake) -> DataFrame:
 
 @register
 def gini(lake: Lake) -> DataFrame:
-    index = inequality.gini(lake.stock_plain, lake.areas, region=lake.rules.region)
-    return index.withColumn("gini", cuts.stable_round(c("gini"), 5))
+    return inequality.gini(lake.stock_plain, lake.areas, region=lake.rules.region)
 
 
 @register
@@ -662,8 +661,8 @@ def survey_rates(lake: Lake) -> DataFrame:
 def ratio_of_group_means(lake: Lake) -> DataFrame:
     """Women's mean over men's in every row of the cube, also where sex is the total."""
     means = survey.aggregate_cuts(lake.components(), lake.rules.region)
-    ratio = cuts.percentage(c("renda_mulher"), c("renda_homem"))
-    return means.select(*survey.RATE_KEYS, cuts.stable_round(ratio, 3).alias("razao_renda_mulher_homem_pct"))
+    pct = cuts.ratio(c("renda_mulher"), c("renda_homem"), 3, 100)
+    return means.select(*survey.RATE_KEYS, pct.alias("razao_renda_mulher_homem_pct"))
 
 
 @register

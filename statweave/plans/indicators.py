@@ -8,17 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rulebook as R
-from ..operators.cuts import one_way_profiles, percentage, stable_round, with_total
+from ..operators.cuts import AMOUNT, amount_sum, one_way_profiles, ratio, with_total
 
 c = F.col
 
 
 def _pct(part: Column, whole: Column, digits: int = 1) -> Column:
-    return stable_round(percentage(part, whole), digits)
+    return ratio(part, whole, digits, 100)
 
 
 def _ratio(total: str, count: str, digits: int = 2) -> Column:
-    return stable_round(F.try_divide(F.sum(total), F.sum(count)), digits)
+    return ratio(F.sum(c(total).cast(AMOUNT)), F.sum(c(count).cast(AMOUNT)), digits)
 
 
 def _young() -> Column:
@@ -147,7 +147,7 @@ def pay_gaps(stock: DataFrame) -> DataFrame:
 
     def mean(condition: Column) -> Column:
         return F.try_divide(
-            F.sum(F.when(condition, c("soma_rem_media"))), F.sum(F.when(condition, c("n_rem_media")))
+            amount_sum(F.when(condition, c("soma_rem_media"))), F.sum(F.when(condition, c("n_rem_media")))
         )
 
     pairs = {
@@ -161,7 +161,7 @@ def pay_gaps(stock: DataFrame) -> DataFrame:
 def deflated_mean(rates: DataFrame) -> DataFrame:
     return rates.where((c("sexo") == R.ALL) & (c("publico") == R.ALL)).select(
         "recorte", "ano", "trimestre", "renda_media_habitual", "renda_media_real",
-        stable_round(F.try_divide(c("renda_media_real"), c("renda_media_habitual")), 4).alias("fator_real"),
+        ratio(c("renda_media_real"), c("renda_media_habitual"), 4).alias("fator_real"),
     )
 
 
@@ -169,7 +169,7 @@ def share_over_time(components: DataFrame) -> DataFrame:
     """Women's share of the labour force in every quarter."""
     force = c("forca_trabalho")
     return components.groupBy("ano", "trimestre").agg(
-        _pct(F.sum(F.when(c("sexo") == "Mulher", force)), F.sum(force)).alias("pct_mulheres")
+        _pct(amount_sum(F.when(c("sexo") == "Mulher", force)), amount_sum(force)).alias("pct_mulheres")
     ).orderBy("ano", "trimestre")
 
 

@@ -36,8 +36,18 @@ def _map_case(expr: str, table) -> str:
 
 
 def _round(expr: str, digits: int) -> str:
-    # The second step rounds a decimal, half away from zero, so a tie has one outcome.
-    return f"CAST(round(CAST(round({expr}, {digits + 4}) AS DECIMAL(30, {digits + 4})), {digits}) AS DOUBLE)"
+    """One rounding, half away from zero, of the value as a decimal."""
+    return f"CAST(round(CAST(({expr}) AS DECIMAL(28, 8)), {digits}) AS DOUBLE)"
+
+
+def _ratio(part: str, whole: str, digits: int, times: int = 1, whole_numbers: bool = False) -> str:
+    """One division of whole numbers, rounded once, half away from zero."""
+    def units(e: str) -> str:
+        return f"CAST(({e}) AS HUGEINT)" if whole_numbers else f"CAST(CAST(({e}) AS DECIMAL(28, 8)) * 100000000 AS HUGEINT)"
+
+    a, b = units(part), units(whole)
+    return (f"(CASE WHEN ({a} < 0) <> ({b} < 0) THEN -1 ELSE 1 END * "
+            f"CAST((abs({a}) * {2 * times * 10**digits}::HUGEINT + abs({b})) // nullif(2 * abs({b}), 0) AS DOUBLE) / {10**digits}.0::DOUBLE)")
 
 
 def _money(expr: str) -> str:
@@ -45,7 +55,7 @@ def _money(expr: str) -> str:
 
 
 def _pct(part: str, whole: str, digits: int = 1) -> str:
-    return _round(f"100.0::DOUBLE * ({part}) / nullif({whole}, 0)", digits)
+    return _ratio(part, whole, digits, 100)
 
 
 def _div(a: str, b: str) -> str:
@@ -186,12 +196,13 @@ CTES: dict[str, str] = {
         LEFT JOIN codes o ON o.dominio = 'cbo2002ocupacao' AND o.codigo = r.cbo_codigo
         WHERE r.ativo""",
     "gini": """
-        SELECT ano_base, recorte,
-               2.0::DOUBLE * sum(posicao * x) / (count(*) * sum(x)) - (count(*) + 1.0::DOUBLE) / count(*) AS gini
+        SELECT ano_base, recorte, 2 * sum(posicao * x) - (count(*) + 1) * sum(x) AS acima, count(*) * sum(x) AS base
         FROM (SELECT ano_base, recorte, x, row_number() OVER (PARTITION BY ano_base, recorte ORDER BY x) AS posicao
-              FROM (SELECT ano_base, municipio_nome AS recorte, media AS x FROM stock WHERE ativo AND media > 0
+              FROM (SELECT ano_base, municipio_nome AS recorte, CAST(round(CAST(media AS DECIMAL(20, 8)) * 100, 0) AS HUGEINT) AS x
+                    FROM stock WHERE ativo AND media > 0
                     UNION ALL
-                    SELECT ano_base, 'RMF', media FROM stock WHERE ativo AND media > 0) AS u) AS v
+                    SELECT ano_base, 'RMF', CAST(round(CAST(media AS DECIMAL(20, 8)) * 100, 0) AS HUGEINT)
+                    FROM stock WHERE ativo AND media > 0) AS u) AS v
         GROUP BY ano_base, recorte""",
     "turnover": f"""
         SELECT *, {_pct('least(admissoes_rotatividade, desligamentos_rotatividade)', 'estoque')} AS taxa_rotatividade_pct
@@ -201,7 +212,7 @@ CTES: dict[str, str] = {
                      CAST(count(*) FILTER (WHERE saida) AS BIGINT) AS desligamentos_rotatividade
               FROM stock GROUP BY GROUPING SETS ((ano_base, municipio_nome), (ano_base))) AS g""",
     "inequality": f"""
-        SELECT t.*, {_round('g.gini', 3)} AS gini FROM turnover t
+        SELECT t.*, {_ratio('g.acima', 'g.base', 3, whole_numbers=True)} AS gini FROM turnover t
         LEFT JOIN gini g ON g.ano_base = t.ano_base AND g.recorte = t.recorte""",
     "wide_stock": """
         SELECT t.ano_base, t.municipio_codigo, k.cnae_secao, count(*) AS vinculos_ativos
@@ -220,7 +231,7 @@ CTES: dict[str, str] = {
         SELECT t.ano_base, t.recorte, t.cnae_secao, s.descricao AS cnae_secao_descricao, t.vinculos_setor,
                {_pct('t.vinculos_setor', 't.total', 2)} AS participacao_recorte_pct,
                {_pct('e.setor_estado', 'e.total_estado', 2)} AS participacao_ceara_pct,
-               {_round('CAST(t.vinculos_setor AS DOUBLE) * e.total_estado / (CAST(t.total AS DOUBLE) * e.setor_estado)', 2)}
+               {_ratio('t.vinculos_setor::HUGEINT * e.total_estado', 't.total::HUGEINT * e.setor_estado', 2, whole_numbers=True)}
                    AS quociente_locacional
         FROM totais t JOIN estado e ON e.ano_base = t.ano_base AND e.cnae_secao = t.cnae_secao
         LEFT JOIN codes s ON s.dominio = 'secao' AND s.codigo = t.cnae_secao""",
@@ -312,8 +323,8 @@ CTES["rates"] = f"""
                {_pct('desalentados', 'forca_potencial')} AS taxa_desalento_pct,
                {_pct('desocupados + subocupados + forca_potencial', 'forca_trabalho + forca_potencial')}
                    AS taxa_subutilizacao_pct,
-               {_round(_div('soma_renda', 'peso_renda'), 2)} AS renda_media_habitual,
-               {_round(_div('soma_renda_real', 'peso_renda_real'), 2)} AS renda_media_real,
+               {_ratio('soma_renda', 'peso_renda', 2)} AS renda_media_habitual,
+               {_ratio('soma_renda_real', 'peso_renda_real', 2)} AS renda_media_real,
                {_pct('renda_mulher', 'renda_homem')} AS razao_renda_mulher_homem_pct,
                {_pct('renda_negra', 'renda_branca')} AS razao_renda_negra_branca_pct,
                {_pct(_div('soma_renda_informal', 'peso_renda_informal'), _div('soma_renda_formal', 'peso_renda_formal'))}
@@ -535,7 +546,7 @@ oracle("group_by_all", _n("flow_raw", "tipo, competencia"))
 oracle("median_cube", "SELECT * FROM medians")
 oracle("stock_fact", "SELECT * FROM stock_fact")
 oracle("stock_by_occupation", "SELECT * FROM stock_jobs")
-oracle("gini", f"SELECT ano_base, recorte, {_round('gini', 5)} AS gini FROM gini")
+oracle("gini", f"SELECT ano_base, recorte, {_ratio('acima', 'base', 5, whole_numbers=True)} AS gini FROM gini")
 oracle("turnover_rate", "SELECT * FROM turnover")
 oracle("inequality_turnover", "SELECT * FROM inequality")
 oracle("regional_stock", "SELECT * FROM wide_stock")
@@ -577,7 +588,7 @@ oracle("conditional_counts", f"""
 oracle("percentile_profile", f"""
     SELECT unidade AS unidadesalariocodigo, count(*) AS n, quantile_disc(salario, 0.01) AS p1,
            quantile_disc(salario, 0.5) AS p50, quantile_disc(salario, 0.99) AS p99,
-           {_round('sum(salario) / count(salario)', 0)} AS media FROM flow_typed GROUP BY unidade""")
+           {_ratio('sum(salario)', 'count(salario)', 0)} AS media FROM flow_typed GROUP BY unidade""")
 oracle("cast_success", f"""
     SELECT count(*) AS total, count(TRY_CAST(salario AS DOUBLE)) AS convertidos_sem_tratar,
            count({_comma('salario')}) AS convertidos_trocando_virgula FROM flow_raw""")
@@ -589,16 +600,16 @@ oracle("band_profile", f"""
                 WHEN s < 0.1::DOUBLE * w THEN '2. abaixo de 0,1 SM' WHEN s < 0.3::DOUBLE * w THEN '3. 0,1 a 0,3 SM'
                 WHEN s < 0.5::DOUBLE * w THEN '4. 0,3 a 0,5 SM' WHEN s <= 30.0::DOUBLE * w THEN '5. 0,5 a 30 SM'
                 ELSE '6. acima de 30 SM' END AS faixa,
-           count(*) AS n, {_round('avg(h)', 1)} AS horas_semanais_media,
+           count(*) AS n, {_ratio('sum(h)', 'count(h)', 1)} AS horas_semanais_media,
            count(*) FILTER (WHERE indtrabparcial = '1') AS tempo_parcial
     FROM (SELECT {_comma('salario')} AS s, {_comma('horascontratuais')} AS h, indtrabparcial,
                  {WAGE_OF.format(y=_int('competenciamov') + ' // 100')} AS w
           FROM flow_raw WHERE unidadesalariocodigo = '5') AS m GROUP BY ALL""")
 oracle("rule_impact", f"""
-    SELECT 'simples' AS regra, count(s) AS n, round(quantile_disc(s, 0.5), 0) AS mediana, {_round('avg(s)', 0)} AS media
+    SELECT 'simples' AS regra, count(s) AS n, round(quantile_disc(s, 0.5), 0) AS mediana, {_ratio('sum(s)', 'count(s)', 0)} AS media
     FROM (SELECT salario AS s FROM flow_typed WHERE unidade = '5' AND salario > 0) AS a
     UNION ALL
-    SELECT 'plausivel', count(s), round(quantile_disc(s, 0.5), 0), {_round('avg(s)', 0)}
+    SELECT 'plausivel', count(s), round(quantile_disc(s, 0.5), 0), {_ratio('sum(s)', 'count(s)', 0)}
     FROM (SELECT salario AS s FROM flow_typed
           WHERE unidade = '5' AND salario BETWEEN 0.3::DOUBLE * minimo AND 30.0::DOUBLE * minimo) AS b""")
 oracle("sentinel_counts", f"""
@@ -704,7 +715,7 @@ oracle("q_compare_areas", f"""
     WHERE recorte IN ('Fortaleza', 'Demais municípios da RMF') AND sexo = 'Todos' AND publico = 'Todos' AND {_LATEST}""")
 oracle("q_mean_by_size", f"""
     SELECT porte_oficial, CAST(sum(vinculos) AS BIGINT) AS empregos,
-           {_round(_div('sum(soma_rem_dezembro)', 'sum(n_rem_dezembro)'), 2)} AS salario_medio
+           {_ratio('sum(soma_rem_dezembro)', 'sum(n_rem_dezembro)', 2)} AS salario_medio
     FROM stock_fact GROUP BY porte_oficial""")
 oracle("q_share_of_total", f"""
     SELECT {_HIRES} AS admissoes,
@@ -727,12 +738,12 @@ oracle("q_stock_profile", _profile("stock_fact", {
     "medio_completo_ou_mais": "CASE WHEN grau_instrucao_codigo >= 7 THEN 'sim' ELSE 'não' END"}, "vinculos", "ano_base"))
 oracle("q_ratio_of_sums", f"""
     SELECT 'setor' AS dimensao, cnae_secao_descricao AS membro,
-           {_round(_div('sum(soma_rem_dezembro)', 'sum(n_rem_dezembro)'), 2)} AS salario_medio,
-           {_round(_div('sum(soma_rem_media_com_horas)', 'sum(soma_horas_mes)'), 2)} AS salario_hora,
-           {_round(_div('sum(soma_tempo_emprego)', 'sum(n_tempo_emprego)'), 2)} AS tempo_medio_meses
+           {_ratio('sum(soma_rem_dezembro)', 'sum(n_rem_dezembro)', 2)} AS salario_medio,
+           {_ratio('sum(soma_rem_media_com_horas)', 'sum(soma_horas_mes)', 2)} AS salario_hora,
+           {_ratio('sum(soma_tempo_emprego)', 'sum(n_tempo_emprego)', 2)} AS tempo_medio_meses
     FROM stock_fact GROUP BY ALL
     UNION ALL
-    SELECT 'grande_grupo', grande_grupo, {_round(_div('sum(soma_rem_dezembro)', 'sum(n_rem_dezembro)'), 2)},
+    SELECT 'grande_grupo', grande_grupo, {_ratio('sum(soma_rem_dezembro)', 'sum(n_rem_dezembro)', 2)},
            CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)
     FROM stock_jobs GROUP BY ALL""")
 
@@ -753,7 +764,7 @@ oracle("q_pay_gaps", f"""
     FROM stock_fact GROUP BY ano_base""")
 oracle("q_deflated_mean", f"""
     SELECT recorte, ano, trimestre, renda_media_habitual, renda_media_real,
-           {_round(_div('renda_media_real', 'renda_media_habitual'), 4)} AS fator_real
+           {_ratio('renda_media_real', 'renda_media_habitual', 4)} AS fator_real
     FROM rates WHERE sexo = 'Todos' AND publico = 'Todos'""")
 oracle("q_share_over_time", f"""
     SELECT ano, trimestre, {_pct("sum(CASE WHEN sexo = 'Mulher' THEN forca_trabalho END)", 'sum(forca_trabalho)')}
@@ -770,7 +781,7 @@ oracle("q_top_occupations", f"""
     ORDER BY admissoes DESC, cbo_codigo, cbo_descricao LIMIT 10""")
 oracle("q_stock_occupations", f"""
     SELECT cbo_codigo, cbo_descricao, CAST(sum(vinculos) AS BIGINT) AS empregos,
-           {_round(_div('sum(soma_rem_dezembro)', 'sum(n_rem_dezembro)'), 2)} AS salario_medio
+           {_ratio('sum(soma_rem_dezembro)', 'sum(n_rem_dezembro)', 2)} AS salario_medio
     FROM stock_jobs GROUP BY ALL ORDER BY empregos DESC, cbo_codigo, cbo_descricao LIMIT 10""")
 oracle("q_hire_profile", _profile("flow_fact", {
     d: d for d in ("faixa_etaria", "escolaridade", "sexo", "raca_cor")}, "admissoes"))
