@@ -136,8 +136,11 @@ def group_quantiles(
     return quantiles_of_counts(value_counts(df, keys, value), keys, value, probabilities)
 
 
-def rank_sums(counts: DataFrame, keys: Sequence[str], value: str, n: str = "n") -> DataFrame:
-    """(keys.., n, soma, soma_posicao): count, sum and twice the sum of rank x value of every group.
+def rank_sums(counts: DataFrame, keys: Sequence[str], value: str, n: str = "n", also: Sequence[str] = ()) -> DataFrame:
+    """(keys.., n, soma, soma_posicao, also..): count, sum and twice the sum of rank x value of every group.
+
+    ``also`` names further counts to be added up on the way; rows that have only those carry a
+    NULL value and a count of 0.
 
     Rows with equal values share ``before + (k + 1) / 2`` as their mean rank, which gives the
     same sum as numbering the rows one by one; twice of it is a whole number. With values of a
@@ -146,13 +149,14 @@ def rank_sums(counts: DataFrame, keys: Sequence[str], value: str, n: str = "n")
     x, k = F.col(value), F.col(n)
     in_bin = Window.partitionBy(*keys, "_bin").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     bins = (
-        counts.groupBy(*keys, value).agg(F.sum(n).alias(n)).withColumn("_bin", ordered_bin(x))
+        counts.groupBy(*keys, value).agg(*[F.sum(m).alias(m) for m in (n, *also)]).withColumn("_bin", ordered_bin(x))
         .withColumn("_before", F.sum(n).over(in_bin) - k)
         .groupBy(*keys, "_bin")
         .agg(
             F.sum(n).alias("_size"),
             F.sum(x * k).alias("_sum"),
             F.sum(x * k * (2 * F.col("_before") + k + 1)).alias("_rank_sum"),
+            *[F.sum(m).alias(m) for m in also],
         )
     )
     across = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
@@ -163,5 +167,6 @@ def rank_sums(counts: DataFrame, keys: Sequence[str], value: str, n: str = "n")
             F.sum("_size").alias("n"),
             F.sum("_sum").alias("soma"),
             F.sum(2 * F.col("_before") * F.col("_sum") + F.col("_rank_sum")).alias("soma_posicao"),
+            *[F.sum(m).alias(m) for m in also],
         )
     )

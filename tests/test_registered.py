@@ -60,3 +60,10 @@ def test_plans_stay_on_the_jvm_and_scale(spark, sf_dir, key):
 def test_scans_read_only_the_needed_columns(spark, sf_dir):
     plan = QUERIES["late_revisions"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_suppkey:bigint,l_returnflag:string,l_linestatus:string,l_shipdate:timestamp_ntz>" in plan
+
+
+def test_inequality_reads_the_contracts_once(spark, sf_dir):
+    df = QUERIES["inequality_turnover"](spark, sf_dir)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count("FileScan parquet [o_") == 1
