@@ -45,5 +45,19 @@ def expect_report(df: DataFrame, checks: Mapping[str, Column | str]) -> DataFram
     return totals.select(F.inline(entries))
 
 
+def drop_report(df: DataFrame, checks: Mapping[str, Column | str]) -> DataFrame:
+    """(expectativa, linhas, violacoes, so_por_ela): of the rows read, those that break a check, and those that no other check drops."""
+    outcome = {name: holds(predicate) for name, predicate in checks.items()}
+    broken = sum((F.when(ok, 0).otherwise(1) for ok in outcome.values()), F.lit(0))
+    totals = df.withColumn("_broken", broken).agg(
+        F.count(F.lit(1)).alias("linhas"),
+        *[F.count_if(~ok).alias(f"_v{i}") for i, ok in enumerate(outcome.values())],
+        *[F.count_if(~ok & (F.col("_broken") == 1)).alias(f"_o{i}") for i, ok in enumerate(outcome.values())],
+    )
+    entries = [F.struct(F.lit(name).alias("expectativa"), F.col("linhas"), F.col(f"_v{i}").alias("violacoes"), F.col(f"_o{i}").alias("so_por_ela"))
+               for i, name in enumerate(checks)]
+    return totals.select(F.inline(F.array(*entries)))
+
+
 def reliable(sample: Column, minimum: int = R.MIN_SAMPLE) -> Column:
     return sample >= minimum

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -554,33 +555,34 @@ def flow_fact(lake: Lake) -> DataFrame:
     return lake.flow()
 
 
-def _maintained(lake: Lake) -> Versions:
-    """The stored flow fact after three landings of a third of the releases each; built once a session."""
+def _maintained(lake: Lake) -> tuple[Versions, ledger.Feed]:
+    """The stored flow fact after three landings of a third of the releases each, and the feed; built once a session."""
     spark, key = lake.spark, (lake.spark.sparkContext.applicationId, lake.sf_dir)
     if key not in _KEPT:
-        feed, fact = _flow_feed(spark, scratch_path(spark, "pouso")), maintained.stored(scratch_path(spark, "fato"))
+        feed = replace(pipeline.feed(scratch_path(spark, "pouso"), scratch_path(spark, "bronze"), "caged_movimentacao", lake.rules), max_files=10**6)
+        fact = maintained.stored(scratch_path(spark, "fato"))
         third = -(-landing.releases(lake.flow_raw).count() // 3)
         for _ in range(3):
             landing.land(spark, lake.flow_raw, feed.landing, most=third)
             ledger.ingest(spark, feed)
             maintained.follow(spark, fact, feed, lambda raw: silver.flow_silver(raw, lake.rules), lake.rules.wages)
-        _KEPT[key] = fact
+        _KEPT[key] = (fact, feed)
     return _KEPT[key]
 
 
-_KEPT: dict[tuple[str, str], Versions] = {}
+_KEPT: dict[tuple[str, str], tuple[Versions, ledger.Feed]] = {}
 
 
 @register
 def maintained_flow(lake: Lake) -> DataFrame:
     """The same fact from stored months that three landings brought up to date."""
-    return maintained.published(lake.spark, _maintained(lake), lake.areas, lake.codes)
+    return maintained.published(lake.spark, _maintained(lake)[0], lake.areas, lake.codes)
 
 
 @register
 def maintained_revisions(lake: Lake) -> DataFrame:
     """Revisions of the stored months, without a look at the events."""
-    return maintained.late_revisions(lake.spark, _maintained(lake))
+    return maintained.late_revisions(lake.spark, _maintained(lake)[0])
 
 
 @register
@@ -819,9 +821,19 @@ def late_revisions(lake: Lake) -> DataFrame:
 
 @register
 def expect_or_drop(lake: Lake) -> DataFrame:
-    typed = cleanse(lake.flow_raw, *silver.flow_rules(lake.rules))
-    kept = quality.expect_or_drop(typed, silver.flow_checks(lake.rules)[0])
-    return kept.groupBy("municipio_codigo").agg(F.count(F.lit(1)).alias("linhas"), F.sum("efeito").alias("efeito"))
+    """The kept rows of every area, and beside them what each check dropped."""
+    typed, checks = cleanse(lake.flow_raw, *silver.flow_rules(lake.rules)), silver.flow_checks(lake.rules)[0]
+    kept = quality.expect_or_drop(typed, checks).groupBy("municipio_codigo").agg(
+        F.count(F.lit(1)).alias("linhas"), F.sum("efeito").alias("efeito"))
+    dropped = quality.drop_report(typed, checks).select("expectativa", c("violacoes").alias("descartadas"), "so_por_ela")
+    return files.union_by_name(kept, dropped)
+
+
+@register
+def quality_history(lake: Lake) -> DataFrame:
+    """What the checks found in each of three landings."""
+    history = ledger.quality_history(lake.spark, _maintained(lake)[1])
+    return history.select(F.col("_lote").alias("lote"), "expectativa", "linhas", "violacoes")
 
 
 @register

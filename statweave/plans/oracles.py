@@ -654,10 +654,6 @@ oracle("late_revisions", """
            CAST(sum(efeito) AS BIGINT) AS saldo_revisado FROM flow GROUP BY competencia_mov""")
 
 # --- quality ------------------------------------------------------------------------
-oracle("expect_or_drop", "SELECT municipio_codigo, count(*) AS linhas, CAST(sum(efeito) AS BIGINT) AS efeito "
-                         "FROM flow GROUP BY municipio_codigo")
-
-
 def _report(source: str, checks: dict[str, str], table: str | None = None) -> str:
     lead = f"'{table}' AS tabela, " if table else ""
     return " UNION ALL ".join(
@@ -666,13 +662,31 @@ def _report(source: str, checks: dict[str, str], table: str | None = None) -> st
         for name, predicate in checks.items())
 
 
-oracle("expect_report", _report("flow_all", {
-    "municipio_na_regiao": f"municipio_codigo BETWEEN 0 AND {feeds.REGION_SIZE - 1}",
+_IN_REGION_CODE = f"municipio_codigo BETWEEN 0 AND {feeds.REGION_SIZE - 1}"
+_FLOW_CHECKS = {
+    "municipio_na_regiao": _IN_REGION_CODE,
     "efeito_valido": "efeito IN (-1, 1)",
     "salario_convertido": "salario IS NOT NULL",
     "idade_plausivel": "idade BETWEEN 14 AND 100",
     "tem_salario_mensal_plausivel": "salario_mensal IS NOT NULL",
-    "ano_com_salario_minimo": "minimo IS NOT NULL"}))
+    "ano_com_salario_minimo": "minimo IS NOT NULL",
+}
+oracle("expect_report", _report("flow_all", _FLOW_CHECKS))
+oracle("expect_or_drop", f"""
+    SELECT municipio_codigo, count(*) AS linhas, CAST(sum(efeito) AS BIGINT) AS efeito, NULL::VARCHAR AS expectativa,
+           NULL::BIGINT AS descartadas, NULL::BIGINT AS so_por_ela FROM flow GROUP BY municipio_codigo
+    UNION ALL
+    SELECT NULL, NULL, NULL, 'municipio_na_regiao', count(*) FILTER (WHERE NOT r), count(*) FILTER (WHERE NOT r AND e)
+    FROM (SELECT coalesce({_IN_REGION_CODE}, FALSE) AS r, coalesce(efeito IN (-1, 1), FALSE) AS e FROM flow_all) AS x
+    UNION ALL
+    SELECT NULL, NULL, NULL, 'efeito_valido', count(*) FILTER (WHERE NOT e), count(*) FILTER (WHERE NOT e AND r)
+    FROM (SELECT coalesce({_IN_REGION_CODE}, FALSE) AS r, coalesce(efeito IN (-1, 1), FALSE) AS e FROM flow_all) AS x""")
+CTES["release_lots"] = """
+    SELECT tipo, competencia, CAST((row_number() OVER (ORDER BY competencia, list_position(['FOR', 'EXC', 'MOV'], tipo)) - 1)
+           // ((count(*) OVER () + 2) // 3) AS INTEGER) AS lote FROM (SELECT DISTINCT tipo, competencia FROM flow_raw)"""
+oracle("quality_history", " UNION ALL ".join(
+    f"SELECT lote, '{name}' AS expectativa, count(*) AS linhas, count(*) FILTER (WHERE NOT coalesce({predicate}, FALSE)) AS violacoes "
+    f"FROM flow_all JOIN release_lots USING (tipo, competencia) GROUP BY lote" for name, predicate in _FLOW_CHECKS.items()))
 oracle("gold_constraints", " UNION ALL ".join([
     _report("flow_fact", {"saldo_consistente": "saldo = admissoes - desligamentos"}, "caged_fluxo"),
     _report("medians", {"amostra_minima": "admissoes_com_salario >= 30"}, "caged_salario_mediano"),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import rulebook as R
+from ..operators.cleanse import cleanse
 from ..operators import flow, inequality, specialization, stock, survey
 from ..session import tuned
 from ..sources import files, store
@@ -60,19 +61,25 @@ CROSSWALK = "referencia/cnae_classe_secao.json"
 DEFLATORS = "referencia/pnad_deflator_ceara.csv"
 
 
-def feed(landing: str, bronze: str, source: str) -> ledger.Feed:
-    spec = SOURCES[source]
-    return ledger.Feed(f"{landing}/{spec.folder}", f"{bronze}/{source}", spec.columns, spec.folders)
+def feed(landing: str, bronze: str, source: str, rules: R.Rules | None = None) -> ledger.Feed:
+    """A feed; with ``rules``, what its rows are expected to keep is measured lot by lot."""
+    spec, rules = SOURCES[source], rules or R.Rules()
+    typed, checks = {
+        "caged_movimentacao": (lambda raw: cleanse(raw, *silver.flow_rules(rules)), silver.flow_checks(rules)),
+        "pnad_pessoa": (lambda raw: cleanse(raw, *silver.survey_rules(rules)), silver.survey_checks()),
+        "rais_vinculo": (lambda raw: cleanse(raw, *silver.stock_rules(rules)), (silver.stock_checks(rules)[0], {})),
+    }.get(source, (None, ({}, {})))
+    return ledger.Feed(f"{landing}/{spec.folder}", f"{bronze}/{source}", spec.columns, spec.folders, typed=typed, checks={**checks[0], **checks[1]})
 
 
-def ingest_bronze(spark: SparkSession, landing: str, bronze: str, source: str) -> DataFrame:
+def ingest_bronze(spark: SparkSession, landing: str, bronze: str, source: str, rules: R.Rules | None = None) -> DataFrame:
     """Append the new files of one feed to its bronze table and return the table.
 
     Files are read with every column they have, whatever its type, so that a column nobody
     declared shows up in the rescue column instead of disappearing. Only new files are opened.
     A column that is both in folder names and in new files stops the run.
     """
-    one = feed(landing, bronze, source)
+    one = feed(landing, bronze, source, rules)
     ledger.ingest(spark, one)
     return ledger.rows(spark, one)
 
@@ -205,11 +212,11 @@ def refresh(
     """
     rules = rules or R.Rules()
     tuned(spark)
-    raw = {name: ingest_bronze(spark, landing, bronze, name) for name in SOURCES}
+    raw = {name: ingest_bronze(spark, landing, bronze, name, rules) for name in SOURCES}
     dims = load_dimensions(spark, landing, rules)
     tables, quality = build_silver(spark, raw, dims, rules)
     fact = maintained.stored(f"{bronze}/fluxo_por_mes")
-    maintained.follow(spark, fact, feed(landing, bronze, "caged_movimentacao"), lambda raw: silver.flow_silver(raw, rules), rules.wages)
+    maintained.follow(spark, fact, feed(landing, bronze, "caged_movimentacao", rules), lambda raw: silver.flow_silver(raw, rules), rules.wages)
     published = build_gold(tables, dims, rules, flow_fact=maintained.published(spark, fact, dims.areas, dims.codes))
     report = files.union_by_name(
         quality, gold.constraint_report({name: published[name] for name in gold.CONSTRAINTS})

@@ -9,13 +9,14 @@ breaks off is invisible and is written again by the next run.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.quality import expect_report
 from ..sources import files, store
 from ..sources.literals import literal_table
 
@@ -33,6 +34,8 @@ class Feed:
     columns: Sequence[str]  # declared, all text
     folders: Mapping[str, str] = field(default_factory=dict)  # columns that folder names give, with their types
     max_files: int = 1000  # of a lot
+    typed: Callable[[DataFrame], DataFrame] | None = None  # what the checks look at, from the rows of a lot
+    checks: Mapping[str, Column] = field(default_factory=dict)
 
     @property
     def declared(self) -> T.StructType:
@@ -83,13 +86,29 @@ def _write_lot(spark: SparkSession, feed: Feed, listed: list[tuple], lot: int) -
     entry = known.join(counted, known.arquivo == counted._arquivo_origem, "left").select(
         "arquivo", "tamanho", *at.values(), F.coalesce("linhas", F.lit(0)).alias("linhas"), F.coalesce("resgatadas", F.lit(0)).alias("resgatadas"),
         F.current_timestamp().alias("ingerido_em"))
-    # The entry is what makes the lot visible, so it appears in one step.
-    staged, place = f"{feed.bronze}/_livro_{lot}", f"{feed.bronze}/livro/{LOT}={lot}"
-    entry.coalesce(1).write.mode("overwrite").parquet(staged)
+    if feed.checks:
+        measured = expect_report(rows if feed.typed is None else feed.typed(rows), feed.checks)
+        _appear(spark, measured.withColumn("medido_em", F.current_timestamp()), feed, "qualidade", lot)
+    _appear(spark, entry, feed, "livro", lot)  # this entry is what makes the lot visible
+
+
+def _appear(spark: SparkSession, df: DataFrame, feed: Feed, book: str, lot: int) -> None:
+    """A few rows about a lot, there in one step; what an unfinished run left is replaced."""
+    staged, place = f"{feed.bronze}/_{book}_{lot}", f"{feed.bronze}/{book}/{LOT}={lot}"
+    df.coalesce(1).write.mode("overwrite").parquet(staged)
     store.remove(spark, place)
     store.move(spark, staged, place)
 
 
+def quality_history(spark: SparkSession, feed: Feed) -> DataFrame:
+    """(_lote, expectativa, linhas, violacoes, medido_em): what the checks found in every lot of the ledger."""
+    schema = f"expectativa string, linhas bigint, violacoes bigint, medido_em timestamp, {LOT} int"
+    if not store.exists(spark, f"{feed.bronze}/qualidade"):
+        return spark.createDataFrame([], schema)
+    found = spark.read.schema(schema).option("basePath", f"{feed.bronze}/qualidade").parquet(f"{feed.bronze}/qualidade")
+    return found.where(F.col(LOT) <= last_lot(spark, feed))
+
+
 def ledger(spark: SparkSession, feed: Feed) -> DataFrame:
     """(arquivo, tamanho, folder columns, linhas, resgatadas, ingerido_em, _lote): one row for each file that landed."""
     keys = ", ".join(f"`{n}` {k}, " for n, k in feed.folders.items()).replace(", ,", ",")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from statweave.sources import files, landing, store
 from statweave.streaming import ledger
@@ -131,3 +133,15 @@ def test_a_bounded_load_takes_the_first_releases(spark, tmp_path):
     for most, there in ((2, 2), (0, 2), (3, 5), (100, 8)):
         landing.land(spark, release(spark, *ROWS), path, most=most)
         assert set(map(tuple, landing.landed_releases(spark, path).collect())) == set(STEPS[:there])
+
+
+def test_checks_are_measured_lot_by_lot(spark, feed):
+    checked = replace(feed, max_files=1000, typed=lambda raw: raw.withColumn("anos", F.col("idade").try_cast("int")),
+                      checks={"lida": F.col("anos").isNotNull(), "adulta": F.col("anos") >= 18})
+    assert ledger.quality_history(spark, checked).count() == 0
+    for rows in ([("MOV", 1, "20"), ("MOV", 1, "x"), ("MOV", 1, None)], [("MOV", 2, "17")]):
+        landing.land(spark, release(spark, *rows), checked.landing)
+        ledger.ingest(spark, checked)
+    assert values(ledger.quality_history(spark, checked).select("_lote", "expectativa", "linhas", "violacoes")) == [
+        (0, "adulta", 3, 2), (0, "lida", 3, 2), (1, "adulta", 1, 1), (1, "lida", 1, 0)]
+    assert ledger.rows(spark, checked).count() == 4

@@ -325,3 +325,10 @@ def test_profile_means_survive_texts_that_are_no_amounts(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 1e200), ("b", 3.0), ("c", None)], "k string, v double")
     got = {r.k: r.media for r in profile.percentile_profile(df, ["k"], F.col("v"), {"p50": 0.5}).collect()}
     assert got == {"a": 2.0, "b": pytest.approx(5e199), "c": None}
+
+
+def test_drops_are_counted_by_rule(spark):
+    df = spark.createDataFrame([(1, 1), (-1, 1), (None, 1), (-1, -1), (1, -1)], "v int, w int")
+    got = quality.drop_report(df, {"v": "v > 0", "w": F.col("w") > 0}).collect()
+    assert [tuple(r) for r in got] == [("v", 5, 3, 2), ("w", 5, 2, 1)]
+    assert quality.expect_or_drop(df, {"v": "v > 0", "w": "w > 0"}).count() == 1
