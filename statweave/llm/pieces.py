@@ -23,11 +23,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from .common import mix, slices
+from .common import Cache, mix, slices
 
 BLANK = "▁"
-CACHED = 500_000  # words a worker remembers
+CACHED = 64 << 20  # bytes of words a worker remembers
+ROWS = 250  # texts worked on at once
 LONG = 200  # longer words go one by one
 UNKNOWN_PENALTY = 10.0
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -71,8 +73,7 @@ class Pieces:
             raise ValueError("two pieces share a hash")
         self.maybe = np.zeros(1 << 22, bool)  # most substrings are no piece: one look tells
         self.maybe[self.keys >> np.uint64(42)] = True
-        self.later: dict[str, bytes] = {}
-        self.units: dict[str, bytes] = {}
+        self.later, self.units = Cache(CACHED), Cache(CACHED // 4)
 
     def _prefixes(self, points: np.ndarray) -> np.ndarray:
         """Hashes of the first 0, 1, 2, ... characters of each row."""
@@ -174,11 +175,10 @@ class Pieces:
         cut = [None if c is None or "" in c else c for c in cut]
         odd = {k: _UNIT.findall(((BLANK if self.prefix and t else "") + t.replace(" ", BLANK)))
                for k, (t, c) in enumerate(zip(texts, cut)) if c is None}
-        for kept, blank, words in ((self.later, BLANK, {w for c in cut if c for w in c}), (self.units, "", {u for o in odd.values() for u in o})):
-            if len(kept) > CACHED:
-                kept.clear()
-            new = list(words - kept.keys())
-            kept.update(zip(new, self.segment([blank + w for w in new])))
+        for kept, blank, words in ((self.later, BLANK, filter(None, cut)), (self.units, "", odd.values())):
+            kept.make_room()
+            new = kept.missing(words)
+            kept.learn(new, self.segment([blank + w for w in new]))
         return [b"".join(map(self.later.__getitem__, c)) if c is not None else b"".join(map(self.units.__getitem__, odd[k]))
                 for k, c in enumerate(cut)]
 
@@ -212,7 +212,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         source = pieces(model)
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, ROWS):
                 texts = batch.column("text").to_pylist()
                 ids = [np.frombuffer(x, f"<u{source.item}") for x in source.encode(texts)]
                 columns = [batch.column("id"), pa.array([len(x) for x in ids], pa.int64()),
@@ -230,20 +230,24 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
 
 
 def with_tokens(docs: DataFrame, model: str, text_col: str = "text", name: str = "tokens") -> DataFrame:
-    """`docs` with a column of ids; the text is what decoding them gives. NULL texts stay NULL and have no ids."""
-
-    @F.arrow_udf("struct<ids:array<int>,text:string>")
-    def code(texts: pa.Array) -> pa.Array:
-        source, flat, back, ends = pieces(model), [np.zeros(0, np.int32)], [], [0]
-        for some in slices(texts):
-            given = some.to_pylist()
-            for text, coded in zip(given, source.encode([t or "" for t in given])):
-                ids = np.frombuffer(coded, f"<u{source.item}")
-                flat.append(ids.astype(np.int32))
-                ends.append(ends[-1] + len(ids))
-                back.append(None if text is None else source.decode(ids))
-        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat))), pa.array(back, pa.string())], names=["ids", "text"])
-
-    rest = [c for c in docs.columns if c != name]
-    coded = docs.select(*(F.col(c) for c in rest), code(F.col(text_col)).alias("__coded"))
-    return coded.select(*(F.col("__coded.text").alias(c) if c == text_col else F.col(c) for c in rest), F.col("__coded.ids").alias(name))
+    """`docs` with a column of ids; the text is what decoding them gives. NULL texts stay NULL and have no ids.
+
+    A few hundred texts are worked on at once and handed on, so memory does not grow with a batch's texts.
+    """
+    rest = docs.drop(name)
+    schema = StructType([*rest.schema.fields, StructField(name, ArrayType(IntegerType()))])
+    at = rest.columns.index(text_col)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        source = pieces(model)
+        for whole in batches:
+            for some in slices(whole, ROWS):
+                given = some.column(at).to_pylist()
+                ids = [np.frombuffer(x, f"<u{source.item}") for x in source.encode([t or "" for t in given])]
+                columns = list(some.columns)
+                columns[at] = pa.array([None if t is None else source.decode(i) for t, i in zip(given, ids)], pa.string())
+                ends = np.cumsum([0] + [len(i) for i in ids]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32))))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return rest.mapInArrow(work, schema)

@@ -147,8 +147,56 @@ def secrets_in(text: str) -> bool:
 
 
 def brute_quick(texts: dict[int, str]) -> dict[int, int]:
-    """brute() over groups that share a shingle at all would be the same; lengths rule most pairs out."""
-    return brute(list(texts.items()))
+    """Components at the threshold of the pipeline's stage."""
+    return brute(list(texts.items()), percent=80)
+
+
+@pytest.fixture
+def own_tables(spark, tmp_path):
+    """Write a documents table beside the given labels and benchmark; its folder."""
+    def write(docs):
+        for name in ("labels", "benchmark"):
+            spark.read.parquet(f"{BIG}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+        docs.write.parquet(f"{tmp_path}/documents.parquet")
+        return str(tmp_path)
+    return write
+
+
+def test_pipeline_of_odd_rows(spark, odd, odd_rows, own_tables):
+    extra = odd.columns[5:]
+    docs = odd.withColumnRenamed("key", "set_")  # one more column of every row, whatever its name
+    folder = own_tables(docs.coalesce(1))
+    out = corpus_pipeline.run(spark, folder)
+    assert out.columns == [*docs.columns, "tokens"] and len(extra) > 5
+    rows = [tuple(r)[:2] for r in out.collect()]
+    # Of the copies of the base text and its near copy one stays; blank and NULL texts and all others do.
+    assert sorted(r[0] for r in rows if r[0] is not None) == [1, 4, 5, 6, 7, 8, 10, 11]
+    assert {t for i, t in rows if i in (4, 5)} == {None, ""}
+
+
+def test_pipeline_of_an_empty_table(spark, empty, own_tables):
+    out = corpus_pipeline.run(spark, own_tables(empty))
+    assert out.count() == 0 and out.columns == [*empty.columns, "tokens"]
+
+
+def test_cache_forgets_the_older_half():
+    cache = token_files.Cache(1000)
+    for k in range(30):
+        cache.make_room()
+        new = cache.missing([[f"w{k}", f"w{k}"], ["w0"]])
+        assert f"w{k}" in new
+        cache.learn(new, [b"xx"] * len(new))
+    assert len(cache) < 12 and "w29" in cache and cache.bytes <= 1000 + 3 * 210
+
+
+def test_encoder_with_a_small_cache(texts, monkeypatch):
+    monkeypatch.setattr(token_files, "CACHED", 20_000)
+    monkeypatch.setattr(token_files, "LOT", 7)
+    library, own = Tokenizer.from_file(BPE), token_files.Encoder(BPE)
+    given = [*texts.values(), "'s 're\x85x a\x1fb c", "\u180e a", "tail ", " a b"]
+    for at in range(0, len(given), 10):
+        want = [e.ids for e in library.encode_batch(given[at:at + 10], add_special_tokens=False)]
+        assert [np.frombuffer(x, "<u2").tolist() for x in own.encode(given[at:at + 10])] == want
 
 
 def test_stages_keep_odd_rows(spark, odd, odd_rows):
