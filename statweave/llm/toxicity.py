@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 TOKEN = re.compile(r"\w+")
 SAMPLE, CLEAN = 600, 1500  # toxic and clean labelled documents that are learned from, at most
 CUES = 500  # cue words kept, at most
@@ -100,7 +102,7 @@ def _summary(p: np.ndarray) -> np.ndarray:
     return np.array([1.0, math.log1p(p.sum()), p.max() if len(p) else 0.0])
 
 
-def _cues(texts: list[list[str]], toxic: np.ndarray) -> dict[str, int]:
+def _cues(texts: list[list[str]], toxic: np.ndarray, most: int = CUES) -> dict[str, int]:
     seen: dict[str, tuple[set, set]] = defaultdict(lambda: (set(), set()))
     for words, label in zip(texts, toxic):
         first = {w: c for *c, w in zip(["", *words][-2::-1], [*words[1:], ""][::-1], words[::-1])}
@@ -109,26 +111,46 @@ def _cues(texts: list[list[str]], toxic: np.ndarray) -> dict[str, int]:
     n = [max(1, int((toxic == k).sum())) for k in (0, 1)]
     least = max(MIN_CONTEXTS, n[1] * MIN_SHARE)
     ratio = {w: (len(t) / n[1]) / ((len(c) + 0.5) / n[0]) for w, (c, t) in seen.items() if len(t) >= least}
-    best = sorted((w for w in ratio if ratio[w] >= MIN_RATIO), key=lambda w: (-ratio[w], w))[:CUES]
+    best = sorted((w for w in ratio if ratio[w] >= MIN_RATIO), key=lambda w: (-ratio[w], w))[:most]
     return {w: k for k, w in enumerate(sorted(best))}
 
 
+def _stretches(tokens: np.ndarray, none: int) -> list[tuple[int, int]]:
+    """Pieces of SEGMENT tokens at most that hold all cues with their surroundings, and one from the middle of the text."""
+    half, out = SEGMENT // 2, []
+    for at in np.flatnonzero(tokens < none).tolist():
+        low, high = max(0, at - half), min(len(tokens), at + half)
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], high)
+        else:
+            out.append((low, high))
+    middle = len(tokens) // 2
+    if not any(low <= middle < high for low, high in out):
+        out.append((max(0, middle - half), min(len(tokens), middle + half)))
+    return [(k, min(k + SEGMENT, high)) for low, high in out for k in range(low, high, SEGMENT)]
+
+
 def _fit_field(texts: list[list[str]], toxic: np.ndarray, field: Field) -> tuple[np.ndarray, float, np.ndarray, float]:
-    """Weights by gradient ascent on the likelihood of the derived labels, over stretches around cues and elsewhere."""
-    none, rows, labels = len(field.cues), [], []
+    """Weights by gradient ascent on the likelihood of the derived labels, over stretches around all cues and elsewhere.
+
+    Stretches that overlap are one; shorter ones, such as whole short texts, are filled up
+    and the filling is masked.
+    """
+    none, rows, labels, lengths = len(field.cues), [], [], []
     for words, label in zip(texts, toxic):
         cues = field.hits(words)
         tokens = np.array([cues.get(w, none) for w in words] or [none])
-        at = np.flatnonzero(tokens < none)[:4]
-        for middle in [*at, len(tokens) // 2]:
-            first = max(0, min(int(middle) - SEGMENT // 2, len(tokens) - SEGMENT))
-            piece = tokens[first:first + SEGMENT]
-            if len(piece) == SEGMENT:
-                rows.append(piece)
-                labels.append((piece < none) & bool(label))
+        for low, high in _stretches(tokens, none):
+            piece = np.full(SEGMENT, none)
+            piece[:high - low] = tokens[low:high]
+            rows.append(piece)
+            labels.append((piece < none) & bool(label))
+            lengths.append(high - low)
     if not rows:
         return np.zeros(none), -8.0, np.zeros((2, 2)), -4.0
     x, y = np.array(rows), np.array(labels).astype(int)
+    real_at = np.arange(SEGMENT) < np.array(lengths)[:, None]
+    stepped = real_at[:, 1:]
     lanes = np.arange(len(x))
     w, s, b = np.zeros(none + 1), np.zeros((2, 2)), np.zeros(1)
     params, slow, fast = [w, s, b], [0, 0, 0], [0, 0, 0]
@@ -142,16 +164,18 @@ def _fit_field(texts: list[list[str]], toxic: np.ndarray, field: Field) -> tuple
         for t in range(1, SEGMENT):
             forward[:, t] = (forward[:, t - 1] @ step) * emit[:, t]
             forward[:, t] /= forward[:, t].sum(axis=1, keepdims=True)
+            forward[~real_at[:, t], t] = forward[~real_at[:, t], t - 1]
         for t in range(SEGMENT - 2, -1, -1):
             backward[:, t] = (emit[:, t + 1] * backward[:, t + 1]) @ step.T
             backward[:, t] /= backward[:, t].sum(axis=1, keepdims=True)
+            backward[~real_at[:, t + 1], t] = 1.0
         p = forward * backward
         p /= p.sum(axis=2, keepdims=True)
         pair = forward[:, :-1, :, None] * step * (emit[:, 1:] * backward[:, 1:])[:, :, None, :]
         pair /= pair.sum(axis=(2, 3), keepdims=True)
         real = np.zeros((2, 2))
-        np.add.at(real, (y[:, :-1].ravel(), y[:, 1:].ravel()), 1)
-        up = [np.bincount(x.ravel(), (y - p[:, :, 1]).ravel(), none + 1) - 0.5 * w, real - pair.sum(axis=(0, 1)) - 0.5 * s,
+        np.add.at(real, (y[:, :-1][stepped], y[:, 1:][stepped]), 1)
+        up = [np.bincount(x.ravel(), ((y - p[:, :, 1]) * real_at).ravel(), none + 1) - 0.5 * w, real - pair[stepped].sum(axis=0) - 0.5 * s,
               np.array([(y[:, 0] - p[lanes, 0, 1]).sum()]) - 0.5 * b]
         up[1][0, 0] = 0.0  # staying clean is the reference
         for k, g in enumerate(up):  # each weight moves by a step of its own size
@@ -181,11 +205,14 @@ def _fit_score(field: Field, texts: list[list[str]], toxic: np.ndarray, rate: fl
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          sample: int = SAMPLE, clean: int = CLEAN) -> Field:
+          sample: int = SAMPLE, clean: int = CLEAN, most_cues: int = CUES) -> Field:
     """Learn from at most `sample` toxic and `clean` other labelled documents, chosen by a hash of their id.
 
+    The field keeps the `most_cues` words that tell toxic documents best, and learns from the
+    surroundings of every place where one of them stands, in whole texts of any length.
+
     Only labelled ids are picked from `labels`; their texts are the only thing brought to the
-    driver. Ids with a NULL label are left out; repeated ids count once (toxic wins). Without
+    driver. Ids with a NULL label are left out; repeated ids count once (toxic wins, and of several texts the least). Without
     rows of both labels nothing is learned: the score is then the rate of the label.
     """
     marked = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(
@@ -200,12 +227,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     few = [marked.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(n) for k, n in ((0, clean), (1, sample))]
     chosen = few[0].union(few[1])  # at most `sample` and `clean` rows of an id and a label
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text IS NOT NULL").join(
-        F.broadcast(chosen), "id").select("id", "text", "label").dropDuplicates(["id"]).orderBy("id").collect()
+        F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text")).orderBy("id").collect()
     texts, toxic = [r["text"] for r in rows], np.array([r["label"] for r in rows], int)
     if not 0 < toxic.sum() < len(toxic):
         return flat
     words = [[w.lower() for w in TOKEN.findall(t)] for t in texts]
-    cues = _cues(words, toxic)
+    cues = _cues(words, toxic, most_cues)
     if not cues:
         return flat
     field = Field(cues, np.zeros(len(cues)), 0.0, np.zeros((2, 2)), 0.0, np.zeros(3))
@@ -219,7 +246,7 @@ def judged(text: Column, field: Field) -> Column:
 
     @F.arrow_udf(RESULT)
     def judge(texts: pa.Array) -> pa.Array:
-        found = [field.judge(t) for t in texts.to_pylist()]
+        found = [field.judge(t) for some in slices(texts) for t in some.to_pylist()]
         spans = [[{"start": a, "end": b, "p": p} for a, b, p in s] for _, s in found]
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))
         return pa.StructArray.from_arrays([pa.array([s for s, _ in found], pa.float64()), pa.array(spans, kind)], names=["score", "spans"])
