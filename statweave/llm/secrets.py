@@ -1,8 +1,8 @@
 """Secrets in texts, with Spark expressions only.
 
 Base kinds are patterns that stand alone. Weak parts (identifiers, keys, endpoints) are
-reported only together: an interval join finds which parts of other roles start within one
-scope of them in the same text.
+reported only together: an interval join finds which parts of other roles lie within one
+scope of them in the same text, counted from the end of one part to the start of the other.
 
 Places come from the pattern itself: cutting a text at its matches gives the gaps between
 them, and running sums of gap and match lengths are the offsets.
@@ -28,7 +28,7 @@ WEAK = (
     ("endpoint", r"""https?://[^\x00-\x20"'<>]{4,}|[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(:[0-9]{2,5})?"""),
 )
 KINDS = [k[0] for k in BASE] + [k[0] for k in WEAK]
-SCOPE = 200  # code points between the starts of parts that belong together
+SCOPE = 200  # code points between parts that belong together, at most
 PLACE = "struct<at:int,kind:int,end:int>"
 
 
@@ -62,12 +62,18 @@ def _joined(spans: Column) -> Column:
 
 
 def _near(parts: DataFrame, others: DataFrame) -> DataFrame:
-    """Parts that start within a scope of one of the others: joined by text and stretch of text."""
-    stretch = F.floor(F.col("at") / SCOPE)
-    left = parts.withColumn("stretch", F.explode(F.array(stretch - 1, stretch, stretch + 1)))
-    right = others.select(F.col("key").alias("key_"), F.col("at").alias("at_"), stretch.alias("stretch_"))
+    """Parts with at most a scope between them and one of the others: joined by text and stretch of text.
+
+    A part is dealt to every stretch that it touches, the left side also to those within a
+    scope of it, so parts of any length meet.
+    """
+    def stretches(at: Column, end: Column) -> Column:
+        return F.explode(F.sequence(F.floor(at / SCOPE), F.floor(end / SCOPE)))
+
+    left = parts.withColumn("stretch", stretches(F.col("at") - SCOPE, F.col("end") + SCOPE))
+    right = others.select(F.col("key").alias("key_"), F.col("at").alias("at_"), F.col("end").alias("end_"), stretches(F.col("at"), F.col("end")).alias("stretch_"))
     met = left.join(right, (F.col("key") == F.col("key_")) & (F.col("stretch") == F.col("stretch_"))
-                    & (F.abs(F.col("at") - F.col("at_")) <= SCOPE), "left_semi")
+                    & (F.greatest("at", "at_") - F.least("end", "end_") <= SCOPE), "left_semi")
     return met.drop("stretch").distinct()
 
 

@@ -24,7 +24,7 @@ def _hits(kind: str, pattern: str, group: int) -> str:
 _PATTERNS = [*s.BASE, *((kind, pattern, 0, 0) for kind, pattern in s.WEAK)]
 _NAMES = "[" + ", ".join(f"'{k}'" for k in s.KINDS) + "]"
 _TEXT = f"array_to_string(list_transform(list_sort({{}}), lambda x: {_NAMES}[x.kind + 1] || ':' || x.at || ':' || x.fin), ',')"
-_NEAR = f"abs(o.at - w.at) <= {s.SCOPE}"
+_NEAR = f"greatest(o.at, w.at) - least(o.fin, w.fin) <= {s.SCOPE}"
 
 SECRETS = f"""
 WITH hits AS (SELECT doc_id, coalesce(text, '') AS t, {', '.join(_hits(k, p, g) for k, p, g, _ in _PATTERNS)} FROM documents),

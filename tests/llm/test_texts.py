@@ -58,6 +58,41 @@ def test_weak_parts_only_with_complements(spark):
     assert [r.text for r in masked] == ["[secret] and [secret] x", "[secret] tail", None, "clean"]
 
 
+def test_long_parts_belong_together_by_their_nearest_ends(spark):
+    """The distance of two parts runs from the end of one to the start of the other, whatever their lengths."""
+    name, scope = "AB12CD34EF56", secrets.SCOPE
+    for size in (30, 300, 1500):
+        key = ("aB3" * size)[:size]
+        near = [f"{key} {name}", f"{name} {key}", f"{key}{' ' * scope}{name}", f"{name}{'.' * scope}{key}", f"{key} https://host.example/x"]
+        far = [f"{key}{' ' * (scope + 1)}{name}", f"{name}{'.' * (scope + 1)}{key}"]
+        rows = secrets.scan(made(spark, *near, *far)).orderBy("doc_id").collect()
+        assert [len(r.linked) for r in rows] == [2] * len(near) + [0] * len(far)
+        masked = secrets.without_secrets(made(spark, *near, *far)).orderBy("doc_id").collect()
+        assert all(key not in r.text for r in masked[:len(near)]) and [r.text for r in masked[len(near):]] == far
+
+
+def test_links_by_brute_force(spark):
+    rng = random.Random(8)
+    bits = ["AB12CD34EF56", "aB3" * 9, "xY7" * 110, "https://host.example/x", "token=abcdefghijkl1", "AKIA" + "Q7" * 8, "word " * 19, "." * 97, " ", "word " * 41]
+    texts = ["".join(rng.choice(bits) + rng.choice([" ", "; "]) for _ in range(rng.randint(1, 9))) for _ in range(60)]
+    rows = secrets.scan(made(spark, *texts)).collect()
+    kinds = secrets.KINDS
+    needs = {"id": ("assign", "hex", "key"), "key": ("access", "id", "endpoint"), "endpoint": ("assign", "hex", "key", "access", "id")}
+    for r in rows:
+        spans = [(kinds.index(k), int(a), int(b)) for k, a, b in (s.split(":") for s in r.spans.split(",") if s)]
+        text = texts[r.doc_id]
+        base = base_spans(text)
+        weak = []
+        for kind, pattern in secrets.WEAK:
+            for m in re.finditer(pattern, text):
+                mixed = re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])
+                if (kind == "endpoint" or mixed) and not any(a < m.end() and m.start() < b for a, _, b in base):
+                    weak.append((kinds.index(kind), m.start(), m.end()))
+        parts = weak + [(k, a, b) for a, k, b in base]
+        want = {w for w in weak if any(kinds[o[0]] in needs[kinds[w[0]]] and max(w[1], o[1]) - min(w[2], o[2]) <= secrets.SCOPE for o in parts)}
+        assert {s for s in spans if s[0] > 2} == want
+
+
 def test_secrets_equal_sql_and_stay_on_the_jvm(spark):
     assert difference(spark, connect(BIG), BIG, QUERIES["op2_secret_scan"], ORACLES["op2_secret_scan"]) is None
     plan = QUERIES["op2_secret_scan"](spark, BIG)._jdf.queryExecution().toString()
@@ -261,6 +296,53 @@ def test_marginals_by_brute_force():
         assert field.marginals([tokens[k] for k in at], gaps, len(tokens) - at[-1] - 1) == pytest.approx((toxic / total)[at])
 
 
+def test_stretches_hold_all_cues():
+    rng = np.random.default_rng(6)
+    for size in (1, 5, 23, 24, 25, 400):
+        for cues in (0, 1, 9, size):
+            tokens = np.full(size, 7)
+            tokens[rng.choice(size, min(size, cues), replace=False)] = 3
+            found = toxicity._stretches(tokens, 7)
+            held = [k for low, high in found for k in range(low, high)]
+            assert len(held) == len(set(held)) and all(0 < high - low <= toxicity.SEGMENT for low, high in found)
+            for at in np.flatnonzero(tokens < 7):
+                assert set(range(max(0, at - 12), min(size, at + 12))) <= set(held)
+
+
+def test_short_documents_teach_the_field():
+    """Texts of a few tokens only, and cues that stand late in a text, give their words weights."""
+    toxic = np.array([1] * 30 + [0] * 30)
+    short = [["you", "late" if k % 2 else "soon"] for k in range(30)] + [["good", "day"]] * 30
+    long = [["word"] * 300 + ["soon"] * 5 + ["word"] * 300 + ["late"] for _ in range(30)] + [["word"] * 600] * 30
+    for texts in (short, long):
+        field = toxicity.Field({"late": 0, "soon": 1}, np.zeros(2), 0.0, np.zeros((2, 2)), 0.0, np.zeros(3))
+        weights, background, *_ = toxicity._fit_field(texts, toxic, field)
+        assert (weights > 1).all() and (weights > background + 1).all()
+
+
+def test_padding_changes_nothing():
+    """A short text has the weights that a plain gradient over its own tokens finds."""
+    texts, toxic = [["bad", "x", "x"], ["x", "bad"], ["x", "x", "x", "x"]] * 10, np.array([1, 1, 0] * 10)
+    field = toxicity.Field({"bad": 0}, np.zeros(1), 0.0, np.zeros((2, 2)), 0.0, np.zeros(3))
+    w, background, steps, start = toxicity._fit_field(texts, toxic, field)
+
+    def likelihood(w0, w1, s, b):
+        total = -0.25 * (w0**2 + w1**2 + (s**2).sum() + b**2)
+        for words, label in zip(texts, toxic):
+            emit = [w0 if x == "bad" else w1 for x in words]
+            states = [int(x == "bad" and label) for x in words]
+            score = lambda path: b * path[0] + sum(e * k for e, k in zip(emit, path)) + sum(s[p, q] for p, q in zip(path, path[1:]))
+            total += score(states) - np.log(sum(np.exp(score(p)) for p in itertools.product((0, 1), repeat=len(words))))
+        return total
+
+    best = likelihood(w[0], background, steps, start)
+    rng = np.random.default_rng(1)
+    for _ in range(40):
+        move = rng.normal(0, 0.3, 5)
+        other = steps + np.array([[0, move[2]], [move[3], move[4]]])
+        assert likelihood(w[0] + move[0], background + move[1], other, start) < best + 0.02
+
+
 def test_toxicity_accuracy_spans_and_odd_rows(spark, odd, odd_rows, empty):
     docs, labels = (spark.read.parquet(f"{BIG}/{t}.parquet") for t in ("documents", "labels"))
     out = QUERIES["op8_toxicity"](spark, BIG).join(labels, "doc_id").where("held_out")
