@@ -28,8 +28,8 @@ from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 from .common import Cache, mix, slices
 
 BLANK = "▁"
-CACHED = 64 << 20  # bytes of words a worker remembers
-ROWS = 250  # texts worked on at once
+CACHED = 80 << 20  # bytes of words a worker remembers
+ROWS = 500  # texts worked on at once
 LONG = 200  # longer words go one by one
 UNKNOWN_PENALTY = 10.0
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
