@@ -9,10 +9,12 @@ The class is predicted by one layer of causal attention over the ids before it,
 numpy. p(id | class) and the word counts come from all texts that may be learned from: words are counted by
 Spark, and the ids of each different word are weighted with its count.
 
-The attention weights are learned in two steps. A first fit on the driver uses a bounded
-sample of windows. Then a window of every text that may be learned from is dealt into shards of
-bounded size; each shard goes on from the first fit for one pass, and the weights of all
-shards are averaged, level by level, by grouped sums. What is gathered so grows with the corpus.
+The attention weights are learned in two steps. A first fit on the driver, from a bounded
+number of windows, only gives the weights from which the second step sets out. That step goes
+over every id of every text that may be learned from: each task cuts its whole texts into
+windows, gathers them in shards of bounded size, and each shard goes on from the first weights
+for one pass; the weights of all shards are averaged, by their windows, level by level. What is
+learned so grows with the corpus, and nothing but weights is moved.
 
 A text longer than a window is scored in windows that overlap: each window after the first
 scores only its last ids and has the others as context, so each id is scored once. Windows
@@ -29,11 +31,11 @@ import re
 import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +44,8 @@ from .common import per_group, slices, written
 WIDTH, CONTEXT = 32, 8  # ids in a window; ids of a later window that are context only
 DIMS, ROWS, OWN, GROUPS = 16, 4096, 48, 48  # vector size, ids with a vector of their own, classes of one id, other classes
 SAMPLE, STEPS, PASSES = 8192, 768, 12  # windows of the first fit; steps to take, but no more passes than so many
-SHARD = 16_384  # windows of a shard of the second step
+SHARD = 16_384  # windows of a shard of the second step, at most
+TEXTS = 250  # texts coded at once
 AVERAGED = 64  # sets of weights added up in one task
 HOT = 200_000  # words whose counts every task knows, at most
 LONGEST = 64  # bytes of such a word
@@ -112,11 +115,24 @@ def words_of(text: str | None) -> list[bytes]:
 # --- the model --------------------------------------------------------------------
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=-1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=-1, keepdims=True)
-    return x
+def _softmax(x: np.ndarray, seen: np.ndarray | None = None) -> np.ndarray:
+    """Shares of the powers in the last axis; where `seen` is 0 they are 0."""
+    out = np.exp(x)
+    if seen is not None:
+        out *= seen
+    total = (out.reshape(-1, x.shape[-1]) @ np.ones(x.shape[-1], np.float32)).reshape(*x.shape[:-1], 1)
+    if not (np.isfinite(total) & (total > 1e-30)).all():  # numbers too large or too small for plain powers
+        if seen is not None:
+            x = np.where(seen > 0, x, -np.inf)
+        out = np.exp(x - x.max(axis=-1, keepdims=True))
+        total = out.sum(axis=-1, keepdims=True)
+    out /= total
+    return out
+
+
+def _by(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """x @ w as one product over all places, not one for each window."""
+    return (x.reshape(-1, x.shape[-1]) @ w).reshape(*x.shape[:-1], -1)
 
 
 class Attention:
@@ -135,24 +151,20 @@ class Attention:
             self.parts[name] = self.weights[at:at + int(np.prod(shape))].reshape(shape)
             at += int(np.prod(shape))
         self.seen = np.tri(width, dtype=np.float32)
-        self.mask = np.where(self.seen > 0, 0, -1e9).astype(np.float32)
 
     def hidden(self, inputs: np.ndarray, first: int = 0) -> tuple[np.ndarray, ...]:
         """Vectors after attention, for the places of each window from `first` on; and what they came from."""
         w = self.parts
         x = w["E"][inputs] + w["P"]
         own = x[:, first:]
-        q, k, v = own @ w["Q"], x @ w["K"], x @ w["V"]
-        a = q @ k.transpose(0, 2, 1)
-        a *= np.float32(self.dims**-0.5)
-        a += self.mask[first:]
-        a = _softmax(a)
+        q, k, v = _by(own, w["Q"]), _by(x, w["K"]), _by(x, w["V"])
+        a = _softmax((q * np.float32(self.dims**-0.5)) @ k.transpose(0, 2, 1), self.seen[first:])
         o = a @ v
-        return own + o @ w["O"], x, q, k, v, a, o
+        return own + _by(o, w["O"]), x, q, k, v, a, o
 
     def chances(self, inputs: np.ndarray, first: int = 0) -> np.ndarray:
         """Class distribution at each place from `first` on."""
-        return _softmax(self.hidden(inputs, first)[0] @ self.parts["U"] + self.parts["c"])
+        return _softmax(_by(self.hidden(inputs, first)[0], self.parts["U"]) + self.parts["c"])
 
     def folded(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Weights multiplied out for scoring: vectors with a one behind them, places, query by key, value to classes."""
@@ -167,13 +179,15 @@ class Attention:
         x = vectors[inputs]
         x += places
         own, d = x[:, first:], self.dims
-        a = np.exp((own @ keys) @ x.transpose(0, 2, 1))
+        a = _by(own, keys) @ x.transpose(0, 2, 1)
+        np.exp(a, out=a)
         a *= self.seen[first:]
         o = a @ x  # the last column adds up the weights
         both = np.concatenate([own, o[..., :d] / o[..., d:]], axis=2).reshape(-1, 2 * d + 1)
         z = both @ classes
         hit = z[np.arange(len(z)), targets.ravel()]
-        out = hit - np.log(np.exp(z) @ np.ones(z.shape[1], np.float32))
+        np.exp(z, out=z)
+        out = hit - np.log(z @ np.ones(z.shape[1], np.float32))
         if not np.isfinite(out).all():  # numbers too large for plain powers
             p = self.chances(inputs, first).reshape(len(z), -1)
             out = np.log(p[np.arange(len(z)), targets.ravel()] + np.float32(1e-30))
@@ -183,24 +197,32 @@ class Attention:
         """Mean negative log likelihood of the target classes at real places, and its gradient."""
         w, n = self.parts, max(1, int(real.sum()))
         h, x, q, k, v, a, o = self.hidden(inputs)
-        p = _softmax(h @ w["U"] + w["c"])
-        b, t = np.nonzero(real)
-        loss = -float(np.log(p[b, t, targets[b, t]] + 1e-30).sum()) / n
-        p[b, t, targets[b, t]] -= 1
-        p *= real[..., None] / np.float32(n)
         flat = lambda y: y.reshape(-1, y.shape[-1])
+        h, t = flat(h), targets.ravel()
+        p = h @ w["U"]
+        p += w["c"]
+        p = _softmax(p)
+        hit, real = np.arange(len(p)), real.ravel()
+        loss = -float(np.log(p[hit, t] + 1e-30)[real].sum()) / n
+        p[hit, t] -= 1
+        p *= np.float32(1 / n)
+        p[~real] = 0
         dh = p @ w["U"].T
-        do = dh @ w["O"].T
-        da = do @ v.transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(axis=-1, keepdims=True)) * np.float32(self.dims**-0.5)
-        dq, dk, dv = ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ do
+        do = (dh @ w["O"].T).reshape(o.shape)
+        ds = do @ v.transpose(0, 2, 1)
+        ds -= (do * o).sum(axis=-1, keepdims=True)  # the same as the sum of a by its gradient
+        ds *= a
+        ds *= np.float32(self.dims**-0.5)
+        dq, dk, dv = flat(ds @ k), flat(ds.transpose(0, 2, 1) @ q), flat(a.transpose(0, 2, 1) @ do)
         dx = dh + dq @ w["Q"].T + dk @ w["K"].T + dv @ w["V"].T
-        rows, back = np.unique(inputs, return_inverse=True)
-        order = np.argsort(back.ravel(), kind="stable")
+        order = np.argsort(inputs.ravel(), kind="stable")
+        held = inputs.ravel()[order]
+        starts = np.flatnonzero(np.r_[True, held[1:] != held[:-1]])
         e = np.zeros(self.shapes["E"], np.float32)
-        e[rows] = np.add.reduceat(flat(dx)[order], np.searchsorted(back.ravel()[order], np.arange(len(rows))), axis=0)
-        grads = {"E": e, "P": dx.sum(axis=0), "Q": flat(x).T @ flat(dq), "K": flat(x).T @ flat(dk), "V": flat(x).T @ flat(dv),
-                 "O": flat(o).T @ flat(dh), "U": flat(h).T @ flat(p), "c": flat(p).sum(axis=0)}
+        e[held[starts]] = np.add.reduceat(dx[order], starts, axis=0)
+        x = flat(x)
+        grads = {"E": e, "P": dx.reshape(h.shape[0] // self.width, self.width, -1).sum(axis=0), "Q": x.T @ dq, "K": x.T @ dk, "V": x.T @ dv,
+                 "O": flat(o).T @ dh, "U": h.T @ p, "c": p.sum(axis=0)}
         return loss, np.concatenate([grads[name].ravel() for name in self.shapes])
 
     def fit(self, windows: np.ndarray, rows: np.ndarray, classes: np.ndarray, epochs: int, rate: float, batch: int = BATCH) -> list[float]:
@@ -242,6 +264,10 @@ class Model:
     losses: list[float] = field(default_factory=list)
     key: str = field(default_factory=lambda: uuid.uuid4().hex)  # tells models apart in workers
 
+    def lean(self) -> Model:
+        """Without what tasks do not need."""
+        return replace(self, counts=None, losses=[])
+
     def attention(self) -> Attention:
         return Attention(int(self.rows.max()) + 1, int(self.classes.max()) + 1, self.width, DIMS, self.weights)
 
@@ -341,69 +367,88 @@ def tables(counts: dict[int, int], source: Subwords, ends: int) -> tuple[np.ndar
     return rows, classes.astype(np.int32), np.log((n + 0.5) / whole[whole > 0][classes]).astype(np.float32)
 
 
-def windows_of(docs: DataFrame, learns: Column, coder: tuple[str, str], width: int, text_col: str = "text") -> DataFrame:
-    """(h, turn, ids): of each text to learn from the ids of one window at a place that its checksum picks, the id before first.
+def first_windows(docs: DataFrame, learns: Column, coder: tuple[str, str], width: int, most: int, total: int, text_col: str = "text") -> DataFrame:
+    """(ids): one window each of about `most` of the `total` texts to learn from, at a place that the checksum picks; the id before first.
 
-    `turn` numbers a task's texts, so that copies of one text need not go the same way.
+    Rows are numbered, so that of many copies of one text no more than their share are drawn.
     """
-    rows = docs.where(learns).select(F.coalesce(text_col, F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    rows = docs.where(learns).select(F.coalesce(text_col, F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"))
+    drawn = rows.withColumn("h", F.xxhash64("text")).where(F.pmod(F.xxhash64("row", "h"), F.lit(total)) < most).select("text", "h")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        source, turn = subwords(*coder), 0
+        source = subwords(*coder)
         for batch in batches:
             for some in slices(batch):
-                picked, flat = [], []
+                out = []
                 for text, h in zip(some.column("text"), some.column("h").to_pylist()):
                     words = words_of(text.as_py())
                     at = h % (len(words) + 1) if h % 4 else 0  # one in four begins with the text
-                    stretch = words[max(0, at - 1):at + width]
-                    picked.append((len(stretch), at == 0, at + width > len(words)))
-                    flat += stretch
-                distinct = list(dict.fromkeys(flat))
-                coded = dict(zip(distinct, source.of(distinct)))
-                found, at, out = [coded[w] for w in flat], 0, []
-                for n, begins, ends in picked:
-                    own = found[at:at + n] + [np.array([source.end])] * ends
-                    at += n
-                    own = np.concatenate([np.array([source.end]), *own] if begins else [own[0][-1:], *own[1:]])[:width + 1]
+                    own = source.of(words[max(0, at - 1):at + width]) + [np.array([source.end])] * (at + width > len(words))
+                    own = np.concatenate([np.array([source.end]), *own] if at == 0 else [own[0][-1:], *own[1:]])[:width + 1]
                     out.append(np.r_[own, np.full(width + 1 - len(own), -1)].astype(np.int32).tobytes())
-                yield pa.RecordBatch.from_arrays([some.column("h"), pa.array(np.arange(turn, turn + len(some))), pa.array(out, pa.binary())],
-                                                 names=["h", "turn", "ids"])
-                turn += len(some)
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["ids"])
 
-    return rows.mapInArrow(cut, "h bigint, turn bigint, ids binary")
+    return drawn.mapInArrow(cut, "ids binary")
 
 
 def _matrix(ids: list[bytes], width: int) -> np.ndarray:
     return np.frombuffer(b"".join(ids), np.int32).reshape(-1, width + 1)
 
 
-def averaged(windows: DataFrame, model: Model) -> np.ndarray:
-    """Weights after one more pass: every shard of windows goes on from the model's weights, and the shards' results are averaged."""
-    total = windows.count()
-    shards = max(1, -(-total // SHARD))
-    dealt = windows.withColumn("shard", F.pmod(F.xxhash64("h", "turn"), F.lit(shards)))
+def windows_of(ids: np.ndarray, sizes: np.ndarray, width: int, end: int) -> np.ndarray:
+    """All ids of texts in windows, each id in one: the id before first, -1 after the end. `sizes`: ids of each text, its end included."""
+    begin, each = np.cumsum(sizes) - sizes, -(-sizes // width)
+    text = np.repeat(np.arange(len(sizes)), each)
+    start = (np.arange(len(text)) - np.repeat(np.cumsum(each) - each, each)) * width
+    place = start[:, None] + np.arange(-1, width)
+    found = ids[np.clip(begin[text][:, None] + place, 0, len(ids) - 1)]
+    found[place < 0] = end
+    found[place >= sizes[text][:, None]] = -1
+    return found.astype(np.int32)
+
+
+def averaged(docs: DataFrame, learns: Column, model: Model, text_col: str = "text") -> np.ndarray:
+    """Weights after one more pass over all ids: every shard of windows goes on from the model's weights, and the shards' results are averaged."""
+    shared = docs.sparkSession.sparkContext.broadcast(model.lean())
+    rows = docs.where(learns).select(F.col(text_col).alias("text"))
 
-    def learn(group: pa.Table) -> pa.RecordBatch:
-        own, given = model.attention(), _matrix(sorted(group.column("ids").to_pylist()), model.width)
-        own.fit(given, model.rows, model.classes, 1, LATER_RATE)
-        return pa.RecordBatch.from_arrays([group.column("shard").combine_chunks()[:1], pa.array([float(len(given))]),
-                                           pa.array([(own.weights.astype(np.float64) * len(given)).astype(np.float32).tobytes()], pa.binary())],
-                                          names=["shard", "n", "sums"])
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: Model = shared.value
+        met, held, sums, total = _met(given), np.zeros((0, given.width + 1), np.int32), np.zeros(len(given.weights)), 0
+
+        def passed(windows: np.ndarray) -> np.ndarray:
+            own = given.attention()
+            own.fit(windows, given.rows, given.classes, 1, LATER_RATE)
+            return own.weights.astype(np.float64) * len(windows)
+
+        for batch in batches:
+            for some in slices(batch, TEXTS):
+                _, sizes, numbers, begin = met.texts(some.column("text").to_pylist())
+                lengths = np.add.reduceat(met.size[numbers], begin)
+                held = np.concatenate([held, windows_of(met.ids(numbers), lengths, given.width, met.source.end)])
+                while len(held) >= SHARD:
+                    sums += passed(held[:SHARD])
+                    total, held = total + SHARD, held[SHARD:]
+        if len(held):
+            sums += passed(held)
+            total += len(held)
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([float(total)]),
+                                              pa.array([sums.astype(np.float32).tobytes()], pa.binary())], names=["part", "n", "sums"])
 
     def add(group: pa.Table) -> pa.RecordBatch:
         sums = sum(np.frombuffer(x.as_py(), np.float32).astype(np.float64) for x in group.column("sums"))
-        return pa.RecordBatch.from_arrays([group.column("shard").combine_chunks()[:1], pa.array([sum(group.column("n").to_pylist())]),
-                                           pa.array([sums.astype(np.float32).tobytes()], pa.binary())], names=["shard", "n", "sums"])
-
-    schema = "shard bigint, n double, sums binary"
-    model = Model(None, 0, 0, 0, {}, model.coder, model.rows, model.classes, model.inside, model.weights, model.width)  # without what tasks do not need
-    found = written(per_group(dealt.repartition(shards, "shard").sortWithinPartitions("shard", "ids"), ["shard"], learn, schema, dealt=True), "weights")
-    while shards > AVERAGED:
-        shards = -(-shards // AVERAGED)
-        found = written(per_group(found.withColumn("shard", F.expr(f"shard DIV {AVERAGED}")).repartition(shards, "shard").sortWithinPartitions("shard", "n", "sums"),
-                                  ["shard"], add, schema, dealt=True), "weights")
-    rows = sorted(found.collect(), key=lambda r: r.shard)  # at most AVERAGED sets of weights
+        return pa.RecordBatch.from_arrays([group.column("part").combine_chunks()[:1], pa.array([sum(group.column("n").to_pylist())]),
+                                           pa.array([sums.astype(np.float32).tobytes()], pa.binary())], names=["part", "n", "sums"])
+
+    schema = "part bigint, n double, sums binary"
+    found = written(rows.mapInArrow(learn, schema), "weights")
+    parts = (found.agg(F.max("part")).first()[0] or 0) + 1
+    while parts > AVERAGED:
+        parts = -(-parts // AVERAGED)
+        found = written(per_group(found.withColumn("part", F.expr(f"part DIV {AVERAGED}")).repartition(parts, "part").sortWithinPartitions("part", "n", "sums"),
+                                  ["part"], add, schema, dealt=True), "weights")
+    rows = sorted(found.collect(), key=lambda r: r.part)  # at most AVERAGED sets of weights
     if not rows:
         return model.weights
     return (sum(np.frombuffer(r.sums, np.float32).astype(np.float64) for r in rows) / sum(r.n for r in rows)).astype(np.float32)
@@ -429,8 +474,8 @@ def _frequent(counts: DataFrame, most: int) -> list:
 def train(docs: DataFrame, learns: Column, tokenizer: str, pattern: str, text_col: str = "text", sample: int = SAMPLE, hot: int = HOT) -> Model:
     """Learn from the texts for which `learns` is true; NULL counts as false, a NULL text as empty.
 
-    About `sample` windows, drawn by checksums, are brought to the driver for the first fit; a
-    window of every text takes part in the second. At most `hot` words of at most 64
+    About `sample` windows, drawn by checksums, are brought to the driver for the first fit; all
+    ids of all texts take part in the second. At most `hot` words of at most 64
     bytes, the most frequent of all texts, are brought to the driver with their counts. Without
     any text to learn from the model has its first, random weights.
     """
@@ -444,16 +489,15 @@ def train(docs: DataFrame, learns: Column, tokenizer: str, pattern: str, text_co
     model = Model(counts, told.tokens or 0, told.distinct or 0, told.ends or 0, {bytes(r.word): r.n_train for r in often},
                   coder, rows, classes, inside, np.zeros(0))
     model.hot[b""] = model.ends
-    windows = written(windows_of(docs, F.coalesce(learns, F.lit(False)), coder, model.width, text_col), "windows")
     first = Attention(int(rows.max()) + 1, int(classes.max()) + 1, model.width, DIMS)
-    total = max(1, windows.count())
-    drawn = windows.where(F.pmod(F.xxhash64("turn", "h"), F.lit(total)) < sample)
-    few = [r.ids for r in drawn.select("ids").collect()]
+    learns = F.coalesce(learns, F.lit(False))
+    drawn = first_windows(docs, learns, coder, model.width, sample, max(1, model.ends), text_col)
+    few = [r.ids for r in drawn.collect()]
     few.sort()
     if few:
         model.losses = first.fit(_matrix(few, model.width), rows, classes, min(PASSES, -(-STEPS * BATCH // len(few))), RATE)
     model.weights = first.weights
-    model.weights = averaged(windows, model)
+    model.weights = averaged(docs, learns, model, text_col)
     return model
 
 
@@ -484,6 +528,13 @@ class Words:
             self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
         return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
+    def texts(self, texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+        """Words of all texts, an empty one behind each text; how many each text has; their numbers; where each text begins."""
+        words = [[*words_of(t), b""] for t in texts]
+        sizes = np.array([len(w) for w in words], np.int64)
+        flat = [w for some in words for w in some]
+        return flat, sizes, self.numbers(flat), np.cumsum(sizes) - sizes
+
     def ids(self, numbers: np.ndarray) -> np.ndarray:
         size = self.size[numbers]
         return self.flat[np.repeat(self.begin[numbers] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))]
@@ -492,20 +543,20 @@ class Words:
 _words: dict[str, Words] = {}
 
 
-def _scorer(shared: Broadcast) -> Callable[[list[str | None]], list[pa.Array]]:
-    """Scores of a list of texts: tokens, known ones, base score, score, words to look up, subword ids."""
-    model: Model = shared.value
+def _met(model: Model) -> Words:
     if model.key not in _words:
         _words.clear()  # of another model
         _words[model.key] = Words(subwords(*model.coder), model.hot)
-    met, own = _words[model.key], model.attention()
+    return _words[model.key]
+
+
+def _scorer(shared: Broadcast) -> Callable[[list[str | None]], list[pa.Array]]:
+    """Scores of a list of texts: tokens, known ones, base score, score, words to look up, subword ids."""
+    model: Model = shared.value
+    met, own = _met(model), model.attention()
 
     def score(texts: list[str | None]) -> list[pa.Array]:
-        words = [[*words_of(t), b""] for t in texts]
-        sizes = np.array([len(w) for w in words], np.int64)
-        begin = np.cumsum(sizes) - sizes
-        flat = [w for some in words for w in some]
-        numbers = met.numbers(flat)
+        flat, sizes, numbers, begin = met.texts(texts)
         count = met.count[numbers]
         base = np.where(count < 0, 0.0, model.log_p(np.maximum(count, 0)))
         cold = np.flatnonzero(count < 0)
@@ -527,16 +578,14 @@ def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     out as they came in, repeated ones too; other columns are not read.
     """
     spark = docs.sparkSession
-    lean = Model(None, model.tokens, model.distinct, model.ends, model.hot, model.coder, model.rows, model.classes, model.inside, model.weights,
-                 model.width, model.context)
-    shared = spark.sparkContext.broadcast(lean)  # HOT words of LONGEST bytes at most, and tables of the vocabulary's size
+    shared = spark.sparkContext.broadcast(model.lean())  # HOT words of LONGEST bytes at most, and tables of the vocabulary's size
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.spark_partition_id().alias("part"))
     names = ["id", "part", "row", "n_tokens", "n_known", "base", "score", "words", "n_subwords"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score, row = _scorer(shared), 0
         for batch in batches:
-            for some in slices(batch, 250):
+            for some in slices(batch, TEXTS):
                 number = pa.array(np.arange(row, row + len(some)))
                 row += len(some)
                 yield pa.RecordBatch.from_arrays([some.column("id"), some.column("part"), number, *score(some.column("text").to_pylist())], names=names)

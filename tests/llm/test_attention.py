@@ -168,3 +168,34 @@ def test_odd_rows(spark, odd, odd_rows, empty):
     assert attention.scores(empty, bare).count() == 0
     cold = attention.scores(odd, bare).collect()
     assert len(cold) == len(odd_rows) and all(r.n_known == 0 and r.train_tokens == 0 and math.isfinite(r.score) for r in cold)
+
+
+def test_windows_hold_every_id_once():
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(0, 90, n) for n in (1, 3, 4, 5, 8, 23)]
+    for t in texts:
+        t[-1] = 99
+    found = attention.windows_of(np.concatenate(texts), np.array([len(t) for t in texts]), 4, 99)
+    assert len(found) == sum(-(-len(t) // 4) for t in texts) and found[found[:, 1:].min(axis=1) >= 0].shape[1] == 5
+    assert [i for row in found[:, 1:].tolist() for i in row if i >= 0] == np.concatenate(texts).tolist()
+    before = [i for row in found.tolist() for i, after in zip(row, row[1:]) if after >= 0]
+    assert before == [i for t in texts for i in (99, *t[:-1].tolist())]
+
+
+def test_all_ids_of_all_texts_are_learned_from(spark, docs, texts, source, monkeypatch):
+    """Every window of every text, however long, counts in the weights; many sets of weights are averaged level by level."""
+    monkeypatch.setattr(attention, "AVERAGED", 2)
+    monkeypatch.setattr(attention, "SHARD", 50)
+    real, sums = attention.written, []
+
+    def spy(df, name):
+        out = real(df, name)
+        if name == "weights":
+            sums.append(out.agg(F.sum("n")).first()[0])
+        return out
+
+    monkeypatch.setattr(attention, "written", spy)
+    model = attention.train(docs.repartition(5), F.col("doc_id") % 3 != 0, *CODER, sample=16)
+    sizes = [1 + sum(map(len, source.of(attention.words_of(t)))) for i, t in texts.items() if i % 3]
+    assert max(sizes) > 2 * model.width and sums == [sum(-(-n // model.width) for n in sizes)] * 3  # 5, 3 and 2 sets
+    assert np.isfinite(model.weights).all()
