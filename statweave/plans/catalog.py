@@ -48,7 +48,7 @@ def _flow_feed(spark: SparkSession, landed: str) -> ledger.Feed:
 def _half_landed(lake: Lake) -> str:
     """A landing whose load stopped after half of the releases."""
     path = scratch_path(lake.spark, "pouso")
-    landing.land(lake.spark, lake.flow_raw, path, most=landing.releases(lake.flow_raw).count() // 2)
+    landing.land(lake.spark, lake.flow_events, path, most=landing.releases(lake.flow_raw).count() // 2, finish=feeds.flow_text)
     return path
 
 
@@ -60,9 +60,9 @@ def ingest_incremental(lake: Lake) -> DataFrame:
     """Two loads of whole rows and a run without new files; every row arrives once."""
     spark = lake.spark
     feed = _flow_feed(spark, scratch_path(spark, "pouso"))
-    landing.land(spark, lake.flow_raw, feed.landing, ("FOR", "EXC"))
+    landing.land(spark, lake.flow_events, feed.landing, ("FOR", "EXC"), finish=feeds.flow_text)
     ledger.ingest(spark, feed)
-    landing.land(spark, lake.flow_raw, feed.landing, ("MOV",))
+    landing.land(spark, lake.flow_events, feed.landing, ("MOV",), finish=feeds.flow_text)
     for _ in range(2):
         ledger.ingest(spark, feed)
     return _counts(ledger.rows(spark, feed), "tipo", "competencia")
@@ -242,8 +242,8 @@ def query_files(lake: Lake) -> DataFrame:
 @register
 def sink_partitioned(lake: Lake) -> DataFrame:
     """Writing one kind again replaces its folders and leaves the others alone."""
-    path = files.write_partitioned(lake.flow_raw, scratch_path(lake.spark, "fluxo"), "tipo", "competencia")
-    files.write_partitioned(lake.flow_raw.where(c("tipo") == "MOV"), path, "tipo", "competencia")
+    path = files.write_partitioned(lake.flow_events, scratch_path(lake.spark, "fluxo"), "tipo", "competencia", finish=feeds.flow_text)
+    files.write_partitioned(lake.flow_events.where(c("tipo") == "MOV"), path, "tipo", "competencia", finish=feeds.flow_text)
     return _counts(files.scan_partitioned(lake.spark, path), "tipo", "competencia")
 
 
@@ -563,7 +563,7 @@ def _maintained(lake: Lake) -> tuple[Versions, ledger.Feed]:
         fact = maintained.stored(scratch_path(spark, "fato"))
         third = -(-landing.releases(lake.flow_raw).count() // 3)
         for _ in range(3):
-            landing.land(spark, lake.flow_raw, feed.landing, most=third)
+            landing.land(spark, lake.flow_events, feed.landing, most=third, finish=feeds.flow_text)
             ledger.ingest(spark, feed)
             maintained.follow(spark, fact, feed, lambda raw: silver.flow_silver(raw, lake.rules), lake.rules.wages)
         _KEPT[key] = (fact, feed)

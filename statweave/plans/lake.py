@@ -31,12 +31,16 @@ class Lake:
     def flow_raw(self) -> DataFrame:
         return feeds.flow_raw(self.spark, self.sf_dir)
 
+    @cached_property
+    def flow_events(self) -> DataFrame:
+        return feeds.flow_events(self.spark, self.sf_dir)
+
     def landed_flow(self) -> str:
         """The whole flow feed as a landing of files, one folder for each kind and period; written once a session."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir)
         if key not in _LANDED:
             path = scratch_path(self.spark, "caged")
-            landing.land(self.spark, self.flow_raw, path)
+            landing.land(self.spark, self.flow_events, path, finish=feeds.flow_text)
             _LANDED[key] = path
         return _LANDED[key]
 

@@ -39,13 +39,14 @@ EDUCATION = {
 # Deflators of three quarters; the second quarter has none on purpose.
 DEFLATORS = [(2024, 1, 1.5, 1.25), (2024, 3, 1.25, 1.125), (2024, 4, 1.0, 1.0)]
 
-FLOW_SQL = """
+FLOW_RELEASE = "CAST(floor((mes + defasagem) / CAST(12 AS DOUBLE)) * 100 + (mes + defasagem) % 12 + 1 AS INT)"
+FLOW_TEXT = """
 SELECT tipo,
-       CAST(floor((mes + defasagem) / CAST(12 AS DOUBLE)) * 100 + (mes + defasagem) % 12 + 1 AS INT) AS competencia,
+       {release} AS competencia,
        CAST(ano * 100 + mes % 12 + 1 AS STRING) AS competenciamov,
        CAST(ano * 100 + mes % 12 + 1 AS STRING) AS competenciadec,
        CASE WHEN tipo = 'EXC'
-            THEN CAST(CAST(floor((mes + defasagem) / CAST(12 AS DOUBLE)) * 100 + (mes + defasagem) % 12 + 1 AS INT) AS STRING)
+            THEN CAST({release} AS STRING)
        END AS competenciaexc,
        CASE WHEN tipo = 'EXC' THEN '1' END AS indicadordeexclusao,
        ' ' || CAST(l_suppkey % 25 AS STRING) AS municipio,
@@ -67,12 +68,13 @@ SELECT tipo,
        CASE WHEN l_linenumber = 7 THEN '1' WHEN l_orderkey % 53 = 0 THEN '99' ELSE '5' END AS unidadesalariocodigo,
        CASE WHEN l_linenumber % 7 = 0 THEN '1' ELSE '0' END AS indtrabparcial,
        CASE WHEN l_orderkey % 29 = 0 THEN '1' ELSE '0' END AS indtrabintermitente
-FROM (SELECT *, CASE l_returnflag WHEN 'N' THEN 'MOV' WHEN 'A' THEN 'FOR' ELSE 'EXC' END AS tipo,
+"""
+FLOW_EVENTS = """SELECT *, CASE l_returnflag WHEN 'N' THEN 'MOV' WHEN 'A' THEN 'FOR' ELSE 'EXC' END AS tipo,
              year(l_shipdate) AS ano,
              year(l_shipdate) * 12 + month(l_shipdate) - 1 AS mes,
              CASE WHEN l_returnflag = 'N' THEN 0 ELSE 1 + l_linenumber % 3 END AS defasagem
-      FROM {lineitem}) AS eventos
-"""
+      FROM {lineitem}"""
+FLOW_SQL = FLOW_TEXT.replace("{release}", FLOW_RELEASE) + f"FROM ({FLOW_EVENTS}) AS eventos\n"
 
 STOCK_SQL = """
 SELECT CAST(year(o_orderdate) AS INT) AS ano_base,
@@ -155,6 +157,18 @@ def flow_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(FLOW_SQL, lineitem=driver_table(spark, sf_dir, "lineitem"))
 
 
+def flow_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the rows of ``flow_raw`` are made of, beside their release: a quarter of the text's width."""
+    events = spark.sql(FLOW_EVENTS, lineitem=driver_table(spark, sf_dir, "lineitem"))
+    return events.selectExpr("tipo", f"{FLOW_RELEASE} AS competencia", "ano", "mes", "l_orderkey", "l_partkey", "l_suppkey",
+                             "l_linenumber", "l_linestatus", "l_extendedprice")
+
+
+def flow_text(events: DataFrame) -> DataFrame:
+    """The rows of ``flow_raw`` from their events."""
+    return events.sparkSession.sql(FLOW_TEXT.replace("{release}", "competencia") + "FROM {eventos}", eventos=events)
+
+
 def stock_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(STOCK_SQL, orders=driver_table(spark, sf_dir, "orders"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -226,14 +226,17 @@ def query_files(spark: SparkSession, path: str, sql: str) -> DataFrame:
     return spark.sql(sql.replace("{files}", f"parquet.`{path}`"))
 
 
-def write_partitioned(df: DataFrame, path: str, *keys: str) -> str:
+def write_partitioned(df: DataFrame, path: str, *keys: str, finish: Callable[[DataFrame], DataFrame] | None = None) -> str:
     """Parquet folders per key; only the folders present in ``df`` are replaced.
 
     The rebalance hint brings rows of a folder together so that no task writes a sliver
     into every folder, and still lets Spark split a folder that holds much of the data.
+    ``finish`` makes the rows of the files, row by row and with the same keys: it sees them
+    when they are dealt and sorted, so that only the columns it needs are moved.
     """
+    dealt = df.hint("rebalance", *[F.col(k) for k in keys]).sortWithinPartitions(*keys)
     (
-        df.hint("rebalance", *[F.col(k) for k in keys])
+        (dealt if finish is None else finish(dealt))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,13 +92,15 @@ def pending(published: DataFrame, landed: DataFrame | None, order: Sequence[str]
     return wanted.orderBy("competencia", F.array_position(F.array(*map(F.lit, order)), F.col("tipo")))
 
 
-def land(spark: SparkSession, published: DataFrame, path: str, order: Sequence[str] = COMMIT_ORDER, most: int | None = None) -> int:
+def land(spark: SparkSession, published: DataFrame, path: str, order: Sequence[str] = COMMIT_ORDER, most: int | None = None,
+         finish: Callable[[DataFrame], DataFrame] | None = None) -> int:
     """Publish the releases that are not there yet, period by period, the commit marker last; how many.
 
     All of them are written by one job into a hidden folder, then moved into place one after
     the other. A release is there wholly or not at all, and so is, judged by its marker, a
     period: a run that breaks off after any step leaves the releases before that step, and
     the next run lands exactly the others. ``most`` bounds a run: the first so many are taken.
+    ``finish`` makes the rows to land out of ``published``, which may then be narrower.
     """
     staging = f"{path}/{STAGING}"
     store.remove(spark, staging)  # of a run that broke off
@@ -106,7 +108,7 @@ def land(spark: SparkSession, published: DataFrame, path: str, order: Sequence[s
     steps = [tuple(row) for row in (steps if most is None else steps.limit(most)).toLocalIterator()]  # one row a folder
     if steps:
         chosen = literal_table(spark, steps, RELEASE_SCHEMA)
-        write_partitioned(published.join(chosen, RELEASE, "left_semi").select(*published.columns), staging, *RELEASE)
+        write_partitioned(published.join(chosen, RELEASE, "left_semi").select(*published.columns), staging, *RELEASE, finish=finish)
         for kind, period in steps:
             _publish(spark, staging, path, kind, period)
         store.remove(spark, staging)
