@@ -82,8 +82,12 @@ def arrival_measures() -> list[Column]:
             *[F.sum(F.when(kind == k, effect).otherwise(0)).alias(name) for k, name in parts.items()]]
 
 
-def coded(silver: DataFrame, columns: Sequence[str], wages: Mapping[int, float], measures: Sequence[Column]) -> DataFrame:
-    """Measures of events at the grain of codes; unknown members are named, labels come later."""
+def coded(silver: DataFrame, columns: Sequence[str], wages: Mapping[int, float], measures: Sequence[Column], dealt: bool = False) -> DataFrame:
+    """Measures of events at the grain of codes; unknown members are named, labels come later.
+
+    ``dealt`` moves the events themselves and adds up where they arrive: for codes so fine that
+    adding up before would hold a group for nearly every event.
+    """
     wage = year_lookup(period_year(F.col("competencia_mov")), wages)
     rated = silver.withColumn("_razao", F.try_divide(F.col("salario_mensal"), wage))
     known = {
@@ -94,7 +98,8 @@ def coded(silver: DataFrame, columns: Sequence[str], wages: Mapping[int, float],
         "faixa_salarial_sm": ratio_band(F.col("_razao")),
     }
     chosen = [known.get(c, F.col(c)).alias(c) for c in columns]
-    return rated.select(*chosen, "efeito", "saldo_movimentacao", "origem_arquivo").groupBy(*columns).agg(*measures)
+    events = rated.select(*chosen, "efeito", "saldo_movimentacao", "origem_arquivo")
+    return (events.repartition(*columns) if dealt else events).groupBy(*columns).agg(*measures)
 
 
 def labelled(coded_sums: DataFrame, areas: DataFrame, codes: DataFrame, keys: Sequence[str], newest: Column | None) -> DataFrame:

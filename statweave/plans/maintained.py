@@ -8,7 +8,7 @@ the fact is asked for.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,17 +32,30 @@ def stored(path: str) -> Versions:
 
 def sums_of(silver: DataFrame, wages: Mapping[int, float]) -> DataFrame:
     """The additive sums of typed events per code; events without a valid month are in no window and left out."""
-    return flow.coded(silver.where(flow.is_month(F.col(MONTH))), CODES, wages, [*flow.flow_measures(), *flow.arrival_measures()]).select(
+    return flow.coded(silver.where(flow.is_month(F.col(MONTH))), CODES, wages, [*flow.flow_measures(), *flow.arrival_measures()], dealt=True).select(
         *CODES, *(F.col(s).cast("bigint").alias(s) for s in SUMS))
 
 
-def add(spark: SparkSession, fact: Versions, delta: DataFrame, mark: int) -> list[int]:
-    """Add sums to the stored months; the months that were touched. A mark that was added already changes nothing."""
+def months_of(df: DataFrame) -> list[int]:
+    return sorted(r[0] for r in df.select(MONTH).distinct().collect())  # months, not rows
+
+
+def add(spark: SparkSession, fact: Versions, delta: DataFrame, mark: int, months: Iterable[int] | None = None) -> list[int]:
+    """Add sums to the stored months; the months that were touched. A mark that was added already changes nothing.
+
+    The sums of a month that is not stored yet are there already: only those of stored months
+    are brought together with them. ``months`` names the months of ``delta`` where they are known.
+    """
     if mark <= fact.mark(spark):
         return []
-    months = sorted(r[0] for r in delta.select(MONTH).distinct().collect())  # months, not rows
-    both = fact.read(spark, months).unionByName(delta)
-    fact.publish(spark, both.groupBy(*CODES).agg(*[F.sum(s).alias(s) for s in SUMS]), months, mark)
+    months = months_of(delta) if months is None else sorted(months)
+    known = sorted({member for member, *_ in fact.index(spark)}.intersection(months))
+    changed = delta
+    if known:
+        again = F.col(MONTH).isin(known)
+        both = fact.read(spark, known).unionByName(delta.where(again))
+        changed = delta.where(~again).select(*CODES, *SUMS).unionByName(both.groupBy(*CODES).agg(*[F.sum(s).alias(s) for s in SUMS]))
+    fact.publish(spark, changed, months, mark)
     return months
 
 
@@ -51,7 +64,9 @@ def follow(spark: SparkSession, fact: Versions, feed: ledger.Feed, silver: Calla
     newest, done = ledger.last_lot(spark, feed), fact.mark(spark)
     if newest <= done:
         return []
-    return add(spark, fact, sums_of(silver(ledger.rows(spark, feed, after=done)), wages), newest)
+    events = silver(ledger.rows(spark, feed, after=done))
+    months = months_of(events.where(flow.is_month(F.col(MONTH))))  # from the events, before any of them is moved
+    return add(spark, fact, sums_of(events, wages), newest, months)
 
 
 def newest_month(spark: SparkSession, fact: Versions) -> int | None:

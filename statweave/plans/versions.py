@@ -12,7 +12,6 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources import store
@@ -53,11 +52,13 @@ class Versions:
         return spark.read.schema(kinds).option("basePath", f"{self.path}/dados").parquet(*paths).drop("versao")
 
     def publish(self, spark: SparkSession, df: DataFrame, members: Iterable[int], mark: int) -> None:
-        """Replace the given members by the rows of ``df``, which holds no others; a member without rows goes."""
+        """Replace the given members by the rows of ``df``, which holds no others; a member without rows goes.
+
+        Rows are written by the tasks they lie in: each task leaves one file for each of its members.
+        """
         replaced, version = set(members), self.last(spark) + 1
         target = f"{self.path}/dados/versao={version}"
-        dealt = df.hint("rebalance", F.col(self.key)).sortWithinPartitions(self.key, *self.order)
-        dealt.write.mode("overwrite").partitionBy(self.key).parquet(target)
+        df.sortWithinPartitions(self.key, *self.order).write.mode("overwrite").partitionBy(self.key).parquet(target)
         written = [int(name.partition("=")[2]) for name in store.children(spark, target) if name.startswith(f"{self.key}=")]
         kept = [(member, old, mark) for member, old, _ in self.index(spark) if member not in replaced]
         entries = literal_table(spark, kept + [(member, version, mark) for member in written], _INDEX)
