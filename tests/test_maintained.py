@@ -95,3 +95,23 @@ def test_readers_see_whole_versions(spark, tmp_path, monkeypatch):
     assert rows(table.read(spark)) == [(1, "a"), (2, "c"), (3, "d")] and table.mark(spark) == 8
     table.publish(spark, make(("y", 2)), [1, 2], 9)  # member 1 has no rows any more
     assert rows(table.read(spark)) == [(2, "y"), (3, "d")]
+
+
+def test_sums_of_new_months_are_dealt_once(spark, sf_dir, tmp_path, monkeypatch):
+    """Events are moved once; only months that are stored already are brought together with their sums."""
+    lake = Lake(spark, sf_dir)
+    fact, plans, real = maintained.stored(str(tmp_path / "fato")), [], Versions.publish
+
+    def publish(self, spark_, df, members, mark):
+        plans.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        real(self, spark_, df, members, mark)
+
+    monkeypatch.setattr(Versions, "publish", publish)
+    month, whole = F.col("competencia_mov"), maintained.sums_of(lake.flow_silver, lake.rules.wages)
+    for mark, some in enumerate((month < 199601, month.between(199512, 199712), month > 199712)):
+        maintained.add(spark, fact, maintained.sums_of(lake.flow_silver.where(some), lake.rules.wages), mark)
+    assert plans[0] == plans[2] == 1 < plans[1]
+    last = maintained.sums_of(lake.flow_silver.where(month == 199512), lake.rules.wages)
+    twice = whole.unionByName(last).groupBy(*maintained.CODES).agg(*[F.sum(s).alias(s) for s in maintained.SUMS])
+    ours = fact.read(spark).select(*twice.columns)
+    assert ours.exceptAll(twice).count() == 0 and ours.count() == twice.count() > 0

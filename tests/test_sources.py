@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import types as T
 
 from statweave import rulebook as R
-from statweave.sources import files, landing, scratch
+from statweave.sources import feeds, files, landing, scratch
 from statweave.sources.literals import literal_table
 from statweave.streaming import ingest
 
@@ -213,3 +213,20 @@ def test_a_period_without_its_on_time_file_is_not_missing(spark):
     published = spark.createDataFrame([("MOV", 202601), ("FOR", 202601), ("FOR", 202602), ("EXC", 202603)], landing.RELEASE_SCHEMA)
     landed = spark.createDataFrame([("MOV", 202512)], landing.RELEASE_SCHEMA)
     assert sorted(rows_of(landing.missing_periods(published, landed))) == [("FOR", 202601), ("MOV", 202601)]
+
+
+def test_landed_text_is_made_after_events_are_dealt(spark, sf_dir, tmp_path):
+    """What is moved between tasks is the events, a few numbers; the files have the same rows as the feed."""
+    seen = []
+
+    def finish(events):
+        seen.append((events.columns, events._jdf.queryExecution().optimizedPlan().toString()))
+        return feeds.flow_text(events)
+
+    feed, path = feeds.flow_raw(spark, sf_dir), str(tmp_path / "pouso")
+    assert landing.land(spark, feeds.flow_events(spark, sf_dir), path, finish=finish) == landing.releases(feed).count()
+    columns, plan = seen[0]
+    assert len(columns) == 10 and "RebalancePartitions" in plan and "salario" not in plan
+    found = files.scan_partitioned(spark, path).select(*feed.columns)
+    assert found.exceptAll(feed).count() == 0 and found.count() == feed.count() > 0
+    assert feeds.flow_text(feeds.flow_events(spark, sf_dir)).schema.simpleString() == feed.schema.simpleString()
