@@ -27,11 +27,13 @@ are looked up by a join, so no table of all words is ever broadcast.
 from __future__ import annotations
 
 import base64
+import math
 import re
 import uuid
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field, replace
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -115,19 +117,24 @@ def words_of(text: str | None) -> list[bytes]:
 # --- the model --------------------------------------------------------------------
 
 
-def _softmax(x: np.ndarray, seen: np.ndarray | None = None) -> np.ndarray:
-    """Shares of the powers in the last axis; where `seen` is 0 they are 0."""
-    out = np.exp(x)
+def _powers(make: Callable[[], np.ndarray], seen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of what `make` gives, 0 where `seen` is 0, and their sums over the last axis: shares that are not divided yet."""
+    out = make()
+    np.exp(out, out=out)
     if seen is not None:
         out *= seen
-    total = (out.reshape(-1, x.shape[-1]) @ np.ones(x.shape[-1], np.float32)).reshape(*x.shape[:-1], 1)
+    total = (out.reshape(-1, out.shape[-1]) @ np.ones(out.shape[-1], np.float32)).reshape(*out.shape[:-1], 1)
     if not (np.isfinite(total) & (total > 1e-30)).all():  # numbers too large or too small for plain powers
+        out = make()
         if seen is not None:
-            x = np.where(seen > 0, x, -np.inf)
-        out = np.exp(x - x.max(axis=-1, keepdims=True))
+            out = np.where(seen > 0, out, np.float32(-np.inf))
+        out = np.exp(out - out.max(axis=-1, keepdims=True))
         total = out.sum(axis=-1, keepdims=True)
-    out /= total
-    return out
+    return out, total
+
+
+def _flat(x: np.ndarray) -> np.ndarray:
+    return x.reshape(-1, x.shape[-1])
 
 
 def _by(x: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -142,104 +149,132 @@ class Attention:
         self.shapes = {"E": (rows, dims), "P": (width, dims), "Q": (dims, dims), "K": (dims, dims), "V": (dims, dims),
                        "O": (dims, dims), "U": (dims, classes), "c": (classes,)}
         self.width, self.dims = width, dims
-        self.size = sum(int(np.prod(s)) for s in self.shapes.values())
+        self.size = sum(map(math.prod, self.shapes.values()))
         if weights is None:
             weights = np.random.default_rng(7).normal(0, 0.1, self.size).astype(np.float32)
         self.weights = weights.astype(np.float32)
-        self.parts, at = {}, 0
-        for name, shape in self.shapes.items():
-            self.parts[name] = self.weights[at:at + int(np.prod(shape))].reshape(shape)
-            at += int(np.prod(shape))
+        self.parts = self._named(self.weights)
         self.seen = np.tri(width, dtype=np.float32)
 
-    def hidden(self, inputs: np.ndarray, first: int = 0) -> tuple[np.ndarray, ...]:
-        """Vectors after attention, for the places of each window from `first` on; and what they came from."""
+    def _named(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        """The parts of a flat array, by name; they share its memory."""
+        out, at = {}, 0
+        for name, shape in self.shapes.items():
+            out[name] = flat[at:at + math.prod(shape)].reshape(shape)
+            at += math.prod(shape)
+        return out
+
+    def hidden(self, inputs: np.ndarray, first: int = 0) -> np.ndarray:
+        """Vectors after attention, for the places of each window from `first` on."""
         w = self.parts
         x = w["E"][inputs] + w["P"]
         own = x[:, first:]
         q, k, v = _by(own, w["Q"]), _by(x, w["K"]), _by(x, w["V"])
-        a = _softmax((q * np.float32(self.dims**-0.5)) @ k.transpose(0, 2, 1), self.seen[first:])
-        o = a @ v
-        return own + _by(o, w["O"]), x, q, k, v, a, o
+        a, total = _powers(lambda: (q * np.float32(self.dims**-0.5)) @ k.transpose(0, 2, 1), self.seen[first:])
+        return own + _by(a @ v / total, w["O"])
 
     def chances(self, inputs: np.ndarray, first: int = 0) -> np.ndarray:
         """Class distribution at each place from `first` on."""
-        return _softmax(_by(self.hidden(inputs, first)[0], self.parts["U"]) + self.parts["c"])
+        h = self.hidden(inputs, first)
+        p, total = _powers(lambda: _by(h, self.parts["U"]) + self.parts["c"])
+        return p / total
 
-    def folded(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Weights multiplied out for scoring: vectors with a one behind them, places, query by key, value to classes."""
+    def folded(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Weights multiplied out for scoring: query by key, vectors and values to classes, powers of the classes' own weights."""
         w = self.parts
-        one = lambda m, x: np.concatenate([m, np.full((len(m), 1), x, np.float32)], axis=1)
-        keys = np.pad(w["Q"] @ w["K"].T * np.float32(self.dims**-0.5), ((0, 1), (0, 1)))
-        return one(w["E"], 0), one(w["P"], 1), keys, np.concatenate([w["U"], w["c"][None], w["V"] @ w["O"] @ w["U"]]).astype(np.float32)
+        keys = w["Q"] @ w["K"].T * np.float32(self.dims**-0.5)
+        return keys, np.concatenate([w["U"], w["V"] @ w["O"] @ w["U"]]), np.exp(w["c"])
 
     def log_chances(self, folded: tuple[np.ndarray, ...], inputs: np.ndarray, targets: np.ndarray, first: int = 0) -> np.ndarray:
         """log of the target classes' chances at each place from `first` on: the same as `chances`, with fewer passes."""
-        vectors, places, keys, classes = folded
-        x = vectors[inputs]
-        x += places
-        own, d = x[:, first:], self.dims
-        a = _by(own, keys) @ x.transpose(0, 2, 1)
+        keys, classes, powers = folded
+        x = self.parts["E"].take(inputs, axis=0)
+        x += self.parts["P"]
+        a = _by(x, keys)[:, first:] @ x.transpose(0, 2, 1)
         np.exp(a, out=a)
         a *= self.seen[first:]
-        o = a @ x  # the last column adds up the weights
-        both = np.concatenate([own, o[..., :d] / o[..., d:]], axis=2).reshape(-1, 2 * d + 1)
-        z = both @ classes
-        hit = z[np.arange(len(z)), targets.ravel()]
+        o = _flat(a @ x)
+        o /= (_flat(a) @ np.ones(self.width, np.float32))[:, None]
+        z = np.concatenate([x[:, first:].reshape(o.shape), o], axis=1) @ classes
+        t = targets.ravel()
+        out = z[np.arange(len(z)), t] + self.parts["c"][t]
         np.exp(z, out=z)
-        out = hit - np.log(z @ np.ones(z.shape[1], np.float32))
+        out -= np.log(z @ powers)
         if not np.isfinite(out).all():  # numbers too large for plain powers
             p = self.chances(inputs, first).reshape(len(z), -1)
-            out = np.log(p[np.arange(len(z)), targets.ravel()] + np.float32(1e-30))
+            out = np.log(p[np.arange(len(z)), t] + np.float32(1e-30))
         return out.reshape(targets.shape)
 
     def gradient(self, inputs: np.ndarray, targets: np.ndarray, real: np.ndarray) -> tuple[float, np.ndarray]:
-        """Mean negative log likelihood of the target classes at real places, and its gradient."""
-        w, n = self.parts, max(1, int(real.sum()))
-        h, x, q, k, v, a, o = self.hidden(inputs)
-        flat = lambda y: y.reshape(-1, y.shape[-1])
-        h, t = flat(h), targets.ravel()
-        p = h @ w["U"]
-        p += w["c"]
-        p = _softmax(p)
-        hit, real = np.arange(len(p)), real.ravel()
-        loss = -float(np.log(p[hit, t] + 1e-30)[real].sum()) / n
-        p[hit, t] -= 1
-        p *= np.float32(1 / n)
-        p[~real] = 0
+        """Mean negative log likelihood of the target classes at real places, and its gradient.
+
+        Shares are never divided out: their sums go into the few numbers of a place that they are multiplied with.
+        """
+        w, d, n, scale = self.parts, self.dims, max(1, int(real.sum())), np.float32(self.dims**-0.5)
+        grad = np.zeros(self.size, np.float32)
+        g = self._named(grad)
+        into = np.concatenate([w["Q"] * scale, w["K"], w["V"]], axis=1)
+        x = w["E"].take(inputs, axis=0)
+        x += w["P"]
+        qkv = _by(x, into)
+        q, k, v = qkv[..., :d], qkv[..., d:2 * d], qkv[..., 2 * d:]
+        a, total = _powers(lambda: q @ k.transpose(0, 2, 1), self.seen)
+        o = a @ v
+        o /= total
+        h = np.ones((targets.size, d + 1), np.float32)
+        np.add(_flat(x), _flat(o) @ w["O"], out=h[:, :d])
+        ends = np.concatenate([w["U"], w["c"][None]])
+        p, sums = _powers(lambda: h @ ends)
+        hit, sums, counts = (np.arange(len(p)), targets.ravel()), sums.ravel(), real.ravel().astype(np.float32)
+        found = p[hit]
+        p[hit] = found - sums
+        loss = -float(np.log(found / sums + np.float32(1e-30)) @ counts) / n
+        share = (counts / (sums * np.float32(n)))[:, None]
         dh = p @ w["U"].T
+        dh *= share
+        h *= share
         do = (dh @ w["O"].T).reshape(o.shape)
+        do /= total
         ds = do @ v.transpose(0, 2, 1)
-        ds -= (do * o).sum(axis=-1, keepdims=True)  # the same as the sum of a by its gradient
+        ds -= (_flat(do * o) @ np.ones(d, np.float32)).reshape(total.shape)  # the same as the sum of a by its gradient
         ds *= a
-        ds *= np.float32(self.dims**-0.5)
-        dq, dk, dv = flat(ds @ k), flat(ds.transpose(0, 2, 1) @ q), flat(a.transpose(0, 2, 1) @ do)
-        dx = dh + dq @ w["Q"].T + dk @ w["K"].T + dv @ w["V"].T
-        order = np.argsort(inputs.ravel(), kind="stable")
-        held = inputs.ravel()[order]
-        starts = np.flatnonzero(np.r_[True, held[1:] != held[:-1]])
-        e = np.zeros(self.shapes["E"], np.float32)
-        e[held[starts]] = np.add.reduceat(dx[order], starts, axis=0)
-        x = flat(x)
-        grads = {"E": e, "P": dx.reshape(h.shape[0] // self.width, self.width, -1).sum(axis=0), "Q": x.T @ dq, "K": x.T @ dk, "V": x.T @ dv,
-                 "O": flat(o).T @ dh, "U": h.T @ p, "c": p.sum(axis=0)}
-        return loss, np.concatenate([grads[name].ravel() for name in self.shapes])
+        dqkv = np.empty_like(qkv)
+        np.matmul(ds, k, out=dqkv[..., :d])
+        np.matmul(ds.transpose(0, 2, 1), q, out=dqkv[..., d:2 * d])
+        np.matmul(a.transpose(0, 2, 1), do, out=dqkv[..., 2 * d:])
+        mid = _flat(x).T @ _flat(dqkv)
+        g["Q"][:], g["K"][:], g["V"][:] = mid[:, :d] * scale, mid[:, d:2 * d], mid[:, 2 * d:]
+        g["O"][:], g["U"][:], g["c"][:] = _flat(o).T @ dh, h[:, :d].T @ p, h[:, d] @ p
+        dx = dh + _flat(dqkv) @ into.T
+        g["P"][:] = dx.reshape(len(inputs), self.width, d).sum(axis=0)
+        two = np.complex64 if d % 2 == 0 else np.float32  # adds two numbers at a time
+        lanes = np.arange(dx.view(two).shape[1])
+        np.add.at(g["E"].view(two).reshape(-1), (inputs.reshape(-1, 1) * len(lanes) + lanes).ravel(), dx.view(two).ravel())
+        return loss, grad
 
     def fit(self, windows: np.ndarray, rows: np.ndarray, classes: np.ndarray, epochs: int, rate: float, batch: int = BATCH) -> list[float]:
         """Go over windows (the id before, then ids; -1 after the end) by gradient steps of adapted size; losses of the passes."""
-        slow, fast, losses, turn = np.zeros_like(self.weights), np.zeros_like(self.weights), [], 0
+        inputs, targets = (x.astype(np.int64) for x in (rows[np.maximum(windows[:, :-1], 0)], classes[np.maximum(windows[:, 1:], 0)]))
+        real = windows[:, 1:] >= 0
+        slow, fast, step, losses, turn = *(np.zeros_like(self.weights) for _ in range(3)), [], 0  # sums of fading gradients and of their squares
         turns = max(1, epochs * -(-len(windows) // batch))
         for epoch in range(epochs):
             order, total = np.random.default_rng(epoch).permutation(len(windows)), 0.0
             for at in range(0, len(order), batch):
-                some = windows[order[at:at + batch]]
-                real = some[:, 1:] >= 0
-                loss, grad = self.gradient(rows[np.maximum(some[:, :-1], 0)], classes[np.maximum(some[:, 1:], 0)], real)
+                some = order[at:at + batch]
+                loss, grad = self.gradient(inputs[some], targets[some], real[some])
                 turn += 1
-                slow += 0.1 * (grad - slow)
-                fast += 0.02 * (grad * grad - fast)
-                step = rate * min(1.0, 2 * (1 - turn / turns) + 0.05)
-                self.weights -= (step / (1 - 0.9**turn)) * slow / (np.sqrt(fast / (1 - 0.98**turn)) + 1e-8)
+                slow *= np.float32(0.9)
+                slow += grad
+                grad *= grad
+                fast *= np.float32(0.98)
+                fast += grad
+                spread = (0.02 / (1 - 0.98**turn)) ** 0.5
+                np.sqrt(fast, out=step)
+                step += np.float32(1e-8 / spread)
+                np.divide(slow, step, out=step)
+                step *= np.float32(rate * min(1.0, 2 * (1 - turn / turns) + 0.05) * 0.1 / (1 - 0.9**turn) / spread)
+                self.weights -= step
                 total += loss * len(some)
             losses.append(total / max(1, len(order)))
         return losses
@@ -284,20 +319,21 @@ def score_ids(model: Attention, ids: np.ndarray, sizes: np.ndarray, rows: np.nda
     own = rows[ids]
     before = np.r_[rows[end], own[:-1]]
     before[begin] = rows[end]
-    kind, flat, folded = classes[ids], inside[ids].astype(np.float64), model.folded()
+    # Places behind a text's end hold what comes next; no place before them sees it, and they are not counted.
+    stretch = lambda x: np.lib.stride_tricks.sliding_window_view(np.r_[x, np.zeros(width, x.dtype)], width)
+    before, kind, folded = stretch(before.astype(np.int64)), stretch(classes[ids]), model.folded()
+    total = np.add.reduceat(inside[ids].astype(np.float64), begin)
     for first, text, start in (
         (0, np.arange(len(sizes)), np.zeros(len(sizes), np.int64)),
         (context, np.repeat(np.arange(len(sizes)), later), (np.arange(int(later.sum())) - np.repeat(np.cumsum(later) - later, later) + 1) * step),
     ):
         for at in range(0, len(text), batch):
-            t, s = text[at:at + batch, None], start[at:at + batch, None]
-            place = s + np.arange(width)
-            real = place < sizes[t]
-            place = begin[t] + np.minimum(place, sizes[t] - 1)
-            scored = real[:, first:]
-            found = model.log_chances(folded, before[place], kind[place[:, first:]], first)
-            flat[place[:, first:][scored]] += found[scored]
-    return np.add.reduceat(flat, begin) / np.log(10)
+            t, s = text[at:at + batch], start[at:at + batch]
+            place = begin[t] + s
+            found = model.log_chances(folded, before[place], kind[place, first:], first)
+            found *= np.arange(first, width) < (sizes[t] - s)[:, None]
+            total += np.bincount(t, found.sum(axis=1, dtype=np.float64), len(sizes))
+    return total / np.log(10)
 
 
 # --- learning ---------------------------------------------------------------------
@@ -512,7 +548,7 @@ class Words:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[bytes, int] = {b"": 0}  # the end of a text
+        self.number: dict[bytes, int] = defaultdict(count(1).__next__, {b"": 0})  # 0: the end of a text; a new word gets the next number
         self.flat = np.array([self.source.end], np.int32)
         self.begin, self.size = np.zeros(1, np.int64), np.ones(1, np.int64)
         self.count = np.array([self.hot[b""]], np.int64)  # -1: not among the frequent ones
@@ -520,19 +556,24 @@ class Words:
     def numbers(self, words: list[bytes]) -> np.ndarray:
         if len(self.number) > CACHED:
             self.clear()
-        if new := list(set(words).difference(self.number)):
+        known = len(self.size)
+        numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        if len(self.number) > known:
+            new = list(islice(reversed(self.number), len(self.number) - known))[::-1]
             ids, size = self.source.coded(new)
             self.begin = np.r_[self.begin, len(self.flat) + np.cumsum(size) - size]
             self.size, self.flat = np.r_[self.size, size], np.concatenate([self.flat, ids])
             self.count = np.r_[self.count, [self.hot.get(w, -1) for w in new]]
-            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        return numbers
 
     def texts(self, texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
         """Words of all texts, an empty one behind each text; how many each text has; their numbers; where each text begins."""
-        words = [[*words_of(t), b""] for t in texts]
-        sizes = np.array([len(w) for w in words], np.int64)
-        flat = [w for some in words for w in some]
+        flat, ends = [], []
+        for text in texts:
+            flat += words_of(text)
+            flat.append(b"")
+            ends.append(len(flat))
+        sizes = np.diff(np.array(ends, np.int64), prepend=0)
         return flat, sizes, self.numbers(flat), np.cumsum(sizes) - sizes
 
     def ids(self, numbers: np.ndarray) -> np.ndarray:

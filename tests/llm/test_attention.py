@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -58,6 +59,51 @@ def test_gradient_by_finite_differences():
         assert grad[k] == pytest.approx((loss(model.weights + step) - loss(model.weights - step)) / 2e-2, abs=2e-3)
 
 
+def test_gradient_holds_one_table_of_classes():
+    """Shares of classes are made in place and never divided out: one table of places by classes, not two."""
+    model = attention.Attention(7, 3000, 32, 4)
+    rng = np.random.default_rng(5)
+    x, y = rng.integers(0, 7, (8, 32)), rng.integers(0, 3000, (8, 32))
+    tracemalloc.start()
+    model.gradient(x, y, np.ones((8, 32), bool))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * x.size * 3000 * 4
+
+
+def test_powers_too_large_for_floats():
+    """Logits of 200 and scores of some hundreds: shares, gradient and scoring agree with doubles."""
+    model = attention.Attention(7, 5, 6, 4)
+    rng = np.random.default_rng(4)
+    x, y = rng.integers(0, 7, (3, 6)), np.full((3, 6), 2)
+    for name, times in (("E", 30), ("Q", 30), ("K", 30)):
+        model.parts[name][:] *= times
+    model.parts["c"][2] += 200
+    parts = {name: part.astype(float) for name, part in model.parts.items()}
+    h = parts["E"][x] + parts["P"]
+    s = (h @ parts["Q"]) @ (h @ parts["K"]).transpose(0, 2, 1) / 2 + np.where(np.tri(6) > 0, 0, -np.inf)
+    a = np.exp(s - s.max(axis=2, keepdims=True))
+    z = (h + (a / a.sum(axis=2, keepdims=True)) @ (h @ parts["V"]) @ parts["O"]) @ parts["U"] + parts["c"]
+    want = z[..., 2] - z.max(axis=2) - np.log(np.exp(z - z.max(axis=2, keepdims=True)).sum(axis=2))
+    with np.errstate(over="ignore", invalid="ignore"):
+        loss, grad = model.gradient(x, y, np.ones((3, 6), bool))
+        assert loss == pytest.approx(-want.mean(), abs=1e-5) and np.isfinite(grad).all()
+        assert np.allclose(model.log_chances(model.folded(), x, y), want, atol=1e-5)
+
+
+def test_new_words_are_numbered_and_coded_once(source, monkeypatch):
+    """One look at each word; also after a call that ended before its new words were coded."""
+    met = attention.Words(source, {b"": 3, b"a": 9})
+    coded = source.coded
+    monkeypatch.setattr(source, "coded", lambda words: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        met.numbers([b"x", b"a"])
+    monkeypatch.setattr(source, "coded", coded)
+    got = met.numbers([b"a", b"new", b"", b"x", b"new"])
+    assert got.tolist() == [2, 3, 0, 1, 3] and met.count.tolist() == [3, -1, 9, -1]
+    assert met.ids(got).tolist() == [i for w in (b"a", b"new", None, b"x", b"new") for i in ([source.end] if w is None else source.of([w])[0].tolist())]
+
+
 def test_attention_looks_back_only():
     model = attention.Attention(20, 9, 8, 4)
     rng = np.random.default_rng(3)
