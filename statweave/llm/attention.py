@@ -124,7 +124,7 @@ def _powers(make: Callable[[], np.ndarray], seen: np.ndarray | None = None) -> t
     if seen is not None:
         out *= seen
     total = (out.reshape(-1, out.shape[-1]) @ np.ones(out.shape[-1], np.float32)).reshape(*out.shape[:-1], 1)
-    if not (np.isfinite(total) & (total > 1e-30)).all():  # numbers too large or too small for plain powers
+    if not ((total > 1e-30) & (total < 1e30)).all():  # numbers too large or too small for plain powers and products with them
         out = make()
         if seen is not None:
             out = np.where(seen > 0, out, np.float32(-np.inf))

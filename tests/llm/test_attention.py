@@ -71,14 +71,15 @@ def test_gradient_holds_one_table_of_classes():
     assert peak < 1.5 * x.size * 3000 * 4
 
 
-def test_powers_too_large_for_floats():
-    """Logits of 200 and scores of some hundreds: shares, gradient and scoring agree with doubles."""
+@pytest.mark.parametrize("logit", [84, 200])
+def test_powers_too_large_for_floats(logit):
+    """Powers that floats cannot hold, or just hold: shares, gradient and scoring agree with doubles."""
     model = attention.Attention(7, 5, 6, 4)
     rng = np.random.default_rng(4)
-    x, y = rng.integers(0, 7, (3, 6)), np.full((3, 6), 2)
+    x, y = rng.integers(0, 7, (200, 6)), np.full((200, 6), 2)
     for name, times in (("E", 30), ("Q", 30), ("K", 30)):
         model.parts[name][:] *= times
-    model.parts["c"][2] += 200
+    model.parts["c"][2] += logit
     parts = {name: part.astype(float) for name, part in model.parts.items()}
     h = parts["E"][x] + parts["P"]
     s = (h @ parts["Q"]) @ (h @ parts["K"]).transpose(0, 2, 1) / 2 + np.where(np.tri(6) > 0, 0, -np.inf)
@@ -86,9 +87,10 @@ def test_powers_too_large_for_floats():
     z = (h + (a / a.sum(axis=2, keepdims=True)) @ (h @ parts["V"]) @ parts["O"]) @ parts["U"] + parts["c"]
     want = z[..., 2] - z.max(axis=2) - np.log(np.exp(z - z.max(axis=2, keepdims=True)).sum(axis=2))
     with np.errstate(over="ignore", invalid="ignore"):
-        loss, grad = model.gradient(x, y, np.ones((3, 6), bool))
+        loss, grad = model.gradient(x, y, np.ones((200, 6), bool))
         assert loss == pytest.approx(-want.mean(), abs=1e-5) and np.isfinite(grad).all()
         assert np.allclose(model.log_chances(model.folded(), x, y), want, atol=1e-5)
+        assert np.allclose(model.gradient(x, y - 2, np.ones((200, 6), bool))[1][-5:], [-1, 0, 1, 0, 0], atol=1e-5)
 
 
 def test_new_words_are_numbered_and_coded_once(source, monkeypatch):
